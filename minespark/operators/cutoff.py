@@ -1,0 +1,136 @@
+"""Score cutoffs that keep a target share per group: distributed quickselect."""
+
+from __future__ import annotations
+
+from collections.abc import Iterator, Sequence
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
+
+from minespark.runtime import small, written
+
+#: A group with at most so many candidates left is finished by sorting them.
+BASE_CASE = 4096
+#: Values in one local median; a task with more gives several.
+_CHUNK = 1 << 20
+
+_PART = "g long, n_gt long, n_eq long, n_lt long, m_gt double, m_lt double"
+
+
+def keep_cutoffs(records: DataFrame, targets: DataFrame, *, group: Sequence[str], score: str, permille: str, on: Sequence[str] | None = None) -> DataFrame:
+    """(*group, cutoff, n_kept): per group the greatest occurring score that keeps the target share.
+
+    n_kept, the records at or above the cutoff, satisfies n_kept * 1000 >= records * permille. `targets`
+    gives `permille` by the columns `on` (default: all of `group`); groups without a target or without
+    a record give no row; a target above 1000 cannot be met and gives nulls; a null target gives no row.
+    Records with a null or NaN score or a null in `group` do not count. Ties share a cutoff. Each row of
+    `records` is one record; other columns are not read.
+
+    How: quickselect for all groups at once. Each round, every task gives of each group's remaining
+    candidates the counts above, at and below the pivot and the medians of both sides; the counts, summed,
+    discard a side, and the weighted median of the other side's medians is the next pivot (at least a
+    quarter of the candidates goes each round). Only these few numbers are shuffled. The candidates are rewritten
+    when three quarters are gone, so all rounds together read about twice the table. Groups down
+    to BASE_CASE candidates are finished by an exact ranking.
+    """
+    on = list(on or group)
+    group = list(group)
+    wanted = targets.where(F.col(permille).isNotNull()).groupBy(*on).agg(F.max(permille).alias("permille"))
+    valid = records.where(F.col(score).isNotNull() & ~F.isnan(F.col(score).cast("double"))).select(*group, F.col(score).cast("double").alias("s"))
+    kept = written(valid.dropna(subset=group).join(small(wanted.select(*on)), on, "left_semi"), "cutoff-scores")
+    sizes = kept.groupBy(*group).agg(F.count(F.lit(1)).alias("n")).join(small(wanted), on)
+    need = F.greatest(F.lit(1), F.ceil(F.col("n") * F.col("permille") / 1000)).cast("long")
+    ids = F.row_number().over(Window.orderBy(*group)).cast("long")  # one row per group
+    inf = F.lit(float("inf"))
+    state = sizes.select(
+        *group, ids.alias("g"), F.col("n").alias("left"), need.alias("need"), (need > F.col("n")).alias("done"),
+        F.lit(0).cast("long").alias("above"), (-inf).alias("lo"), inf.alias("hi"), (-inf).alias("pivot"),
+        F.lit(None).cast("double").alias("cutoff"), F.lit(None).cast("long").alias("n_kept"),
+    )
+    state = written(state, "cutoff-state")
+    cand = written(kept.join(small(state.select(*group, "g")), group).select("g", "s"), "cutoff-cand")
+    held = None
+    while True:
+        n_open, n_left = state.where(~F.col("done") & (F.col("left") > BASE_CASE)).agg(F.count(F.lit(1)), F.coalesce(F.sum("left"), F.lit(0))).first()
+        if not n_open:
+            break
+        held = held or n_left
+        live = state.where(~F.col("done") & (F.col("left") > BASE_CASE))
+        inside = cand.join(small(live.select("g", "lo", "hi", "pivot")), "g").where("s > lo and s < hi")
+        if n_left * 4 < held:
+            # groups at their base case keep their candidates too
+            still = state.where(~F.col("done")).select("g", "lo", "hi", "pivot")
+            cand = written(cand.join(small(still), "g").where("s > lo and s < hi").select("g", "s"), "cutoff-cand")
+            inside = cand.join(small(live.select("g", "lo", "hi", "pivot")), "g").where("s > lo and s < hi")
+            held = n_left
+        parts = inside.select("g", "s", "pivot").mapInArrow(_sides, _PART)
+        state = written(_narrowed(state, parts), "cutoff-state")
+    rest = cand.join(small(state.where(~F.col("done")).select("g", "lo", "hi", "need", "above")), "g").where("s > lo and s < hi")
+    by_score = rest.groupBy("g", "s", "need", "above").agg(F.count(F.lit(1)).alias("n"))
+    upto = F.sum("n").over(Window.partitionBy("g").orderBy(F.desc("s"))) + F.col("above")
+    hit = by_score.withColumn("upto", upto).where("upto >= need").groupBy("g").agg(F.max_by("s", "s").alias("c"), F.min("upto").alias("k"))
+    done = state.join(small(hit), "g", "left")
+    return done.select(*group, F.coalesce("cutoff", "c").alias("cutoff"), F.coalesce("n_kept", "k").alias("n_kept"))
+
+
+def _narrowed(state: DataFrame, parts: DataFrame) -> DataFrame:
+    """The state after a round: the side that holds the wanted rank, and the next pivot in it."""
+    counts = parts.groupBy("g").agg(F.sum("n_gt").alias("gt"), F.sum("n_eq").alias("eq"), F.sum("n_lt").alias("lt"))
+    sides = parts.select("g", F.explode(F.array(F.struct(F.lit(True).alias("up"), F.col("m_gt").alias("m"), F.col("n_gt").alias("w")), F.struct(F.lit(False), "m_lt", "n_lt"))).alias("x"))
+    medians = sides.select("g", "x.*").where("w > 0")
+    by_value = Window.partitionBy("g", "up").orderBy("m")
+    ranked = medians.withColumn("upto", F.sum("w").over(by_value)).withColumn("all", F.sum("w").over(Window.partitionBy("g", "up")))
+    middle = ranked.where("upto * 2 >= all").groupBy("g", "up").agg(F.min("m").alias("m"))
+    pivots = middle.groupBy("g").agg(F.max(F.when(F.col("up"), F.col("m"))).alias("p_gt"), F.max(F.when(~F.col("up"), F.col("m"))).alias("p_lt"))
+    s = state.join(small(counts.join(pivots, "g", "left")), "g", "left")
+    live = F.col("gt").isNotNull()
+    rank = F.col("need") - F.col("above")
+    up, at = live & (F.col("gt") >= rank), live & (F.col("gt") < rank) & (F.col("gt") + F.col("eq") >= rank)
+    down = live & (F.col("gt") + F.col("eq") < rank)
+    pick = lambda name, *cases: _case(cases, F.col(name)).alias(name)
+    return s.select(
+        *[c for c in state.columns if c not in ("left", "done", "above", "lo", "hi", "pivot", "cutoff", "n_kept")],
+        pick("left", (up, F.col("gt")), (down, F.col("lt"))),
+        pick("done", (at, F.lit(True))),
+        pick("above", (down, F.col("above") + F.col("gt") + F.col("eq"))),
+        pick("lo", (up, F.col("pivot"))),
+        pick("hi", (down, F.col("pivot"))),
+        pick("pivot", (up, F.col("p_gt")), (down, F.col("p_lt"))),
+        pick("cutoff", (at, F.col("pivot"))),
+        pick("n_kept", (at, F.col("above") + F.col("gt") + F.col("eq"))),
+    ).select(*state.columns)
+
+
+def _case(cases, other):
+    out = None
+    for when, then in cases:
+        out = F.when(when, then) if out is None else out.when(when, then)
+    return out.otherwise(other)
+
+
+def _sides(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of each group in the task: counts above, at and below its pivot, and the medians of both sides."""
+    held, n = [], 0
+    for b in batches:
+        held.append(tuple(b.column(c).to_numpy() for c in ("g", "s", "pivot")))
+        n += b.num_rows
+        if n >= _CHUNK:
+            yield _medians(held)
+            held, n = [], 0
+    if n:
+        yield _medians(held)
+
+
+def _medians(held: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
+    g, s, pivot = (np.concatenate(x) for x in zip(*held))
+    side = (s > pivot).astype(np.int64) - (s < pivot) + 1
+    ids, g = np.unique(g, return_inverse=True)
+    order = np.lexsort((s, g * 3 + side))
+    s, cell = s[order], (g * 3 + side)[order]
+    at = np.searchsorted(cell, np.arange(3 * len(ids) + 1))
+    count = np.diff(at).reshape(-1, 3)
+    middle = s[np.minimum(at[:-1] + np.maximum(np.diff(at) - 1, 0) // 2, len(s) - 1)].reshape(-1, 3)
+    cols = [pa.array(ids), *(pa.array(count[:, i]) for i in (2, 1, 0)), *(pa.array(middle[:, i]) for i in (2, 0))]
+    return pa.RecordBatch.from_arrays(cols, names=["g", "n_gt", "n_eq", "n_lt", "m_gt", "m_lt"])

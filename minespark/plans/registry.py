@@ -12,8 +12,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def queries() -> dict[str, Query]:
-    return {"p1_found": problems.p1_found}
+    return {"p1_found": problems.p1_found, "p2_found": problems.p2_found, "p3_found": problems.p3_found, "p4_found": problems.p4_found, "p5_found": problems.p5_found, "p5_ks": problems.p5_ks}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"p1_found": problem_sql.P1}
+    return {"p1_found": problem_sql.P1, "p2_found": problem_sql.P2, "p3_found": problem_sql.P3, "p4_found": problem_sql.P4}
