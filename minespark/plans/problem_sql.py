@@ -91,3 +91,78 @@ z as (
 )
 select model_name, acct_month, cast(round(score * 1000000) as bigint) as cutoff_micro, cast(n_kept as bigint) as n_kept from z
 """
+
+PROFILED = [
+    "month_id", "zk_user_no", "user_no_teamzk", "customer_no_teamzk", "area_no_teamzk", "city_no_teamzk", "open_date_teamzk",
+    "open_months_teamzk", "cert_type_teamzk", "age_teamzk", "sex_teamzk", "is_valid_teamzk", "std_user_status_name_teamzk",
+    "is_acct_teamzk", "is_5g_main_offer_teamzk", "is_5g_upgrade_offer_teamzk", "sig_offer_spec_id_teamzk", "sig_offer_spec_name_teamzk",
+    "sig_offer_create_dt_teamzk", "fk_num_teamzk", "prod_spec_fee_teamzk", "arpu_teamadd", "data_flux_teamadd", "flux_5g_teamadd", "sms_cnt_teamadd",
+]
+
+_LOADS = f"""
+l as (
+    select load_id, {six('acct_month')} as m, branch_no from load_log
+    where tablename = 'dm_zc_yw_moxing_team_info_m' and load_kind = 'full'
+),
+lm as (select m, lag(m) over (order by m) as pm from (select distinct m from l)),
+pairs as (select l.load_id, e.load_id as earlier from l join lm using (m) join l e on e.branch_no = l.branch_no and e.m = lm.pm),
+u as ({' union all '.join(f"select load_id, '{c}' as col_name, cast({c} as varchar) as v, {f'cast({c} as decimal(38,4))' if c.startswith(('open_months', 'fk_num', 'prod_spec', 'arpu', 'data_flux', 'flux_5g', 'sms_cnt')) else 'cast(null as decimal(38,4))'} as d from dm_zc_yw_moxing_team_info_m" for c in PROFILED)}),
+f as (select u.*, r.is_number, r.is_coded, r.pattern from u join l using (load_id) join exam_rule r using (col_name))
+"""
+
+P5 = f"""
+with {_LOADS},
+g as (
+    select load_id, col_name, is_number, pattern, count(*) as n, count(*) - count(v) as n_null, count(distinct case when is_number = 1 then cast(d as varchar) else v end) as n_distinct,
+        count(*) filter (v is not null and not regexp_matches(v, pattern)) as n_bad, count(*) filter (d = 0) as n_zero, count(*) filter (d < 0) as n_neg,
+        min(d) as lo, max(d) as hi, quantile_disc(d, 0.75) as q
+    from f group by all
+),
+t as (
+    select load_id, '全量' as col_name, 'count_全量' as col_stat, cast(max(n) as decimal(38,4)) as x from g group by load_id
+    union all select load_id, col_name, 'count_空值', n_null from g
+    union all select load_id, col_name, 'count_不同值', n_distinct from g
+    union all select load_id, col_name, 'count_格式不符', n_bad from g where pattern is not null
+    union all select load_id, col_name, 'count_零值', n_zero from g where is_number = 1
+    union all select load_id, col_name, 'count_负值', n_neg from g where is_number = 1
+    union all select load_id, col_name, '最小值', lo from g where is_number = 1
+    union all select load_id, col_name, '最大值', hi from g where is_number = 1
+    union all select load_id, col_name, '分位数_75%', q from g where is_number = 1
+),
+c as (select load_id, col_name, v, count(*) as n from f where is_coded = 1 and v is not null group by all),
+s as (select load_id, col_name, v, n / sum(n) over (partition by load_id, col_name) as x from c),
+paired as (
+    select p.load_id, p.earlier, a.col_name from pairs p join (select distinct load_id, col_name from s) a using (load_id)
+    join (select distinct load_id, col_name from s) b on b.load_id = p.earlier and b.col_name = a.col_name
+),
+e as (
+    select load_id, col_name, v, sum(x) as x from (
+        select b.load_id, b.col_name, s.v, s.x from paired b join s on s.load_id = b.load_id and s.col_name = b.col_name
+        union all select b.load_id, b.col_name, s.v, -s.x from paired b join s on s.load_id = b.earlier and s.col_name = b.col_name
+    ) group by all
+)
+select distinct v.load_id, v.col_name, v.col_stat as finding from tablename_exam_v v join t using (load_id, col_name, col_stat) where v.col_value is distinct from t.x
+union all
+select a.load_id, a.col_name, 'null_shift' from pairs p join g a using (load_id) join g b on b.load_id = p.earlier and b.col_name = a.col_name
+where abs(a.n_null / a.n - b.n_null / b.n) > 0.1537
+union all
+select a.load_id, a.col_name, 'quantile_shift' from pairs p join g a using (load_id) join g b on b.load_id = p.earlier and b.col_name = a.col_name
+where a.is_number = 1 and b.q > 0 and (a.q > 2 * b.q or 2 * a.q < b.q)
+union all
+select load_id, col_name, 'value_shift' from e group by all having sum(abs(x)) / 2 > 0.2037
+"""
+
+P5_KS = f"""
+with {_LOADS},
+n as (select load_id, col_name, d, count(*) as n from f where is_number = 1 and d is not null group by all),
+x as (
+    select p.load_id, p.earlier, n.col_name, n.d, n.n as a, 0 as b from pairs p join n using (load_id)
+    union all select p.load_id, p.earlier, n.col_name, n.d, 0, n.n from pairs p join n on n.load_id = p.earlier
+),
+y as (select load_id, earlier, col_name, d, sum(a) as a, sum(b) as b from x group by all),
+z as (
+    select load_id, earlier, col_name, sum(a) over w as a, sum(b) over w as b, sum(a) over v as ta, sum(b) over v as tb from y
+    window w as (partition by load_id, earlier, col_name order by d), v as (partition by load_id, earlier, col_name)
+)
+select load_id, earlier as earlier_load_id, col_name, round(max(abs(a / ta - b / tb)), 9) as ks from z where ta > 0 and tb > 0 group by all
+"""

@@ -16,4 +16,4 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"p1_found": problem_sql.P1, "p2_found": problem_sql.P2, "p3_found": problem_sql.P3, "p4_found": problem_sql.P4}
+    return {"p1_found": problem_sql.P1, "p2_found": problem_sql.P2, "p3_found": problem_sql.P3, "p4_found": problem_sql.P4, "p5_found": problem_sql.P5, "p5_ks": problem_sql.P5_KS}
