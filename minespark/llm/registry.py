@@ -8,9 +8,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 from minespark.llm.encode import encode_corpus
 from minespark.llm.pack import pack, token_counts
+from minespark.llm.spans import shared_spans
 
 #: Tokens in a container.
 CAPACITY = 2048
+#: Code points of a shared span.
+SPAN = 100
 
 
 def _documents(spark: SparkSession, d: str) -> DataFrame:
@@ -28,8 +31,13 @@ def p7_pack(spark: SparkSession, d: str) -> DataFrame:
     return pack(sizes, item_id="doc_id", size="size", capacity=CAPACITY)
 
 
+def p8_found(spark: SparkSession, d: str) -> DataFrame:
+    """Code points of each text that stand in another record too, in spans of 100 or more: (doc_id, n_shared)."""
+    return shared_spans(_documents(spark, d), doc_id="doc_id", text="text", min_length=SPAN)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"p6_ids": p6_ids, "p7_pack": p7_pack}
+    return {"p6_ids": p6_ids, "p7_pack": p7_pack, "p8_found": p8_found}
 
 
 def oracle_sql() -> dict[str, str]:
