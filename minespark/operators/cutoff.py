@@ -19,7 +19,7 @@ _CHUNK = 1 << 20
 _PART = "g long, n_gt long, n_eq long, n_lt long, m_gt double, m_lt double"
 
 
-def keep_cutoffs(records: DataFrame, targets: DataFrame, *, group: Sequence[str], score: str, permille: str, on: Sequence[str] | None = None) -> DataFrame:
+def keep_cutoffs(records: DataFrame, targets: DataFrame, *, group: Sequence[str], score: str, permille: str, on: Sequence[str] | None = None, base_case: int = BASE_CASE) -> DataFrame:
     """(*group, cutoff, n_kept): per group the greatest occurring score that keeps the target share.
 
     n_kept, the records at or above the cutoff, satisfies n_kept * 1000 >= records * permille. `targets`
@@ -33,7 +33,7 @@ def keep_cutoffs(records: DataFrame, targets: DataFrame, *, group: Sequence[str]
     discard a side, and the weighted median of the other side's medians is the next pivot (at least a
     quarter of the candidates goes each round). Only these few numbers are shuffled. The candidates are rewritten
     when three quarters are gone, so all rounds together read about twice the table. Groups down
-    to BASE_CASE candidates are finished by an exact ranking.
+    to `base_case` candidates are finished by an exact ranking.
     """
     on = list(on or group)
     group = list(group)
@@ -53,11 +53,11 @@ def keep_cutoffs(records: DataFrame, targets: DataFrame, *, group: Sequence[str]
     cand = written(kept.join(small(state.select(*group, "g")), group).select("g", "s"), "cutoff-cand")
     held = None
     while True:
-        n_open, n_left = state.where(~F.col("done") & (F.col("left") > BASE_CASE)).agg(F.count(F.lit(1)), F.coalesce(F.sum("left"), F.lit(0))).first()
+        n_open, n_left = state.where(~F.col("done") & (F.col("left") > base_case)).agg(F.count(F.lit(1)), F.coalesce(F.sum("left"), F.lit(0))).first()
         if not n_open:
             break
         held = held or n_left
-        live = state.where(~F.col("done") & (F.col("left") > BASE_CASE))
+        live = state.where(~F.col("done") & (F.col("left") > base_case))
         inside = cand.join(small(live.select("g", "lo", "hi", "pivot")), "g").where("s > lo and s < hi")
         if n_left * 4 < held:
             # groups at their base case keep their candidates too
@@ -78,7 +78,8 @@ def keep_cutoffs(records: DataFrame, targets: DataFrame, *, group: Sequence[str]
 def _narrowed(state: DataFrame, parts: DataFrame) -> DataFrame:
     """The state after a round: the side that holds the wanted rank, and the next pivot in it."""
     counts = parts.groupBy("g").agg(F.sum("n_gt").alias("gt"), F.sum("n_eq").alias("eq"), F.sum("n_lt").alias("lt"))
-    sides = parts.select("g", F.explode(F.array(F.struct(F.lit(True).alias("up"), F.col("m_gt").alias("m"), F.col("n_gt").alias("w")), F.struct(F.lit(False), "m_lt", "n_lt"))).alias("x"))
+    side = lambda up, m, w: F.struct(F.lit(up).alias("up"), F.col(m).alias("m"), F.col(w).alias("w"))
+    sides = parts.select("g", F.explode(F.array(side(True, "m_gt", "n_gt"), side(False, "m_lt", "n_lt"))).alias("x"))
     medians = sides.select("g", "x.*").where("w > 0")
     by_value = Window.partitionBy("g", "up").orderBy("m")
     ranked = medians.withColumn("upto", F.sum("w").over(by_value)).withColumn("all", F.sum("w").over(Window.partitionBy("g", "up")))
