@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -20,7 +22,7 @@ def fit_floor(df: DataFrame, divisor: Column, share: float = FLOOR_SHARE, most:
     n = n_pos or n_neg
     if not n:
         return 1.0
-    k = min(most, -int(-(n * share) // 1), n - 1)
+    k = min(most, math.ceil(n * share - 1e-9), n - 1)
     side = x.where("x > 0").orderBy("x") if n_pos else x.where("x < 0").orderBy(F.desc("x"))
     return side.limit(k + 1).agg(F.max("x") if n_pos else F.min("x")).first()[0]
 

@@ -24,12 +24,13 @@ class LabelRule:
     null_when: str | None = None
 
 
-def next_period_labels(panel: DataFrame, rules: Sequence[LabelRule], *, entity: str, period: str, at: str, ahead: int = 2, spare: int = 0) -> DataFrame:
-    """(period, entity, labels): the entities of period `at` with their labels, plus `spare` null ones.
+def next_period_labels(panel: DataFrame, rules: Sequence[LabelRule], *, entity: str, period: str, at: str | Sequence[str], ahead: int = 2, spare: int = 0) -> DataFrame:
+    """(period, entity, labels): the entities of period `at` with their labels, plus `spare` null ones. `at` may list the periods m, m+1, ... itself.
 
     Periods are pruned before the joins; the sides share the entity's partitioning, so each costs one shuffle.
     """
-    sides = [panel.where(F.col(period) == month_add(at, i)).alias(n) for i, n in zip(range(ahead + 1), "abc")]
+    periods = [month_add(at, i) for i in range(ahead + 1)] if isinstance(at, str) else list(at)
+    sides = [panel.where(F.col(period) == p).alias(n) for p, n in zip(periods, "abc")]
     joined = sides[0]
     for n, side in zip("bc", sides[1:]):
         joined = joined.join(side, F.col(f"a.{entity}") == F.col(f"{n}.{entity}"), "left")

@@ -175,10 +175,19 @@ def fit_mdlp(df: DataFrame, columns: Sequence[str], label: str, positive: str, n
     wide = {r.col for r in counts.groupBy("col").count().where(F.col("count") > histogram).collect()}
     if wide:
         q = rows.agg(*(F.percentile_approx(F.round(F.col(c).cast("double"), precision), [i / histogram for i in range(1, histogram)], 10 * histogram).alias(c) for c in wide)).first()
-        edges = {c: sorted(set(q[c])) for c in wide}
-        table = F.broadcast(df.sparkSession.createDataFrame([(c, e) for c, e in edges.items()], "col string, e array<double>"))
-        place = F.coalesce(F.try_element_at("e", F.least(F.size("e"), F.size(F.filter("e", lambda v: v < F.col("x"))) + 1)), F.col("x"))
-        counts = counts.join(table, "col", "left").withColumn("x", place).groupBy("col", "x").agg(F.sum("p").alias("p"), F.sum("n").alias("n"))
+        edges = {c: np.array(sorted(set(q[c]))) for c in wide}
+
+        @F.pandas_udf("double")
+        def place(col: pd.Series, x: pd.Series) -> pd.Series:
+            """Values of a wide column as the upper end of their band, a greater one as it is."""
+            out = x.to_numpy(copy=True)
+            for c, e in edges.items():
+                rows = np.flatnonzero((col == c).to_numpy())
+                at = np.searchsorted(e, out[rows])
+                out[rows] = np.where(at < len(e), e[np.minimum(at, len(e) - 1)], out[rows])
+            return pd.Series(out)
+
+        counts = counts.withColumn("x", place("col", "x")).groupBy("col", "x").agg(F.sum("p").alias("p"), F.sum("n").alias("n"))
 
     def fit(p: pd.DataFrame) -> pd.DataFrame:
         p = p.sort_values("x")
