@@ -35,10 +35,11 @@ def keep_cutoffs(records: DataFrame, targets: DataFrame, *, group: Sequence[str]
     when three quarters are gone, so all rounds together read about twice the table. Groups down
     to `base_case` candidates are finished by an exact ranking.
     """
-    on = list(on or group)
-    group = list(group)
-    wanted = targets.where(F.col(permille).isNotNull()).groupBy(*on).agg(F.max(permille).alias("permille"))
-    valid = records.where(F.col(score).isNotNull() & ~F.isnan(F.col(score).cast("double"))).select(*group, F.col(score).cast("double").alias("s"))
+    own = {c: f"_g{i}" for i, c in enumerate(group)}  # no name of the caller's can clash
+    on = [own[c] for c in on or group]
+    names, group = list(group), list(own.values())
+    wanted = targets.where(F.col(permille).isNotNull()).groupBy(*(F.col(c).alias(x) for c, x in own.items() if x in on)).agg(F.max(permille).alias("permille"))
+    valid = records.where(F.col(score).isNotNull() & ~F.isnan(F.col(score).cast("double"))).select(*(F.col(c).alias(x) for c, x in own.items()), F.col(score).cast("double").alias("s"))
     kept = written(valid.dropna(subset=group).join(small(wanted.select(*on)), on, "left_semi"), "cutoff-scores")
     sizes = kept.groupBy(*group).agg(F.count(F.lit(1)).alias("n")).join(small(wanted), on)
     need = F.greatest(F.lit(1), F.ceil(F.col("n") * F.col("permille") / 1000)).cast("long")
@@ -72,7 +73,7 @@ def keep_cutoffs(records: DataFrame, targets: DataFrame, *, group: Sequence[str]
     upto = F.sum("n").over(Window.partitionBy("g").orderBy(F.desc("s"))) + F.col("above")
     hit = by_score.withColumn("upto", upto).where("upto >= need").groupBy("g").agg(F.max_by("s", "s").alias("c"), F.min("upto").alias("k"))
     done = state.join(small(hit), "g", "left")
-    return done.select(*group, F.coalesce("cutoff", "c").alias("cutoff"), F.coalesce("n_kept", "k").alias("n_kept"))
+    return done.select(*(F.col(x).alias(c) for c, x in zip(names, group)), F.coalesce("cutoff", "c").alias("cutoff"), F.coalesce("n_kept", "k").alias("n_kept"))
 
 
 def _narrowed(state: DataFrame, parts: DataFrame) -> DataFrame:

@@ -1,0 +1,43 @@
+import math
+import random
+
+from minespark.operators.cutoff import keep_cutoffs
+
+R = "g string, m string, s double, n int, permille string"
+T = "g string, permille int, n string"
+
+
+def brute(records, targets):
+    want = {}
+    for g, p, _ in targets:
+        if g is not None and p is not None:
+            want[g] = max(p, want.get(g, p))
+    by = {}
+    for g, m, s, *_ in records:
+        if g in want and m is not None and s is not None and not math.isnan(s):
+            by.setdefault((g, m), []).append(s)
+    out = []
+    for (g, m), xs in by.items():
+        ok = [(c, sum(x >= c for x in xs)) for c in set(xs) if sum(x >= c for x in xs) * 1000 >= len(xs) * want[g]]
+        out.append((g, m, *(max(ok) if ok else (None, None))))
+    return sorted(out)
+
+
+def found(spark, records, targets, base):
+    out = keep_cutoffs(spark.createDataFrame(records, R), spark.createDataFrame(targets, T), group=["g", "m"], score="s", permille="permille", on=["g"], base_case=base)
+    return sorted(tuple(r) for r in out.collect())
+
+
+def test_against_brute_force(spark):
+    rnd = random.Random(3)
+    score = {"a": lambda: rnd.random(), "b": lambda: rnd.choice([0.1, 0.5]), "c": lambda: round(rnd.random(), 1), "d": lambda: 0.25}
+    records = [(g, rnd.choice(["x", "y", None]), rnd.choice([score[g]()] * 20 + [None, float("nan")]), 1, "p") for g in "abcd" for _ in range(500)]
+    records += [(None, "x", 0.5, 1, ""), ("e", "x", 0.7, 1, ""), ("none", "x", 0.7, 1, ""), ("over", "x", 0.2, 1, "")]
+    targets = [("a", 100, ""), ("b", 500, ""), ("c", 333, ""), ("d", 1, ""), ("e", 0, ""), ("over", 1001, ""), ("empty", 5, ""), (None, 5, ""), ("none", None, "")]
+    want = brute(records, targets)
+    assert found(spark, records, targets, 40) == want
+    assert found(spark, records, targets, 4096) == want
+
+
+def test_empty(spark):
+    assert found(spark, [], [("a", 100, "")], 5) == found(spark, [("a", "x", 0.5, 1, "")], [], 5) == []
