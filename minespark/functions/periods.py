@@ -65,7 +65,8 @@ def parse_partial_date(c: Column, cap: bool = True) -> Column:
     text = c.cast("string")
     full = F.when(F.length(text) == 6, F.concat(text, F.lit("01"))).otherwise(F.substring(text, 1, 8))
     if cap:
-        full = F.when(full > LAST_DATE, F.lit(LAST_DATE_AS)).otherwise(full)
+        digits = F.length(F.translate(full, "0123456789", "")) == 0
+        full = F.when(digits & (full > LAST_DATE), F.lit(LAST_DATE_AS)).otherwise(full)
     return F.try_to_timestamp(full, F.lit("yyyyMMdd")).cast("date")
 
 

@@ -161,7 +161,7 @@ def mdlp_edges(values: np.ndarray, pos: np.ndarray, neg: np.ndarray, min_split:
     return [-math.inf, *sorted(cuts), math.inf]
 
 
-def fit_mdlp(df: DataFrame, columns: Sequence[str], label: str, positive: str, negative: str, *, precision: int = 6, min_binsize: int = 30, bin_limit: int | None = None, drop_unsplit: bool = False, histogram: int = 10_000) -> Fitted:
+def fit_mdlp(df: DataFrame, columns: Sequence[str], label: str, positive: str, negative: str, *, precision: int = 6, min_binsize: int = 30, bin_limit: int | None = None, drop_unsplit: bool = False, histogram: int = 1000) -> Fitted:
     """Supervised bins of number columns. Values are rounded to `precision`; bins under min_binsize rows lose their right edge.
 
     Class counts of all columns are aggregated at once. A column with more than `histogram` different values is first counted in that
