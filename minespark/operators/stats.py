@@ -102,6 +102,21 @@ def correlations(df: DataFrame, columns: Sequence[str], others: Sequence[str] |
     return df.agg(stack.alias("_x")).select(F.explode("_x").alias("_x")).select("_x.*")
 
 
+def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> dict[tuple[str, str], float | None]:
+    """Pearson correlation of all pairs, both ways, from one pass that sums a Gram matrix; None where a column is constant."""
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.stat import Correlation
+
+    if len(columns) < 2:
+        return {}
+    names = [f"f{i}" for i in range(len(columns))]
+    rows = df.select(*(F.coalesce(F.col(f"`{c}`").cast("double"), F.lit(0.0)).alias(n) for c, n in zip(columns, names)))
+    if not rows.limit(1).count():
+        return {(a, b): None for a in columns for b in columns}
+    m = Correlation.corr(VectorAssembler(inputCols=names, outputCol="v").transform(rows), "v").first()[0].toArray()
+    return {(a, b): None if math.isnan(m[i, j]) else float(m[i, j]) for i, a in enumerate(columns) for j, b in enumerate(columns)}
+
+
 def drop_correlated(pairs: Sequence[tuple[str, str, float]], iv: Mapping[str, float], limit: float) -> list[str]:
     """Columns to drop: by falling |r| down to the limit, of each pair still there the one of lower IV (tie: the second)."""
     gone: list[str] = []

@@ -13,7 +13,8 @@ from minespark.functions.formula import Formula, closure, column
 from minespark.operators import prep
 from minespark.operators.features import FeatureDef, current_features, field_pairs, fitted, recent_defs, recent_features
 from minespark.operators.panel import fill_missing, gate
-from minespark.operators.stats import correlations, drop_correlated, finite, require
+from minespark.operators.stats import correlation_matrix, drop_correlated, finite, require
+from minespark.runtime import written
 
 
 @dataclass(frozen=True)
@@ -55,57 +56,48 @@ def prepared(panel: DataFrame, *, entity: str, period: str, at: str, n: int, num
 
 
 def explore(panel: DataFrame, *, entity: str, period: str, at: str, label: str, positive: str, negative: str, numbers: Sequence[str], categories: Mapping[str, Sequence] | None = None, pairs: bool = False, iv_limit: float = 0.02, r_limit: float = 0.8) -> FeaturePlan:
-    """Features worth building, block by block (raw, pairs, one method of recent features after the other).
+    """Features worth building, block by block (raw, pairs, one-hot, one method of recent features after the other).
 
     Of each block, columns under iv_limit and correlated ones are dropped; then, against what is already chosen, of each pair with
     |r| >= r_limit, in falling order, the one of lower IV (tie: the new one). `panel` is prepared().
+
+    All blocks are built once, as one wide table; bins, WOE and the correlation matrix each take one pass over it. The blocks' order only
+    matters for the choice, which is made on the matrix (columns x columns numbers).
     """
     cats = dict(categories or {})
     now = panel.where(F.col(period) == at)
-    y = now.select(entity, F.col(label).cast("string").alias("_y"))
-    blocks: list[tuple[str, list[FeatureDef]]] = [("raw", [])]
+    blocks: list[list[FeatureDef]] = []
     if pairs:
-        blocks.append(("pair", [FeatureDef(m, p) for m in ("add", "sub", "mult", "div") for p in field_pairs(numbers)]))
-    blocks.append(("onehot", [FeatureDef("onehot", (c,), v) for c, vs in cats.items() for v in vs]))
-    for m in ("avg", "sep", "wave", "grow", "max", "min", "std", "more0cnt", "moreq25cnt", "valuecnt"):
-        blocks.append(("recent", recent_defs(numbers, cats, [m])))
-    iv: dict[str, float] = {}
-    chosen: dict[str, FeatureDef | None] = {}
-    table = y
-    for kind, defs in blocks:
-        if kind != "raw" and not defs:
-            continue
-        if kind == "raw":
-            block = now.select(entity, *numbers, *cats)
-            names = {c: None for c in [*numbers, *cats]}
-        else:
-            defs = fitted(panel, defs, period=period, at=at)
-            block = current_features(now, defs).select(entity, *(f"`{d.name}`" for d in defs)) if kind in ("pair", "onehot") else recent_features(panel, defs, entity=entity, period=period, at=at)
-            names = {d.name: d for d in defs}
-        joined = block.join(y, entity).cache()
-        nums = [c for c in names if c not in cats]
-        bins = prep.fit_mdlp(joined, nums, "_y", positive, negative, drop_unsplit=True) if nums else prep.Fitted("bins")
-        coded = bins.apply(joined)
-        left = [c for c in names if c in coded.columns]
-        if left:
-            step, ivs = prep.fit_woe(coded, left, "_y", positive, negative, iv_limit=iv_limit, r_limit=r_limit)
-            kept = list(step.rules)
-            if kept:
-                iv |= {c: ivs[c] for c in kept}
-                woe = step.apply(coded).select(entity, *(f"`{c}`" for c in kept))
-                both = table.join(woe, entity)
-                old = [c for c in table.columns if c not in (entity, "_y")]
-                rs = [tuple(r) for r in correlations(both, old, kept).where(F.abs("r") >= r_limit).collect()] if old else []
-                gone = set(drop_correlated(rs, iv, r_limit))
-                chosen |= {c: names[c] for c in kept}
-                chosen = {c: d for c, d in chosen.items() if c not in gone}
-                table = both.select(entity, "_y", *(f"`{c}`" for c in chosen))
-        joined.unpersist()
-    defs = [d for d in chosen.values() if d is not None]
+        blocks.append([FeatureDef(m, p) for m in ("add", "sub", "mult", "div") for p in field_pairs(numbers)])
+    blocks.append([FeatureDef("onehot", (c,), v) for c, vs in cats.items() for v in vs])
+    current = fitted(panel, [d for b in blocks for d in b], period=period, at=at)
+    methods = ("avg", "sep", "wave", "grow", "max", "min", "std", "more0cnt", "moreq25cnt", "valuecnt")
+    recents = [recent_defs(numbers, cats, [m]) for m in methods]
+    recent = fitted(panel, [d for b in recents for d in b], period=period, at=at)
+    defs = {d.name: d for d in (*current, *recent)}
+    wide = current_features(now, current).select(entity, F.col(label).cast("string").alias("_y"), *numbers, *cats, *(f"`{d.name}`" for d in current))
+    if recent:
+        wide = wide.join(recent_features(panel, recent, entity=entity, period=period, at=at), entity)
+    wide = written(wide.drop(entity), "explore")
+    order = [[*numbers, *cats], *([d.name for d in b] for b in (*blocks, *recents))]
+    names = [c for b in order for c in b]
+    bins = prep.fit_mdlp(wide, [c for c in names if c not in cats], "_y", positive, negative, drop_unsplit=True)
+    coded = bins.apply(wide)
+    left = [c for c in names if c in coded.columns]
+    step, iv = prep.fit_woe(coded, left, "_y", positive, negative, iv_limit=iv_limit) if left else (prep.Fitted("woe"), {})
+    r = correlation_matrix(step.apply(coded), [c for c in left if c in step.rules])
+    chosen: list[str] = []
+    for block in order:
+        new = [c for c in block if c in step.rules]
+        gone = drop_correlated([(a, b, r[a, b]) for i, a in enumerate(new) for b in new[i + 1 :]], iv, r_limit)
+        new = [c for c in new if c not in gone]
+        gone = drop_correlated([(a, b, r[a, b]) for a in chosen for b in new], iv, r_limit)
+        chosen = [c for c in (*chosen, *new) if c not in gone]
+    picked = [defs[c] for c in chosen if c in defs]
+    own = {d.name for d in current}
     return FeaturePlan(
-        tuple(numbers), tuple(cats), tuple(c for c, d in chosen.items() if d is None),
-        tuple(d for d in defs if d.method in ("onehot", "add", "sub", "mult", "div")), tuple(d for d in defs if d.method not in ("onehot", "add", "sub", "mult", "div")),
-        {}, {c: iv[c] for c in chosen},
+        tuple(numbers), tuple(cats), tuple(c for c in chosen if c not in defs),
+        tuple(d for d in picked if d.name in own), tuple(d for d in picked if d.name not in own), {}, {c: iv[c] for c in chosen},
     )
 
 

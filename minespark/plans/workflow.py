@@ -16,6 +16,7 @@ from minespark.operators.panel import base_table, day_ready
 from minespark.operators.sampling import hash_key, usable_ratios
 from minespark.operators.score import ranked, score_band, top_reasons
 from minespark.operators.stats import only_value
+from minespark.runtime import written
 from minespark.plans.explore import FeaturePlan, create, explore, prepared
 from minespark.spec import ModelSpec
 
@@ -32,9 +33,9 @@ class TrainResult:
 
 
 def _wide(rows: DataFrame, spec: ModelSpec, plan: FeaturePlan | None, numbers: Sequence[str], categories: dict, at: str, label: bool) -> tuple[DataFrame, FeaturePlan]:
-    ready = prepared(rows, entity=spec.col_id, period=spec.col_month, at=at, n=spec.n_recent, numbers=numbers, categories=list(categories), label=spec.label if label else None)
+    ready = written(prepared(rows, entity=spec.col_id, period=spec.col_month, at=at, n=spec.n_recent, numbers=numbers, categories=list(categories), label=spec.label if label else None), "panel")
     plan = plan or explore(ready, entity=spec.col_id, period=spec.col_month, at=at, label=spec.label, positive=spec.positive, negative=spec.negative, numbers=numbers, categories=categories, iv_limit=spec.iv_limit, r_limit=spec.r_limit)
-    return create(ready, plan, entity=spec.col_id, period=spec.col_month, at=at, keep=[spec.label] if label else []), plan
+    return written(create(ready, plan, entity=spec.col_id, period=spec.col_month, at=at, keep=[spec.label] if label else []), "wide"), plan
 
 
 def train_and_test(panel: DataFrame, spec: ModelSpec, *, numbers: Sequence[str], categories: dict, algorithms: dict | None = None, kinds: Sequence[str] = ("woe",)) -> TrainResult:
@@ -42,7 +43,7 @@ def train_and_test(panel: DataFrame, spec: ModelSpec, *, numbers: Sequence[str],
 
     The choice is made on the out-of-time month if there is one, else on the validation rows.
     """
-    base = base_table(panel, spec, "train")
+    base = written(base_table(panel, spec, "train"), "base")
     drop = ["user_acct_month", "data_use"]
     train, plan = _wide(base.where("data_use = 'data_train'").drop(*drop), spec, None, numbers, categories, spec.month_train, True)
     timein, _ = _wide(base.where("data_use = 'data_timein'").drop(*drop), spec, plan, numbers, categories, spec.month_train, True)

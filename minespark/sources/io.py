@@ -110,12 +110,19 @@ def save_data(df: DataFrame, target: str, *, fmt: str = "table", if_exists: str
 
 def overwrite_partitions(df: DataFrame, target: str, partition_by: Sequence[str], fmt: str = "parquet") -> None:
     """Replace only the partitions that df has, in a table or in a folder."""
-    how = df.write.option("partitionOverwriteMode", "dynamic").mode("overwrite")
-    if df.sparkSession.catalog.tableExists(target) if "/" not in target else False:
-        there = df.sparkSession.table(target)
-        aligned(df, there.columns, dict(there.dtypes)).write.option("partitionOverwriteMode", "dynamic").mode("overwrite").insertInto(target)
-    else:
-        how.partitionBy(*partition_by).format(fmt).save(target) if "/" in target else how.partitionBy(*partition_by).saveAsTable(target)
+    spark, setting = df.sparkSession, "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "dynamic")
+    try:
+        if "/" in target:
+            df.write.mode("overwrite").partitionBy(*partition_by).format(fmt).save(target)
+        elif spark.catalog.tableExists(target):
+            there = spark.table(target)
+            aligned(df, there.columns, dict(there.dtypes)).write.mode("overwrite").insertInto(target)
+        else:
+            df.write.partitionBy(*partition_by).saveAsTable(target)
+    finally:
+        spark.conf.set(setting, before)
 
 
 def plan_text(df: DataFrame) -> str:

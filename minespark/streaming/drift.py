@@ -21,11 +21,12 @@ def window_counts(stream: DataFrame, *, time: str, value: str, edges: Sequence[f
 
 def window_psi(counts: DataFrame, baseline: Sequence[tuple[int, int]]) -> DataFrame:
     """(start, psi) of finished windows against a baseline of (band, count), a small local table."""
-    base = F.broadcast(counts.sparkSession.createDataFrame(list(baseline), "v int, b long"))
     total = sum(max(1, n) for _, n in baseline)
-    spine = counts.select("start").distinct().join(base)
-    n = F.greatest(F.coalesce("n", F.lit(0)), F.lit(1))
-    one = spine.join(counts, ["start", "v"], "left").select("start", n.alias("n"), (F.greatest("b", F.lit(1)) / total).alias("r0"))
-    all_n = one.groupBy("start").agg(F.sum("n").alias("all"))
-    r = F.col("n") / F.col("all")
-    return one.join(all_n, "start").groupBy("start").agg(F.sum((r - F.col("r0")) * F.ln(r / F.col("r0"))).alias("psi"))
+    per = counts.groupBy("start").agg(F.map_from_entries(F.collect_list(F.struct("v", "n"))).alias("m"))  # one entry per band
+    n = F.array(*(F.greatest(F.coalesce(F.try_element_at("m", F.lit(v)), F.lit(0)), F.lit(1)) for v, _ in baseline))
+    sized = per.select("start", n.alias("n")).withColumn("all", F.aggregate("n", F.lit(0).cast("long"), lambda a, x: a + x))
+    out = F.lit(0.0)
+    for i, (_, b) in enumerate(baseline):
+        r, r0 = F.col("n")[i] / F.col("all"), max(1, b) / total
+        out = out + (r - r0) * F.ln(r / r0)
+    return sized.select("start", out.alias("psi"))
