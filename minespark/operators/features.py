@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from minespark.functions.arithmetic import fit_floor, safe_div
+from minespark.operators.ranking import quantiles
 
 RECENT = ("avg", "std", "min", "max", "sep", "wave", "grow", "more0cnt", "moreq25cnt", "valuecnt")
 PAIR = ("add", "sub", "mult", "div")
@@ -49,11 +50,10 @@ def fitted(panel: DataFrame, defs: Sequence[FeatureDef], *, period: str, at: str
     out = []
     now = panel.where(F.col(period) == at)
     q25 = [d for d in defs if d.method == "moreq25cnt" and d.value is None]
-    values = now.agg(*(F.percentile(F.col(d.inputs[0]).cast("double"), F.lit(0.25)) for d in q25)).first() if q25 else ()
-    learned = dict(zip((d.inputs[0] for d in q25), values))
+    learned = {r.col: r.value for r in quantiles(now, [d.inputs[0] for d in q25], [0.25]).collect()} if q25 else {}
     for d in defs:
         if d.method == "moreq25cnt" and d.value is None:
-            d = FeatureDef(d.method, d.inputs, learned[d.inputs[0]])
+            d = FeatureDef(d.method, d.inputs, learned.get(d.inputs[0]))
         elif d.method == "div":
             d = FeatureDef(d.method, d.inputs, None, fit_floor(now, F.col(d.inputs[1])))
         out.append(d)

@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from minespark.functions.periods import month_add, month_list
 from minespark.operators.panel import union_all
+from minespark.operators.ranking import quantiles
+from minespark.runtime import small
 
 
 def followed(scores: DataFrame, labels: DataFrame, models: Mapping[str, tuple[str, int]], *, perform: str, n: int, period: str, entity: str, label_period: str = "fixed") -> DataFrame:
@@ -32,24 +34,19 @@ def followed(scores: DataFrame, labels: DataFrame, models: Mapping[str, tuple[st
 def monitor_report(followed_scores: DataFrame, *, positive: str = "1", negative: str = "0", by: Sequence[str] = ("model_name", "stat_batch", "exe_sam"), shares: Sequence[float] = (0.2, 0.4), score: str = "score", label: str = "flag_value", null_label: str = "del") -> DataFrame:
     """(by, share, n, n_pos, rate, cum_pos, cum_precision, cum_recall, cum_lift): the top shares of each group.
 
-    Bands are looked up by their share, not their place. Thresholds are each group's exact quantiles, from score counts.
+    Bands are looked up by their share, not their place. Thresholds are each group's exact quantiles
+    (ranking.quantiles); the counts are one aggregation with map-side combine, so no group is gathered in one task.
     """
-    from pyspark.sql import Window
-
     rows = followed_scores.where(F.col(score).isNotNull())
     y = F.col(label).cast("string")
     rows = rows.where(y.isNotNull()) if null_label == "del" else rows.withColumn(label, F.coalesce(y, F.lit(positive if null_label == "positive" else negative)))
-    counts = rows.groupBy(*by, score).agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col(label).cast("string") == positive).alias("p"))
-    w = Window.partitionBy(*by)
-    ups = counts.withColumns({"upto": F.sum("n").over(w.orderBy(score)), "all": F.sum("n").over(w), "cn": F.sum("n").over(w.orderBy(F.desc(score))), "cp": F.sum("p").over(w.orderBy(F.desc(score))), "ap": F.sum("p").over(w)})
-    out = []
-    for s in shares:
-        # linear quantile 1 - s: between the scores of ranks floor and floor + 1 (from 0)
-        place = F.lit(round(1 - s, 12)) * (F.col("all") - 1)
-        lo = F.min(F.when(F.col("upto") > F.floor(place), F.col(score))).over(w)
-        hi = F.min(F.when(F.col("upto") > F.ceil(place), F.col(score))).over(w)
-        threshold = lo + (hi - lo) * (place - F.floor(place))
-        hit = ups.withColumn("_t", threshold).where(F.col(score) >= F.col("_t")).groupBy(*by).agg(F.max("all").alias("n"), F.max("ap").alias("n_pos"), F.max("cn").alias("cum_n"), F.max("cp").alias("cum_pos"))
-        out.append(hit.withColumn("share", F.lit(float(s))))
+    key = F.to_json(F.struct(*by)).alias("_g")
+    y = F.col(label).cast("string") == positive
+    t = quantiles(rows.select(key, score), [score], [round(1 - x, 12) for x in shares], by=["_g"])
+    named = F.coalesce(*(F.when(F.col("share") == round(1 - x, 12), F.lit(float(x))) for x in shares))
+    t = t.select("_g", named.alias("share"), F.col("value").alias("_t"))  # a row per group and share
+    each = rows.select(*by, key, score, y.alias("_y")).join(small(t), "_g")
+    reached = F.col(score) >= F.col("_t")
+    tables = each.groupBy(*by, "share").agg(F.count(F.lit(1)).alias("n"), F.count_if("_y").alias("n_pos"), F.count_if(reached).alias("cum_n"), F.count_if(reached & F.col("_y")).alias("cum_pos"))
     r = lambda a, b: F.try_divide(F.col(a).cast("double"), F.col(b).cast("double"))
-    return union_all(out).select(*by, "share", "n", "n_pos", r("n_pos", "n").alias("rate"), "cum_n", "cum_pos", r("cum_pos", "cum_n").alias("cum_precision"), r("cum_pos", "n_pos").alias("cum_recall"), F.round(F.try_divide(r("cum_pos", "cum_n"), r("n_pos", "n")), 2).alias("cum_lift"))
+    return tables.select(*by, "share", "n", "n_pos", r("n_pos", "n").alias("rate"), "cum_n", "cum_pos", r("cum_pos", "cum_n").alias("cum_precision"), r("cum_pos", "n_pos").alias("cum_recall"), F.round(F.try_divide(r("cum_pos", "cum_n"), r("n_pos", "n")), 2).alias("cum_lift"))

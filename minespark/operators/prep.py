@@ -12,6 +12,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from minespark.operators.ranking import quantiles
 from minespark.operators.stats import crosstab, drop_correlated, information_values, melt, woe_iv
 
 #: Names of merged values (fixed values).
@@ -218,13 +219,25 @@ def fit_impute(df: DataFrame, columns: Sequence[str], strategy: str, fill: objec
     """mean, median, most_frequent (smallest on ties) or constant. A column without values is dropped, unless constant."""
     if strategy == "constant":
         return Fitted("impute", (), {c: {"value": fill} for c in columns})
-    value = {"mean": lambda c: F.avg(c), "median": lambda c: F.percentile(F.col(c).cast("double"), F.lit(0.5)), "most_frequent": lambda c: F.mode(c, True)}
-    if strategy not in value:
+    if strategy == "mean":
+        row = df.agg(*(F.avg(c).alias(c) for c in columns)).first().asDict()
+    elif strategy == "median":
+        row = dict.fromkeys(columns) | {r.col: r.value for r in quantiles(df, columns, [0.5]).collect()}
+    elif strategy == "most_frequent":
+        first = value_counts(df, columns).where("v is not null").groupBy("col", "n").agg(F.min("v").alias("v"))
+        row = dict.fromkeys(columns) | {r.col: r.v for r in first.groupBy("col").agg(F.max_by("v", "n").alias("v")).collect()}
+    else:
         raise ValueError(f"no strategy {strategy}")
-    row = df.agg(*(value[strategy](c).alias(c) for c in columns)).first().asDict()
     return Fitted("impute", tuple(c for c in columns if row[c] is None), {c: {"value": v} for c, v in row.items() if v is not None})
 
 
+def fit_toint(df: DataFrame, columns: Sequence[str]) -> Fitted:
+    """Text columns all of whose values are whole numbers become integers; one pass over all columns."""
+    whole = lambda c: F.bool_and(F.coalesce(F.col(c).cast("string").rlike("^-?[0-9]{1,9}$"), F.lit(True)))
+    row = df.agg(*(whole(c).alias(c) for c in columns)).first().asDict() if columns else {}
+    return Fitted("toint", (), {c: {} for c, ok in row.items() if ok})
+
+
 def fit_indicator(columns: Sequence[str]) -> Fitted:
     return Fitted("indicator", (), {c: {} for c in columns})
 
@@ -274,8 +287,10 @@ def fit_value_converter(df: DataFrame, columns: Sequence[str], *, bin_limit: int
 
 def fit_outliers(df: DataFrame, columns: Sequence[str], k: float = 1.5) -> Fitted:
     """Clamp numbers to the quartiles (exact, linear) less or plus k interquartile ranges."""
-    q = df.agg(*(F.percentile(F.col(c).cast("double"), F.array(F.lit(0.25), F.lit(0.75))).alias(c) for c in columns)).first().asDict()
-    return Fitted("clamp", (), {c: {"lo": v[0] - k * (v[1] - v[0]), "hi": v[1] + k * (v[1] - v[0])} for c, v in q.items() if v is not None})
+    q: dict[str, dict[float, float]] = {}
+    for r in quantiles(df, columns, [0.25, 0.75]).collect():  # two rows per column
+        q.setdefault(r.col, {})[r.share] = r.value
+    return Fitted("clamp", (), {c: {"lo": v[0.25] - k * (v[0.75] - v[0.25]), "hi": v[0.75] + k * (v[0.75] - v[0.25])} for c, v in q.items()})
 
 
 def drop_outliers(df: DataFrame, clamp: Fitted) -> DataFrame:

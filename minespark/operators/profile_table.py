@@ -7,6 +7,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from minespark.operators.ranking import quantiles
+
 #: Names of profile statistics (fixed values).
 TOTAL, NULLS, ZEROS, NEGATIVES = "count_全量", "count_空值", "count_零值", "count_负值"
 ALL_ROWS = "全量"
@@ -15,12 +17,12 @@ BIG_DISPERSION = 0.1
 
 
 def profile_rows(
-    df: DataFrame, *, period: str, numbers: Sequence[str], others: Sequence[str] = (), quantiles: Sequence[float] = (0.75,),
+    df: DataFrame, *, period: str, numbers: Sequence[str], others: Sequence[str] = (), shares: Sequence[float] = (0.75,),
     cuts: Mapping[str, Sequence[float]] | None = None, values: Mapping[str, Sequence[str]] | None = None,
 ) -> DataFrame:
     """(period, col_name, col_stat, col_value): counters of every column by period, from one aggregation and one unpivot.
 
-    Per column nulls; per number zeros, negatives and exact quantiles; `cuts`: counts in right-closed buckets; `values`: counts
+    Quantiles come from one range sort (ranking.quantiles). Per column nulls; per number zeros, negatives and exact quantiles; `cuts`: counts in right-closed buckets; `values`: counts
     of chosen values. Empty periods give no rows.
     """
     stats: list[tuple[str, str, Column]] = [(ALL_ROWS, TOTAL, F.count(F.lit(1)))]
@@ -28,7 +30,7 @@ def profile_rows(
         stats.append((c, NULLS, F.count_if(F.col(c).isNull())))
     for c in numbers:
         stats += [(c, ZEROS, F.count_if(F.col(c) == 0)), (c, NEGATIVES, F.count_if(F.col(c) < 0))]
-        stats += [(c, f"分位数_{q:.0%}", F.percentile(F.col(c).cast("double"), F.lit(q))) for q in quantiles]
+        stats += [(c, f"分位数_{q:.0%}", F.lit(None)) for q in shares]  # filled in below
     for c, edges in (cuts or {}).items():
         bounds = [None, *edges, None]
         for lo, hi in zip(bounds, bounds[1:]):
@@ -38,7 +40,13 @@ def profile_rows(
         stats += [(c, f"count_={v}", F.count_if(F.col(c).cast("string") == v)) for v in chosen]
     wide = df.groupBy(period).agg(*(x.cast("double").alias(f"s{i}") for i, (_, _, x) in enumerate(stats)))
     rows = F.array(*(F.struct(F.lit(c).alias("col_name"), F.lit(s).alias("col_stat"), F.col(f"s{i}").alias("col_value")) for i, (c, s, _) in enumerate(stats)))
-    return wide.select(period, F.explode(rows).alias("_r")).select(period, "_r.*")
+    out = wide.select(period, F.explode(rows).alias("_r")).select(period, "_r.*")
+    if not numbers or not shares:
+        return out
+    q = quantiles(df.select(F.col(period).alias("_p"), *numbers), numbers, shares, by=["_p"])
+    name = F.concat(F.lit("分位数_"), F.round(F.col("share") * 100).cast("int"), F.lit("%"))
+    q = q.select("_p", F.col("col").alias("_c"), name.alias("_s"), "value")
+    return out.join(q, F.col(period).eqNullSafe(F.col("_p")) & (F.col("col_name") == F.col("_c")) & (F.col("col_stat") == F.col("_s")), "left").select(period, "col_name", "col_stat", F.coalesce("value", "col_value").alias("col_value"))
 
 
 def profile_comparison(rows: DataFrame, *, period: str, periods: Sequence[str], big: float = BIG_DISPERSION) -> DataFrame:

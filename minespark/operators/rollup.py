@@ -8,6 +8,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from minespark.operators.ranking import quantiles
+
 #: Suffixes of rolled-up columns by method (fixed values).
 SUFFIX = {"main": "_teamzk", "max": "_teammax", "sum": "_teamadd", "max_main": "_teammax"}
 
@@ -50,9 +52,11 @@ def plan_statistics(df: DataFrame, *, plan: str, columns: Sequence[str], above:
     aggs = [F.count(F.lit(1)).alias("cnt_spec")]
     for c in columns:
         aggs += [F.count_if(F.col(c) > x).alias(f"spec_count{x}_{c}") for x in above]
-        aggs += [F.percentile(F.col(c).cast("double"), F.lit(s)).alias(f"spec_pre{str(s).replace('.', '')}_{c}") for s in shares]
         aggs.append(F.max(c).alias(f"spec_max_{c}"))
-    return df.groupBy(plan).agg(*aggs)
+    q = quantiles(df, columns, shares, by=[plan])
+    one = lambda c, s: F.max(F.when((F.col("col") == c) & (F.col("share") == float(s)), F.col("value"))).alias(f"spec_pre{str(s).replace('.', '')}_{c}")
+    wide = q.groupBy(F.col(plan).alias("_plan")).agg(*(one(c, s) for c in columns for s in shares))
+    return df.groupBy(plan).agg(*aggs).join(wide, F.col(plan).eqNullSafe(F.col("_plan")), "left").drop("_plan")
 
 
 def with_plan_statistics(df: DataFrame, *, plan: str, columns: Sequence[str], **how) -> DataFrame:

@@ -128,7 +128,9 @@ def drop_correlated(pairs: Sequence[tuple[str, str, float]], iv: Mapping[str, fl
 
 def quartile_drift(old: DataFrame, new: DataFrame, column: str, limit: float) -> DataFrame:
     """(v, r_old, r_new, moved): shares of a number within the old rows' quartile bands, the outer edges widened by 0.8 and 1.2."""
-    q = old.agg(F.percentile(F.col(column).cast("double"), F.array(*(F.lit(x) for x in (0.0, 0.25, 0.5, 0.75, 1.0))))).first()[0]
+    from minespark.operators.ranking import exact_quantiles
+
+    q = list(exact_quantiles(old, column, [0.0, 0.25, 0.5, 0.75, 1.0]).values())
     edges = sorted({q[0] * (0.8 if q[0] > 0 else 1.2), *q[1:4], q[4] * (1.2 if q[4] > 0 else 0.8)})
     shares = []
     for df in (old, new):

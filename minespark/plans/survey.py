@@ -385,6 +385,12 @@ def q33_profile_vertical(spark, d):
     return rounded(order_profile(spark, d), "col_value", digits=4)
 
 
+@query(f"with {PROFILE_SQL} select year, x.c as col_name, x.s as col_stat, cast(x.v as bigint) as n from pr where x.s like 'count_(%' or x.s like 'count_=%'")
+def q34_profile_buckets(spark, d):
+    rows = order_profile(spark, d).where("col_stat like 'count_(%' or col_stat like 'count_=%'")
+    return rows.select("year", "col_name", "col_stat", F.col("col_value").cast("long").alias("n"))
+
+
 @query(f"""with {PROFILE_SQL},
 w as (select x.c as col_name, x.s as col_stat, max(x.v) filter (year = '1996') as a, max(x.v) filter (year = '1997') as b, max(x.v) filter (year = '1998') as c from pr group by 1, 2),
 t as (select a as ta, b as tb, c as tc from w where col_stat = 'count_全量'),
