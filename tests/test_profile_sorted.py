@@ -59,3 +59,18 @@ def test_small_batches_and_empty(spark):
     finally:
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
     assert profile(spark.createDataFrame([], S), RULES, "ld").stats.collect() == []
+
+
+def test_sort_key_orders_as_column_and_value_do():
+    import numpy as np
+    import pyarrow as pa
+
+    from minespark.operators.profile_sorted import _sort_key
+
+    rnd = random.Random(3)
+    numbers = sorted([Decimal(rnd.randrange(-(10**9), 10**9)) / 10000 for _ in range(300)] + [Decimal(x) for x in ("0", "12345678901234567890.1234", "922337203685477.5808", "-0.0001", "-99999999999999999999")])
+    texts = sorted(("".join(rnd.choice("ab中é Z\x7f😀") for _ in range(rnd.randrange(12))) for _ in range(300)), key=str.encode)
+    for columns in (25, 128, 129, 1000):
+        k = [_sort_key(3, pa.array([None, *numbers], pa.decimal128(38, 4)), True, columns), _sort_key(4, pa.array(["x", None, *texts]).slice(1), False, columns), _sort_key(columns - 1, pa.array([None, "z"]), False, columns)]
+        assert (np.diff(np.concatenate(k)) >= 0).all() and k[0].max() < k[1].min() and k[1].max() < k[2].min() and k[0].min() >= 0
+        assert len(_sort_key(0, pa.array([], pa.string()), False, columns)) == 0
