@@ -15,7 +15,7 @@ PSI_LIMIT = 0.1
 def melt(df: DataFrame, columns: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
     """(keep, col, v): one row per row and column, values as text."""
     pairs = F.array(*(F.struct(F.lit(c).alias("col"), F.col(f"`{c}`").cast("string").alias("v")) for c in columns))
-    return df.select(*keep, F.explode(pairs).alias("_p")).select(*keep, "_p.col", "_p.v")
+    return df.select(*keep, F.explode(pairs).alias("_col_v")).select(*keep, "_col_v.col", "_col_v.v")
 
 
 def crosstab(df: DataFrame, columns: Sequence[str], label: str, positive: str, negative: str) -> DataFrame:
@@ -140,6 +140,39 @@ def quartile_drift(old: DataFrame, new: DataFrame, column: str, limit: float) ->
     return both.withColumn("moved", F.abs(F.col("r_new") - F.col("r_old")) > limit)
 
 
+def panel_drift(panel: DataFrame, *, period: str, first: str, numbers: Sequence[str] = (), categories: Sequence[str] = (), limit: float = 0.1) -> DataFrame:
+    """(col, period, v, r_old, r_new, moved): shares of each period's values beside those of the first period, for all columns at once.
+
+    Numbers are banded by the first period's quartiles, outer edges widened by 0.8 and 1.2 (other values are band -1); categories count
+    by value, null as ''. moved: the shares differ by more than the limit. One range sort for the quartiles, one aggregation for all shares.
+    """
+    from minespark.operators.ranking import quantiles
+
+    edges: dict[str, list[float]] = {}
+    for r in quantiles(panel.where(F.col(period) == first), numbers, [0.0, 0.25, 0.5, 0.75, 1.0]).orderBy("share").collect() if numbers else []:  # five rows per column
+        edges.setdefault(r.col, []).append(r.value)
+    cols = {}
+    for c, q in edges.items():
+        e = sorted({q[0] * (0.8 if q[0] > 0 else 1.2), *q[1:4], q[4] * (1.2 if q[4] > 0 else 0.8)})
+        cols[c] = F.coalesce(band(F.col(c), e) if len(e) > 1 else F.lit(0), F.lit(-1)).cast("string").alias(c)
+    cols |= {c: F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in categories}
+    long = melt(panel.select(F.col(period).alias("_p"), *cols.values()), list(cols), ["_p"])
+    counts = long.where("_p is not null").groupBy("col", "_p", "v").agg(F.count(F.lit(1)).alias("n"))
+    shares = counts.withColumn("r", F.col("n") / F.sum("n").over(Window.partitionBy("col", "_p")))
+    # a column's values, each with its share in every period, null where it doesn't occur
+    periods = shares.select("col", "_p").distinct()
+    spine = shares.select("col", "v").distinct().join(periods, "col")
+    old = shares.where(F.col("_p") == first).select("col", "v", F.col("r").alias("r_old"))
+    out = spine.join(shares.select("col", "_p", "v", F.col("r").alias("r_new")), ["col", "_p", "v"], "left").join(old, ["col", "v"], "left").fillna(0.0, ["r_old", "r_new"])
+    return out.select("col", F.col("_p").alias(period), "v", "r_old", "r_new", (F.abs(F.col("r_new") - F.col("r_old")) > limit).alias("moved"))
+
+
+def constant_columns(df: DataFrame, columns: Sequence[str]) -> list[str]:
+    """Columns with one value (null is none) or none at all; one pass over all columns."""
+    row = df.agg(*(F.coalesce(F.min(F.col(c).cast("string")) == F.max(F.col(c).cast("string")), F.lit(True)).alias(c) for c in columns)).first().asDict()
+    return [c for c in columns if row[c]]
+
+
 def ks_auc(df: DataFrame, score: str, label: str, positive: str, negative: str) -> DataFrame:
     """(ks, auc) of a score: greatest gap of the cumulative shares, and the rank-sum area with ties by halves.
 

@@ -106,6 +106,15 @@ def test_woe_and_psi(spark):
     assert stats.drop_correlated([("a", "b", 0.9), ("b", "c", -0.95), ("a", "c", 0.85), ("a", "d", None)], {"a": 2, "b": 1, "c": 1}, 0.8) == ["c", "b"]
 
 
+def test_panel_drift(spark):
+    rows = [("1", float(i), "a") for i in range(1, 9)] + [("2", float(i), "b" if i > 4 else "a") for i in range(5, 13)] + [("2", None, None), (None, 1.0, "a")]
+    df = spark.createDataFrame(rows, "m string, x double, c string")
+    got = {(r.col, r.m, r.v): (r.r_old, r.r_new, r.moved) for r in stats.panel_drift(df, period="m", first="1", numbers=["x"], categories=["c"], limit=0.3).collect()}
+    assert got["c", "2", "b"] == (0.0, 8 / 9, True) and got["c", "2", "a"] == (1.0, 0.0, True) and got["c", "2", ""] == (0.0, 1 / 9, False)
+    assert [got["x", "2", str(v)][1] for v in range(-1, 4)] == [4 / 9, 0.0, 0.0, 2 / 9, 3 / 9] and got["x", "1", "0"] == (0.25, 0.25, False)
+    assert stats.constant_columns(df.withColumn("k", F.lit(None)), ["m", "x", "k"]) == ["k"]
+
+
 def test_expectations(spark):
     df = spark.createDataFrame([(1.0, "a"), (float("nan"), "a")], "x double, k string")
     with pytest.raises(ValueError, match="x"):
