@@ -66,7 +66,7 @@ def keep_cutoffs(records: DataFrame, targets: DataFrame, *, group: Sequence[str]
             cand = written(cand.join(small(still), "g").where("s > lo and s < hi").select("g", "s"), "cutoff-cand")
             inside = cand.join(small(live.select("g", "lo", "hi", "pivot")), "g").where("s > lo and s < hi")
             held = n_left
-        parts = inside.select("g", "s", "pivot").mapInArrow(_sides, _PART)
+        parts = written(inside.select("g", "s", "pivot").mapInArrow(_sides, _PART), "cutoff-parts")
         state = written(_narrowed(state, parts), "cutoff-state")
     rest = cand.join(small(state.where(~F.col("done")).select("g", "lo", "hi", "need", "above")), "g").where("s > lo and s < hi")
     by_score = rest.groupBy("g", "s", "need", "above").agg(F.count(F.lit(1)).alias("n"))
