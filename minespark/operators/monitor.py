@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from minespark.functions.periods import month_add, month_list
 from minespark.operators.panel import union_all
 from minespark.operators.ranking import quantiles
-from minespark.runtime import small
+from minespark.runtime import small, written
 
 
 def followed(scores: DataFrame, labels: DataFrame, models: Mapping[str, tuple[str, int]], *, perform: str, n: int, period: str, entity: str, label_period: str = "fixed") -> DataFrame:
@@ -44,7 +44,7 @@ def monitor_report(followed_scores: DataFrame, *, positive: str = "1", negative:
     y = F.col(label).cast("string") == positive
     t = quantiles(rows.select(key, score), [score], [round(1 - x, 12) for x in shares], by=["_g"])
     named = F.coalesce(*(F.when(F.col("share") == round(1 - x, 12), F.lit(float(x))) for x in shares))
-    t = t.select("_g", named.alias("share"), F.col("value").alias("_t"))  # a row per group and share
+    t = written(t.select("_g", named.alias("share"), F.col("value").alias("_t")), "monitor-thresholds")  # a row per group and share
     each = rows.select(*by, key, score, y.alias("_y")).join(small(t), "_g")
     reached = F.col(score) >= F.col("_t")
     tables = each.groupBy(*by, "share").agg(F.count(F.lit(1)).alias("n"), F.count_if("_y").alias("n_pos"), F.count_if(reached).alias("cum_n"), F.count_if(reached & F.col("_y")).alias("cum_pos"))

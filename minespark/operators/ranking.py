@@ -53,6 +53,7 @@ def quantiles(df: DataFrame, columns: Sequence[str], shares: Sequence[float], by
     asked = placed.withColumn("share", F.explode(F.array(*(F.lit(float(x)) for x in shares)))).withColumn("place", F.round(place, 9))
     ranks = F.array(F.struct(F.lit(0).alias("up"), (F.floor("place") + 1).alias("rank")), F.struct(F.lit(1).alias("up"), (F.ceil("place") + 1).alias("rank")))
     asked = asked.withColumn("_r", F.explode(ranks)).select("_g", "col", "pid", "before", "n", "share", "_r.up", "_r.rank", (F.col("place") - F.floor("place")).alias("part")).where("before < rank and rank <= before + n").drop("n")
+    asked = written(asked, "quantiles-asked")  # two rows per group, column and share
     stretch = t.join(small(asked.select("_g", "col", "pid").distinct()), ["_g", "col", "pid"], "left_semi")
     upto = stretch.withColumn("upto", F.sum("n").over(Window.partitionBy("_g", "col", "pid").orderBy("x")))
     hit = upto.join(small(asked), ["_g", "col", "pid"]).where("before + upto - n < rank and rank <= before + upto")
