@@ -71,7 +71,7 @@ def profile(df: DataFrame, rules: list[ColumnRule], load: str, quantile: tuple[i
     total = parts.groupBy("load", "c").agg(*(F.sum(x).alias(x) for x in sums), F.min("lo").alias("lo"), F.max("hi").alias("hi"))
     number_parts = parts.where(F.col("c").isin(numbers)).select("pid", "c", "load", "n")
     curves = out.where("kind = 'curve'").select("pid", "c", "load", "d", "n")
-    q = _quantiles(number_parts, curves, *quantile)
+    q = written(_quantiles(number_parts, curves, *quantile), "profile-quantiles")
     is_number = F.col("c").isin(numbers)
     stats = total.join(small(q), ["load", "c"], "left").select(
         "load", "c", (F.col("n") + F.col("n_null")).alias("n_rows"), "n_null", "n_distinct", "n_bad",
