@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from minespark.operators.ranking import quantiles
 from minespark.operators.stats import crosstab, drop_correlated, information_values, melt, woe_iv
+from minespark.runtime import small, written
 
 #: Names of merged values (fixed values).
 RARE, LOW_IV = "其他_countlow", "其他_ivlow"
@@ -123,83 +124,172 @@ def fit_prefilter(df: DataFrame, numbers: Sequence[str], categories: Sequence[st
     return [Fitted("drop", tuple(sorted(dropped))), Fitted("merge", (), {r.col: {"values": list(r.v), "to": RARE} for r in rare})]
 
 
-def mdlp_edges(values: np.ndarray, pos: np.ndarray, neg: np.ndarray, min_split: int = 30, bin_limit: int | None = None) -> list[float]:
-    """Edges (-inf, ..., inf) of supervised bins of a histogram: sorted values with class counts.
-
-    An interval is cut where the Gini impurity falls most (halfway between neighbouring values, the lowest on ties) if it
-    has min_split rows and the information gain passes the minimum description length test: gain >=
-    (ln(n-1) + ln(3^k - 2) - (k E - k1 E1 - k2 E2)) / n, entropies by natural logarithm, k the classes present.
-    """
-    counts = np.column_stack([pos, neg]).astype(float)
+def _split_accepted(total: np.ndarray, left: np.ndarray) -> bool:
+    """Whether the information gain of a cut passes the minimum description length test; class counts of an interval and of its left part."""
 
     def entropy(c: np.ndarray) -> float:
         p = c[c > 0] / c.sum()
         return float(-(p * np.log(p)).sum())
 
-    cuts: list[float] = []
-    todo = [(0, len(values))]
+    right = total - left
+    n = total.sum()
+    e, e1, e2 = entropy(total), entropy(left), entropy(right)
+    k, k1, k2 = (int((x > 0).sum()) for x in (total, left, right))
+    gain = e - left.sum() / n * e1 - right.sum() / n * e2
+    return gain >= (math.log(n - 1) + math.log(3**k - 2) - (k * e - k1 * e1 - k2 * e2)) / n
+
+
+def _cut_gini(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Gini impurities (times rows) after cuts with these class counts on both sides, to nine digits."""
+    nl, nr = left.sum(1), right.sum(1)
+    return np.round(nl - (left**2).sum(1) / np.maximum(nl, 1) + nr - (right**2).sum(1) / np.maximum(nr, 1), 9)
+
+
+def _mdlp_cuts(values: np.ndarray, pos: np.ndarray, neg: np.ndarray, min_split: int = 30) -> list[tuple[int, float, int]]:
+    """(depth, cut, rows at or below it) of all cuts of a histogram, see mdlp_edges."""
+    counts = np.column_stack([pos, neg]).astype(float)
+    rows = np.cumsum(counts.sum(1))
+    cuts = []
+    todo = [(0, 0, len(values))]
     while todo:
-        a, z = todo.pop(0)
+        depth, a, z = todo.pop()
         part = counts[a:z]
         total = part.sum(0)
-        n = total.sum()
-        if z - a < 2 or n < min_split:
+        if z - a < 2 or total.sum() < min_split:
             continue
         left = np.cumsum(part, 0)[:-1]
-        right = total - left
-        nl, nr = left.sum(1), right.sum(1)
-        gini = nl - (left**2).sum(1) / np.maximum(nl, 1) + nr - (right**2).sum(1) / np.maximum(nr, 1)
-        at = int(np.argmin(np.round(gini, 9)))
-        e, e1, e2 = entropy(total), entropy(left[at]), entropy(right[at])
-        k, k1, k2 = (int((x > 0).sum()) for x in (total, left[at], right[at]))
-        gain = e - nl[at] / n * e1 - nr[at] / n * e2
-        if gain < (math.log(n - 1) + math.log(3**k - 2) - (k * e - k1 * e1 - k2 * e2)) / n:
-            continue
-        cuts.append(float((values[a + at] + values[a + at + 1]) / 2))
-        if bin_limit and len(cuts) + 1 >= bin_limit:
-            break
-        todo += [(a, a + at + 1), (a + at + 1, z)]
-    return [-math.inf, *sorted(cuts), math.inf]
+        at = int(np.argmin(_cut_gini(left, total - left)))
+        if _split_accepted(total, left[at]):
+            cuts.append((depth, float((values[a + at] + values[a + at + 1]) / 2), int(rows[a + at])))
+            todo += [(depth + 1, a, a + at + 1), (depth + 1, a + at + 1, z)]
+    return cuts
+
+
+def _first_cuts(cuts: Sequence[tuple[int, float, int]], bin_limit: int | None) -> list[tuple[float, int]]:
+    """(cut, rows at or below it) by value; with bin_limit those found first, level by level from the left."""
+    return sorted(c[1:] for c in sorted(cuts)[: max(1, bin_limit - 1) if bin_limit else None])
+
+
+def mdlp_edges(values: np.ndarray, pos: np.ndarray, neg: np.ndarray, min_split: int = 30, bin_limit: int | None = None) -> list[float]:
+    """Edges (-inf, ..., inf) of supervised bins of a histogram: sorted values with class counts.
+
+    An interval is cut where the Gini impurity falls most (halfway between neighbouring values, the lowest on ties) if it
+    has min_split rows and the information gain passes the minimum description length test: gain >=
+    (ln(n-1) + ln(3^k - 2) - (k E - k1 E1 - k2 E2)) / n, entropies by natural logarithm, k the classes present.
+    """
+    return [-math.inf, *(c for c, _ in _first_cuts(_mdlp_cuts(values, pos, neg, min_split), bin_limit)), math.inf]
+
+
+@dataclass(frozen=True)
+class _Interval:
+    """Values of a column that no cut has parted: those up to `hi` (all if None) and above the interval before; class counts and values below and inside."""
+
+    depth: int
+    hi: float | None
+    below: tuple[int, int, int]
+    inside: tuple[int, int, int]
+
+
+def _cumulated(counts: DataFrame) -> DataFrame:
+    """(col, x, p, n, nx, cp, cn, ck) of a table (col, x, p, n): the column's next value, and its class counts and values up to x.
+
+    One range sort; each task's sums (a row per task and column) give the offsets of those after it.
+    """
+    t = written(counts.repartitionByRange("col", "x").sortWithinPartitions("col", "x").withColumn("pid", F.spark_partition_id()), "mdlp-sorted")
+    parts = t.groupBy("col", "pid").agg(F.sum("p").alias("sp"), F.sum("n").alias("sn"), F.count(F.lit(1)).alias("sk"), F.min("x").alias("first"))
+    w = Window.partitionBy("col").orderBy("pid")
+    offset = parts.select("col", "pid", *((F.sum(f"s{c}").over(w) - F.col(f"s{c}")).alias(f"b{c}") for c in "pnk"), F.lead("first").over(w).alias("following"))
+    run = Window.partitionBy("col", "pid").orderBy("x")
+    upto = t.withColumns({"cp": F.sum("p").over(run), "cn": F.sum("n").over(run), "ck": F.row_number().over(run), "nx": F.lead("x").over(run)}).join(small(offset), ["col", "pid"])
+    return written(upto.select("col", "x", "p", "n", F.coalesce("nx", "following").alias("nx"), *((F.col(f"c{c}") + F.col(f"b{c}")).alias(f"c{c}") for c in "pnk")), "mdlp-cumulated")
+
+
+def _parted(values: DataFrame, totals: Mapping[str, tuple[int, int, int]], histogram: int, min_split: int) -> tuple[dict[str, list[tuple[int, float, int]]], dict[str, list[_Interval]]]:
+    """(cuts, intervals) by column: all cuts of intervals with more than `histogram` values, and what they leave.
+
+    Level by level, each task finds the best cut of every open interval among its rows of `values` (_cumulated), which hold
+    their own prefix sums; the least of the tasks' (a row per interval) is the interval's.
+    """
+    cuts: dict[str, list[tuple[int, float, int]]] = {c: [] for c in totals}
+    parts = {c: [_Interval(0, None, (0, 0, 0), t)] for c, t in totals.items()}
+    todo = {(c, 0) for c, (p, n, _) in totals.items() if p + n >= min_split}
+    while todo:
+        ends = {c: np.array([i.hi for i in parts[c][:-1]], dtype=float) for c, _ in todo}
+        below = {c: np.array([i.below[:2] for i in parts[c]], dtype=float) for c in ends}
+        inside = {c: np.array([i.inside[:2] for i in parts[c]], dtype=float) for c in ends}
+        is_open = {c: np.array([(c, k) in todo for k in range(len(parts[c]))]) for c in ends}
+
+        def best(batches):
+            for batch in batches:
+                for c, p in batch.groupby("col"):
+                    at = np.searchsorted(ends[c], p["x"].to_numpy(), side="left")
+                    p, at = p[is_open[c][at]], at[is_open[c][at]]
+                    left = p[["cp", "cn"]].to_numpy(dtype=float) - below[c][at]
+                    right = inside[c][at] - left
+                    p = p.assign(seg=at, g=_cut_gini(left, right))[right.sum(1) > 0]  # an interval's last value is no cut
+                    yield p.sort_values(["seg", "g", "x"]).drop_duplicates("seg")[["col", "seg", "g", "x", "nx", "cp", "cn", "ck"]]
+
+        found = values.where(F.col("col").isin(list(ends))).select("col", "x", "nx", "cp", "cn", "ck").mapInPandas(best, "col string, seg int, g double, x double, nx double, cp long, cn long, ck long")
+        hits = {(r.col, r.seg): r.m for r in found.groupBy("col", "seg").agg(F.min(F.struct("g", "x", "nx", "cp", "cn", "ck")).alias("m")).collect()}  # a row per open interval
+        todo = set()
+        for c in ends:
+            after: list[_Interval] = []
+            for k, i in enumerate(parts[c]):
+                m = hits.get((c, k))
+                left = m and tuple(a - b for a, b in zip((m.cp, m.cn, m.ck), i.below))
+                if not m or not _split_accepted(np.array(i.inside[:2], dtype=float), np.array(left[:2], dtype=float)):
+                    after.append(i if not is_open[c][k] else _Interval(i.depth, i.hi, i.below, (*i.inside[:2], 0)))  # settled: no values left to look at
+                    continue
+                cuts[c].append((i.depth, (m.x + m.nx) / 2, m.cp + m.cn))
+                for child in (_Interval(i.depth + 1, m.x, i.below, left), _Interval(i.depth + 1, i.hi, (m.cp, m.cn, m.ck), tuple(a - b for a, b in zip(i.inside, left)))):
+                    if child.inside[2] > histogram and sum(child.inside[:2]) >= min_split:
+                        todo.add((c, len(after)))
+                    after.append(child)
+            parts[c] = after
+    return cuts, parts
 
 
 def fit_mdlp(df: DataFrame, columns: Sequence[str], label: str, positive: str, negative: str, *, precision: int = 6, min_binsize: int = 30, bin_limit: int | None = None, drop_unsplit: bool = False, histogram: int = 1000) -> Fitted:
     """Supervised bins of number columns. Values are rounded to `precision`; bins under min_binsize rows lose their right edge.
 
-    Class counts of all columns are aggregated at once. A column with more than `histogram` different values is first counted in that
-    many equal-frequency bands (by the column's own approximate quantiles), so what one task fits is bounded.
+    Class counts of all columns are aggregated at once, and every value is a possible cut. Intervals with more than `histogram`
+    different values are cut by all tasks together (_parted), smaller ones in one task each; the edges don't depend on it.
     """
+    min_split = 30
     rows = df.where(F.col(label).cast("string").isin(positive, negative))
     long = F.explode(F.array(*(F.struct(F.lit(c).alias("col"), F.round(F.col(c).cast("double"), precision).alias("x")) for c in columns)))
     y = F.col(label).cast("string")
     melted = rows.select(long.alias("_p"), y.alias("y")).select("_p.col", "_p.x", "y").where("x is not null and not isnan(x)")
-    counts = melted.groupBy("col", "x").agg(F.count_if(F.col("y") == positive).alias("p"), F.count_if(F.col("y") == negative).alias("n"))
-    wide = {r.col for r in counts.groupBy("col").count().where(F.col("count") > histogram).collect()}
-    if wide:
-        q = rows.agg(*(F.percentile_approx(F.round(F.col(c).cast("double"), precision), [i / histogram for i in range(1, histogram)], 10 * histogram).alias(c) for c in wide)).first()
-        edges = {c: np.array(sorted(set(q[c]))) for c in wide}
-
-        @F.pandas_udf("double")
-        def place(col: pd.Series, x: pd.Series) -> pd.Series:
-            """Values of a wide column as the upper end of their band, a greater one as it is."""
-            out = x.to_numpy(copy=True)
-            for c, e in edges.items():
-                rows = np.flatnonzero((col == c).to_numpy())
-                at = np.searchsorted(e, out[rows])
-                out[rows] = np.where(at < len(e), e[np.minimum(at, len(e) - 1)], out[rows])
-            return pd.Series(out)
-
-        counts = counts.withColumn("x", place("col", "x")).groupBy("col", "x").agg(F.sum("p").alias("p"), F.sum("n").alias("n"))
-
-    def fit(p: pd.DataFrame) -> pd.DataFrame:
+    counts = written(melted.groupBy("col", "x").agg(F.count_if(F.col("y") == positive).alias("p"), F.count_if(F.col("y") == negative).alias("n")), "mdlp-values")
+    totals = {r.col: (r.p, r.n, r.k) for r in counts.groupBy("col").agg(F.sum("p").alias("p"), F.sum("n").alias("n"), F.count(F.lit(1)).alias("k")).collect()}
+    wide = {c: t for c, t in totals.items() if t[2] > histogram}
+    cuts, parts = _parted(_cumulated(counts.where(F.col("col").isin(list(wide)))), wide, histogram, min_split) if wide else ({}, {})
+    cuts |= {c: [] for c in totals if c not in wide}
+    parts |= {c: [_Interval(0, None, (0, 0, 0), t)] for c, t in totals.items() if c not in wide}
+    ends = {c: np.array([i.hi for i in parts[c][:-1]], dtype=float) for c in parts}
+    small_ones = {c: np.array([1 < i.inside[2] <= histogram and sum(i.inside[:2]) >= min_split for i in parts[c]]) for c in parts}
+
+    def place(batches):
+        """Rows of the intervals that one task is to cut, with the interval's number."""
+        for batch in batches:
+            for c, p in batch.groupby("col"):
+                at = np.searchsorted(ends[c], p["x"].to_numpy(), side="left")
+                yield p.assign(seg=at)[small_ones[c][at]]
+
+    def fit(key: tuple, p: pd.DataFrame) -> pd.DataFrame:
         p = p.sort_values("x")
-        edges = mdlp_edges(p["x"].to_numpy(), p["p"].to_numpy(), p["n"].to_numpy(), bin_limit=bin_limit)
-        size = (p["p"] + p["n"]).to_numpy()
-        place = np.searchsorted(np.array(edges[1:-1]), p["x"].to_numpy(), side="left")
-        held = np.bincount(place, size, len(edges) - 1)
-        kept = [edges[0], *(e for e, n in zip(edges[1:-1], held) if n >= min_binsize), edges[-1]]
-        return pd.DataFrame({"col": [p["col"].iloc[0]], "edges": [kept]})
-
-    found = {r.col: list(r.edges) for r in counts.groupBy("col").applyInPandas(fit, "col string, edges array<double>").collect()}
+        i = parts[key[0]][key[1]]
+        own = _mdlp_cuts(p["x"].to_numpy(), p["p"].to_numpy(), p["n"].to_numpy(), min_split)
+        return pd.DataFrame([(key[0], i.depth + d, e, i.below[0] + i.below[1] + n) for d, e, n in own], columns=["col", "depth", "cut", "upto"])
+
+    placed = counts.mapInPandas(place, "col string, x double, p long, n long, seg int")
+    for r in placed.groupBy("col", "seg").applyInPandas(fit, "col string, depth int, cut double, upto long").collect() if any(x.any() for x in small_ones.values()) else []:
+        cuts[r.col].append((r.depth, r.cut, r.upto))
+    found = {}
+    for c, (p, n, _) in totals.items():
+        own = _first_cuts(cuts[c], bin_limit)
+        held = np.diff([0, *(u for _, u in own), p + n])
+        found[c] = [-math.inf, *(e for (e, _), h in zip(own, held) if h >= min_binsize), math.inf]
     unsplit = [c for c in columns if len(found.get(c, [0, 0])) <= 2]
     return Fitted("bins", tuple(unsplit) if drop_unsplit else (), {c: {"edges": [repr(x) for x in e]} for c, e in found.items() if not (drop_unsplit and c in unsplit)})
 

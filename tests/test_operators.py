@@ -135,6 +135,29 @@ def test_mdlp_edges():
     assert prep.mdlp_edges(np.array([]), np.array([]), np.array([])) == [-math.inf, math.inf]
 
 
+def test_mdlp_of_many_values(spark):
+    # mostly zero, classes that change within a two-percent tail, and a column with many noisy bins
+    rnd = np.random.default_rng(3)
+    n = 60_000
+    tail = np.where(rnd.random(n) < 0.02, np.round(rnd.gamma(2.0, 500.0, n), 2), 0.0)
+    wave = np.round(rnd.random(n) * 4000, 1)
+    few = rnd.integers(0, 40, n).astype(float)
+    y = np.where(tail > 0, (tail > 1200) | (np.floor(tail / 150) % 2 == 1), rnd.random(n) < 0.3 + 0.2 * np.sin(wave / 300) + 0.004 * few).astype(int)
+    df = spark.createDataFrame(list(zip(tail.tolist(), wave.tolist(), few.tolist(), map(str, y.tolist()))), "tail double, wave double, few double, y string").repartition(5)
+
+    def want(x: np.ndarray, bin_limit: int | None = None) -> list[float]:
+        values, at = np.unique(x, return_inverse=True)
+        edges = prep.mdlp_edges(values, np.bincount(at, y), np.bincount(at, 1 - y), bin_limit=bin_limit)
+        held = np.bincount(np.searchsorted(edges[1:-1], x, side="left"), minlength=len(edges) - 1)
+        return [edges[0], *(e for e, h in zip(edges[1:-1], held) if h >= 30), edges[-1]]
+
+    columns = {"tail": tail, "wave": wave, "few": few}
+    assert len(np.unique(tail)) > 1000 and len(np.unique(wave)) > 5000 and len(want(tail)) > 6
+    for how in ({}, {"histogram": 20}, {"bin_limit": 4}):
+        got = prep.fit_mdlp(df, list(columns), "y", "1", "0", **how).rules
+        assert {c: [float(e) for e in r["edges"]] for c, r in got.items()} == {c: want(x, how.get("bin_limit")) for c, x in columns.items()}
+
+
 def test_steps(spark, rows):
     df = spark.createDataFrame([(float(i), "abc"[i % 3] if i % 10 else None, "1" if i % 3 == 0 else "0") for i in range(300)], "x double, c string, y string")
     bins = prep.fit_mdlp(df.withColumn("y", (F.col("x") > 99.5).cast("string")).withColumn("y", F.when(F.col("y") == "true", "1").otherwise("0")), ["x"], "y", "1", "0")
