@@ -60,7 +60,7 @@ def fit_pipeline(df: DataFrame, numbers: Sequence[str], categories: Sequence[str
         add(prep.fit_mdlp(cur, numbers, label, positive, negative, drop_unsplit=True))
         numbers = [c for c in numbers if c in cur.columns]
     if kind == "woe":
-        step, _ = prep.fit_woe(cur, [*numbers, *categories], label, positive, negative, iv_limit=iv_limit, r_limit=r_limit)
+        step, _ = prep.fit_woe(cur, [*numbers, *categories], label, positive, negative, iv_limit=iv_limit, r_limit=r_limit, keep_r=True)
         add(step)
     elif kind == "binned":
         add(prep.fit_onehot(cur, [*numbers, *categories], label=label, positive=positive, negative=negative, iv_limit=0.0))

@@ -399,9 +399,10 @@ def fit_scale(df: DataFrame, columns: Sequence[str], how: str = "standard") -> F
     return Fitted("scale", (), {c: {"shift": row[f"a{i}"], "by": (row[f"b{i}"] - row[f"a{i}"]) or 1.0} for i, c in enumerate(columns) if row[f"a{i}"] is not None})
 
 
-def fit_woe(df: DataFrame, columns: Sequence[str], label: str, positive: str, negative: str, *, iv_limit: float = 0.0, r_limit: float = 1.1, turn_limit: int | None = None, gap_limit: int = 50) -> tuple[Fitted, dict[str, float]]:
+def fit_woe(df: DataFrame, columns: Sequence[str], label: str, positive: str, negative: str, *, iv_limit: float = 0.0, r_limit: float = 1.1, turn_limit: int | None = None, gap_limit: int = 50, keep_r: bool = False) -> tuple[Fitted, dict[str, float]]:
     """(step, iv by column): values to their WOE. Dropped are near-constant columns (rows beside the top value <= gap_limit), those with
     turn_limit WOE turns or more, those under iv_limit, and of correlated pairs (on WOE codes) the one of lower IV. A value not seen gets 0.
+    With keep_r each column's rule also has its IV and its correlations with the columns after it, for reasons().
     """
     counts = crosstab(df, columns, label, positive, negative).cache()
     gaps = counts.groupBy("col").agg((F.sum(F.col("n_pos") + F.col("n_neg")) - F.max(F.col("n_pos") + F.col("n_neg"))).alias("gap"))
@@ -414,11 +415,15 @@ def fit_woe(df: DataFrame, columns: Sequence[str], label: str, positive: str, ne
     maps = {r.col: dict(zip(r.v, r.w)) for r in woe.where(F.col("col").isin(kept)).groupBy("col").agg(F.collect_list(F.coalesce("v", F.lit(""))).alias("v"), F.collect_list("woe").alias("w")).collect()} if kept else {}
     counts.unpersist()
     step = Fitted("woe", tuple(dropped), {c: {"woe": m} for c, m in maps.items()})
-    if r_limit <= 1 and len(kept) > 1:
+    pairs = []
+    if (keep_r or r_limit <= 1) and len(kept) > 1:
         from minespark.operators.stats import correlations
 
         coded = step.apply(df.select(*columns))
-        pairs = [tuple(r) for r in correlations(coded, kept).where(F.abs("r") >= r_limit).collect()]
+        pairs = [tuple(r) for r in correlations(coded, kept).where("r is not null and not isnan(r)").collect()]
         gone = drop_correlated(pairs, iv, r_limit)
         step = Fitted("woe", (*dropped, *gone), {c: r for c, r in step.rules.items() if c not in gone})
+    if keep_r:
+        for c, rule in step.rules.items():
+            rule |= {"iv": iv[c], "r": {b: r for a, b, r in pairs if a == c and b in step.rules}}
     return step, iv

@@ -48,12 +48,12 @@ def top_reasons(df: DataFrame, woe: Mapping[str, Mapping[str, float]], *, n: int
 
 
 def rare_values(df: DataFrame, woe: Mapping[str, Mapping[str, float]], *, threshold: float, at_most: float) -> dict[str, list[str]]:
-    """Values above the threshold that at most `at_most` rows hold (a share of the rows below 1); all columns in one pass."""
+    """Values (null as "") above the threshold that at most `at_most` rows hold (a share of the rows below 1); all columns in one pass."""
     from minespark.operators.prep import value_counts
 
     limit = at_most if at_most >= 1 else at_most * df.count()
     high = {c: {v for v, w in m.items() if w > threshold} for c, m in woe.items()}
-    rows = value_counts(df, list(woe)).where(F.col("n") <= limit)
+    rows = value_counts(df.select(*(F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")).alias(c) for c in woe)), list(woe)).where(F.col("n") <= limit)
     want = df.sparkSession.createDataFrame([(c, v) for c, vs in high.items() for v in vs] or [("", "")], "col string, v string")
     found = rows.join(F.broadcast(want), ["col", "v"]).groupBy("col").agg(F.collect_list("v").alias("v")).collect()
     return {r.col: sorted(r.v) for r in found}

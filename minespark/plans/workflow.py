@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import logging
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -14,8 +14,9 @@ from minespark.operators import model as models
 from minespark.operators.evaluate import evaluation
 from minespark.operators.panel import base_table, day_ready
 from minespark.operators.sampling import hash_key, usable_ratios
-from minespark.operators.score import ranked, score_band, top_reasons
-from minespark.operators.stats import only_value
+from minespark.operators.prep import Fitted
+from minespark.operators.score import ranked, rare_values, score_band, top_reasons
+from minespark.operators.stats import drop_correlated, only_value
 from minespark.runtime import written
 from minespark.plans.explore import FeaturePlan, create, explore, prepared
 from minespark.spec import ModelSpec
@@ -62,8 +63,30 @@ def train_and_test(panel: DataFrame, spec: ModelSpec, *, numbers: Sequence[str],
     return TrainResult(spec, plan, choice)
 
 
-def predict(panel: DataFrame, result: TrainResult, *, numbers: Sequence[str], categories: dict, n_reasons: int = 3) -> DataFrame:
-    """Scores of the predict month: score, band, reasons, rank and level."""
+def reasons(rows: DataFrame, steps: Sequence[Fitted], *, n: int, threshold: float = 0.0, at_most: float = 50, r_limit: float = 0.8, comments: Mapping[str, str] | None = None, not_causes: Sequence[str] = ()) -> DataFrame | None:
+    """rows, coded by the steps before WOE, with their top reasons; None without a WOE step.
+
+    Causes are the columns of the WOE step but `not_causes`, and of each pair whose WOE codes correlate by r_limit or more in training
+    only the one of greater IV. Values above the threshold that at most `at_most` rows hold are no reason. A column without comment has its name.
+    """
+    step = next((s for s in steps if s.kind == "woe"), None)
+    if step is None:
+        return None
+    for s in steps:
+        if s.kind != "woe":
+            rows = s.apply(rows)
+    causes = {c: r for c, r in step.rules.items() if c not in not_causes}
+    if any("r" not in r for r in causes.values()):
+        log.warning("the model keeps no correlations; correlated causes stay")
+    pairs = [(a, b, x) for a, r in causes.items() for b, x in r.get("r", {}).items() if b in causes]
+    gone = drop_correlated(pairs, {c: r.get("iv", 0.0) for c, r in causes.items()}, r_limit)
+    woe = {c: r["woe"] for c, r in causes.items() if c not in gone}
+    rare = rare_values(rows, woe, threshold=threshold, at_most=at_most)
+    return top_reasons(rows, woe, n=n, threshold=threshold, comments={c: (comments or {}).get(c, c) for c in woe}, rare=rare)
+
+
+def predict(panel: DataFrame, result: TrainResult, *, numbers: Sequence[str], categories: dict, n_reasons: int = 3, **how) -> DataFrame:
+    """Scores of the predict month: score, band, reasons (`how` goes to reasons()), rank and level."""
     spec, best = result.spec, result.choice.best
     if best is None:
         raise ValueError(f"{spec.name}: no model was chosen")
@@ -71,15 +94,9 @@ def predict(panel: DataFrame, result: TrainResult, *, numbers: Sequence[str], ca
     only_value(rows.where(F.col(spec.col_month) == spec.month_predict), spec.col_month)
     wide, _ = _wide(rows, spec, result.plan, numbers, categories, spec.month_predict, False)
     scored = best.score(wide).withColumn("score_cut", score_band(F.col("score"), best.thresholds))
-    woe_step = next((s for s in best.steps if s.kind == "woe"), None)
-    if woe_step is not None:
-        coded = scored
-        for s in best.steps:
-            if s.kind != "woe":
-                coded = s.apply(coded)
-        woe = {c: r["woe"] for c, r in woe_step.rules.items()}
-        reasons = top_reasons(coded, woe, n=n_reasons)
-        scored = scored.join(reasons.select(spec.col_id, *(c for c in reasons.columns if "_top" in c)), spec.col_id)
+    found = reasons(wide, best.steps, n=n_reasons, **how)
+    if found is not None:
+        scored = scored.join(found.select(spec.col_id, *(c for c in found.columns if "_top" in c)), spec.col_id)
     out = ranked(scored, ties=[*spec.sort_ties, (spec.col_id, True)])
     return out.withColumns({"model_name": F.lit(spec.name), "month_train": F.lit(spec.month_train), "month_test": F.lit(spec.month_test), spec.col_month: F.lit(spec.month_predict)})
 

@@ -278,6 +278,30 @@ def test_workflow(spark, churn, tmp_path):
         day_data(dated, None, day_column="d", day=15, inputs=["dayvalue_a"])
 
 
+def test_predict_reasons(spark):
+    from minespark.plans.explore import FeaturePlan
+    from minespark.plans.workflow import TrainResult, predict
+
+    # c = "r" is the best sign of the label, but 10 rows hold it in the month to score; d is nearly c, e a weaker sign of its own
+    kinds = [("r", 60, 0.95), ("h", 300, 0.7), ("l", 640, 0.1)]
+    rnd = random.Random(2)
+    train = [(f"t{i}", c, c if i % 50 else "l", "y" if rnd.random() < 0.2 + 0.4 * y else "n", str(int(y))) for i, (c, y) in enumerate((c, rnd.random() < p) for c, n, p in kinds for _ in range(n))]
+    t = spark.createDataFrame(train, "user_no string, c string, d string, e string, label string")
+    steps = model.fit_pipeline(t, [], ["c", "d", "e"], "label", "1", "0", r_limit=1.1)
+    assert {"c", "d", "e"} <= set(next(s for s in steps if s.kind == "woe").rules) and [prep.Fitted.from_json(s.to_json()) for s in steps] == steps
+    best = model.train_one(t, steps, next(iter(model.grid("logistic", {"regParam": [0.01]}).values())), "m", ["c", "d", "e"], ("label", "1", "0"))
+    best.thresholds = [50.0, 0.0]
+    spec = ModelSpec("m", "m", "202403", month_predict="202404", n_recent=1)
+    result = TrainResult(spec, FeaturePlan((), ("c", "d", "e"), ("c", "d", "e")), model.Choice(best, {}, ()))
+    rows = [(f"u{i}", "202404", c, c, "y") for c, n in (("r", 10), ("h", 90), ("l", 100)) for i in (f"{c}{j}" for j in range(n))]
+    panel_rows = spark.createDataFrame(rows, "user_no string, acct_month string, c string, d string, e string")
+    how = {"numbers": [], "categories": {"c": [], "d": [], "e": []}}
+    reasons = lambda **x: {(r.c, r.colname_top1, r.colcomment_top1, r.colname_top2) for r in predict(panel_rows, result, **how, **x).select("c", "colname_top1", "colcomment_top1", "colname_top2").collect()}
+    assert reasons(comments={"c": "C"}) == {("r", "e", "e", None), ("h", "c", "C", "e"), ("l", "e", "e", None)}
+    assert reasons(at_most=9, r_limit=1.1, not_causes=["e"]) == {("r", "d", "d", "c"), ("h", "c", "c", "d"), ("l", None, None, None)}
+    assert score.rare_values(spark.createDataFrame([("a",), (None,)], "v string"), {"v": {"a": -1.0, "": 0.5}}, threshold=0, at_most=1) == {"v": [""]}
+
+
 def test_base_table_is_reproducible(spark, churn):
     spec = ModelSpec("m", "m", "202403", timein_count=50, positive_limit=40, train_ratio=2, cumulated_months=1)
     count = lambda df: {(r.data_use, r.user_acct_month): r.n for r in df.groupBy("data_use", "user_acct_month").agg(F.count_distinct("user_no").alias("n")).collect()}
