@@ -15,6 +15,7 @@ from minespark.operators import report
 from minespark.operators.snapshots import latest_states
 from minespark.plans import problem_sql as S
 from minespark.plans.problems import INFO, SCORE, TARGET
+from minespark.runtime import written
 from minespark.sources import catalog, io
 from minespark.spec import TableSpec
 from minespark.streaming import drift
@@ -628,6 +629,27 @@ def q57_monitor_join(spark, d):
     return out.select("score_id", "model_name", "ymonth", "stat_batch", "col_flag", "flag_value")
 
 
+@query(f"""with s as (select score_id, {S.trimmed('model_name')} as model_name, {S.six('acct_month')} as m, {S.key('user_no')} as k, col_flag from table_score_flag_month),
+f as (select model_name, case when model_name = '副卡意向' then 'flag_ls' else min({S.trimmed('col_flag')}) end as col_flag, case when model_name = '副卡意向' then ['202402', '202401'] else ['202403', '202402'] end as months from s where model_name is not null group by 1),
+t as (select {S.key('user_no')} as k, {S.MONTH} as m, flag_lw, flag_notacct, flag_badstatus, flag_ls, load_time, target_id from tablename_cre_kdteam_target),
+l as (select * from (select *, row_number() over (partition by k, m order by load_time desc nulls last, target_id) as rn from t where k is not null and m is not null) where rn = 1)
+select s.score_id, s.model_name, '202404' as ymonth, cast(date_diff('month', strptime(s.m || '01', '%Y%m%d'), date '2024-04-01') as integer) as stat_batch, f.col_flag,
+    case f.col_flag when 'flag_lw' then flag_lw when 'flag_notacct' then flag_notacct when 'flag_badstatus' then flag_badstatus when 'flag_ls' then flag_ls end as flag_value
+from s join f using (model_name) left join l on s.k = l.k and l.m = f.months[1] where list_contains(f.months, s.m)""")
+def q57_monitor_all_models(spark, d):
+    """All models, by the tables' conventions: normal forms of model, month and key, the latest delivery of a label. A label that the target table lacks is null."""
+    t, y = table(spark, d, SCORE), table(spark, d, TARGET)
+    s = written(t.select("score_id", trimmed(F.col("model_name")).alias("model_name"), month_of(F.col("acct_month")).alias("month"), entity_key(F.col("user_no")).alias("k"), trimmed(F.col("col_flag")).alias("own_flag")), "followed-scores")
+    models = {r.model_name: (r.f, 1) for r in s.where("model_name is not null").groupBy("model_name").agg(F.min("own_flag").alias("f")).collect()} | {"副卡意向": ("flag_ls", 2)}  # a row per model
+    flags = ["flag_lw", "flag_notacct", "flag_badstatus", "flag_ls"]
+    rows = y.select(entity_key(F.col("user_no")).alias("key"), month_of(F.col("month_id"), F.col("acct_month")).alias("month"), "load_time", "target_id", *flags)
+    latest = latest_states(rows, key="key", period="month", known_at="load_time", row_id="target_id", attrs=flags)
+    lacking = sorted({f for f, _ in models.values()} - set(flags))
+    labelled = written(latest.select("k", F.col("m").alias("month"), *(F.col(f"a{i}").alias(c) for i, c in enumerate(flags)), *(F.lit(None).cast("int").alias(c) for c in lacking)), "followed-labels")
+    out = monitor.followed(s, labelled, models, perform="202404", n=2, period="month", entity="k")
+    return out.select("score_id", "model_name", "ymonth", "stat_batch", "col_flag", "flag_value")
+
+
 @query("""with r as (select trim(model_name) as m, stat_batch as b, exe_sam as e, score, flag_value as y from table_score_flag_month where score between 0 and 1 and not isnan(score) and flag_value is not null),
 g as (select m, b, e, count(*) as n, count(*) filter (y = 1) as np, quantile_cont(score, 0.8) as t2, quantile_cont(score, 0.6) as t4 from r group by 1, 2, 3),
 x as (select g.m, g.b, g.e, g.n, np, t, share, count(*) as cn, count(*) filter (y = 1) as cp from (select *, t2 as t, 0.2 as share from g union all select *, t4, 0.4 from g) g
