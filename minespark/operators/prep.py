@@ -333,7 +333,7 @@ def fit_indicator(columns: Sequence[str]) -> Fitted:
 
 
 def fit_onehot(df: DataFrame, columns: Sequence[str], *, label: str | None = None, positive: str = "1", negative: str = "0", iv_limit: float | None = None, ordinal: bool = False, limit: int = 5000) -> Fitted:
-    """Indicator columns field~value (or ordinals). Values whose indicator's IV is at most iv_limit are merged first; a column of only such is dropped."""
+    """Indicator columns field~value (or ordinals). Values whose indicator's IV is at most iv_limit are merged first; a column of only such is dropped. Columns with more than `limit` values are an error."""
     if iv_limit is None:
         counts = value_counts(df, columns).where("v is not null").withColumn("iv", F.lit(math.inf))
     else:
@@ -344,7 +344,10 @@ def fit_onehot(df: DataFrame, columns: Sequence[str], *, label: str | None = Non
         long = pairs.select(F.to_json(F.struct("col", "v")).alias("k"), both.alias("_x")).select(F.col("k").alias("col"), F.col("_x.s").alias("v"), F.col("_x.a").alias("n_pos"), F.col("_x.b").alias("n_neg"))
         iv = woe_iv(long).groupBy("col").agg(F.sum("iv_part").alias("iv"))
         counts = iv.select(F.from_json("col", "col string, v string").alias("_k"), "iv").select("_k.col", "_k.v", "iv")
-    found = counts.groupBy("col").agg(F.sort_array(F.collect_list(F.struct("v", "iv"))).alias("x"), F.count(F.lit(1)).alias("k")).where(F.col("k") <= limit).collect()
+    too_many = [r.col for r in counts.groupBy("col").count().where(F.col("count") > limit).orderBy("col").collect()]
+    if too_many:
+        raise ValueError(f"more than {limit} values: {too_many}")
+    found = counts.groupBy("col").agg(F.sort_array(F.collect_list(F.struct("v", "iv"))).alias("x")).collect()
     rules, dropped = {}, []
     for r in found:
         high = [x.v for x in r.x if iv_limit is None or x.iv > iv_limit]

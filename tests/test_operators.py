@@ -180,6 +180,14 @@ def test_steps(spark, rows):
     assert prep.fit_toint(ints, ["p", "q"]).apply(ints).dtypes == [("p", "int"), ("q", "string")]
 
 
+def test_onehot_of_too_many_values(spark):
+    df = spark.createDataFrame([(f"v{i % 60}", "ab"[i % 2], str(i % 2)) for i in range(600)], "many string, few string, y string")
+    for how in ({}, {"iv_limit": 0.0, "label": "y"}):
+        with pytest.raises(ValueError, match="more than 50 values: .'many'"):
+            prep.fit_onehot(df, ["many", "few"], limit=50, **how)
+        assert not prep.fit_onehot(df, ["many", "few"], limit=60, **how).dropped
+
+
 def test_stability_by_class(spark):
     old = spark.createDataFrame([("a", "1")] * 4 + [("b", "1")] * 4 + [("a", "0")] * 5, "v string, y string")
     new = spark.createDataFrame([("a", "1")] * 6 + [("b", "1")] * 2 + [("a", "0")] * 5, "v string, y string")
