@@ -69,29 +69,6 @@ select k as zk_user_no, min(m) as valid_from, case when max(m) = (select max(m)
 from g group by k, run
 """
 
-P4 = f"""
-with r as (
-    select {trimmed('model_name')} as model_name, {six('acct_month')} as acct_month, {key('user_no')} as k, score, load_time, score_id
-    from table_score_flag_month where score between 0 and 1 and not isnan(score)
-),
-x as (
-    select model_name, acct_month, score from (
-        select *, row_number() over (partition by model_name, acct_month, k order by load_time desc nulls last, score_id) as rn from r
-        where model_name is not null and acct_month is not null
-    ) where rn = 1
-),
-n as (select model_name, acct_month, score, count(*) as c from x group by all),
-y as (
-    select *, sum(c) over (partition by model_name, acct_month order by score desc) as n_kept, sum(c) over (partition by model_name, acct_month) as total from n
-),
-z as (
-    select model_name, acct_month, max(score) as score, min(n_kept) as n_kept
-    from y join (select {trimmed('model_name')} as model_name, keep_permille from score_keep_target) using (model_name)
-    where n_kept * 1000 >= total * keep_permille group by all
-)
-select model_name, acct_month, cast(round(score * 1000000) as bigint) as cutoff_micro, cast(n_kept as bigint) as n_kept from z
-"""
-
 PROFILED = [
     "month_id", "zk_user_no", "user_no_teamzk", "customer_no_teamzk", "area_no_teamzk", "city_no_teamzk", "open_date_teamzk",
     "open_months_teamzk", "cert_type_teamzk", "age_teamzk", "sex_teamzk", "is_valid_teamzk", "std_user_status_name_teamzk",

@@ -1,4 +1,4 @@
-"""The queries p1 to p5 over the monthly group tables."""
+"""The queries p1 to p3 and p5 over the monthly group tables."""
 
 from __future__ import annotations
 
@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from minespark.functions.normal import entity_key, flag, month_of, trimmed
 from minespark.operators.asof import attributes_as_of
-from minespark.operators.cutoff import keep_cutoffs
 from minespark.operators.profile_sorted import ColumnRule, Profile, ks_distances, profile, value_distances
 from minespark.operators.snapshots import period_order, snapshot_changes, version_history
 from minespark.runtime import small, written
@@ -60,22 +59,6 @@ def p3_found(spark: SparkSession, d: str) -> DataFrame:
     return version_history(_states(spark, d), **_SNAPSHOT, attrs=["status", "is_5g_main"]).select("zk_user_no", "valid_from", "valid_to")
 
 
-def p4_found(spark: SparkSession, d: str) -> DataFrame:
-    """Cutoff and kept records of each target model and month: (model_name, acct_month, cutoff_micro, n_kept)."""
-    rows = _table(spark, d, SCORE).select(
-        trimmed(F.col("model_name")).alias("model_name"),
-        month_of(F.col("acct_month")).alias("acct_month"),
-        entity_key(F.col("user_no")).alias("k"),
-        F.struct("load_time", (-F.col("score_id")).alias("n"), "score").alias("r"),
-    )
-    counted = rows.where("r.score between 0 and 1")  # NaN is greater than all numbers here
-    latest = counted.groupBy("model_name", "acct_month", "k").agg(F.max("r").alias("r"))
-    records = latest.select("model_name", "acct_month", F.col("r.score").alias("score"))
-    targets = _table(spark, d, "score_keep_target").select(trimmed(F.col("model_name")).alias("model_name"), "keep_permille")
-    found = keep_cutoffs(records, targets, group=["model_name", "acct_month"], score="score", permille="keep_permille", on=["model_name"])
-    return found.select("model_name", "acct_month", F.round(F.col("cutoff") * 1_000_000).cast("long").alias("cutoff_micro"), "n_kept")
-
-
 def _full_loads(spark: SparkSession, d: str) -> DataFrame:
     """(load, m, branch_no) of the full loads of the group table, once each."""
     log = _table(spark, d, "load_log").where((trimmed(F.col("tablename")) == INFO) & (F.lower(trimmed(F.col("load_kind"))) == "full"))

@@ -12,10 +12,10 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def queries() -> dict[str, Query]:
-    own = {f.__name__: f for f in (problems.p1_found, problems.p2_found, problems.p3_found, problems.p4_found, problems.p5_found, problems.p5_ks)}
+    own = {f.__name__: f for f in (problems.p1_found, problems.p2_found, problems.p3_found, problems.p5_found, problems.p5_ks)}
     return own | survey.QUERIES
 
 
 def oracle_sql() -> dict[str, str]:
-    own = {"p1_found": problem_sql.P1, "p2_found": problem_sql.P2, "p3_found": problem_sql.P3, "p4_found": problem_sql.P4, "p5_found": problem_sql.P5, "p5_ks": problem_sql.P5_KS}
+    own = {"p1_found": problem_sql.P1, "p2_found": problem_sql.P2, "p3_found": problem_sql.P3, "p5_found": problem_sql.P5, "p5_ks": problem_sql.P5_KS}
     return own | survey.ORACLE

@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import atexit
+import re
 import tempfile
 import uuid
 from collections.abc import Iterable
 
+from pyspark import SparkConf, SparkContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,12 +16,21 @@ from pyspark.sql import functions as F
 BROADCAST_ROWS = 200_000
 
 
-def session(app: str = "minespark", cpus: int | str = "*", shuffle_partitions: int = 8) -> SparkSession:
-    """A local session with the settings that the operators expect (UTC, AQE on)."""
+def session(app: str = "minespark", cpus: int | str = "*", shuffle_partitions: int = 8, shared: str | None = None) -> SparkSession:
+    """A session with the settings that the operators expect (UTC, AQE on).
+
+    The master is the one that spark-submit or the configuration names; `cpus` local threads only where none does.
+    `shared` is the folder for intermediate tables (spark.checkpoint.dir) where none is configured.
+    """
+    SparkContext._ensure_initialized()  # from here on SparkConf knows what spark-submit was given
+    given = SparkConf()
+    builder = SparkSession.builder.appName(app)
+    if not given.contains("spark.master"):
+        builder = builder.master(f"local[{cpus}]")
+    if shared and not given.contains("spark.checkpoint.dir"):
+        builder = builder.config("spark.checkpoint.dir", shared)
     return (
-        SparkSession.builder.master(f"local[{cpus}]")
-        .appName(app)
-        .config("spark.sql.session.timeZone", "UTC")
+        builder.config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.ui.enabled", "false")
@@ -29,10 +40,12 @@ def session(app: str = "minespark", cpus: int | str = "*", shuffle_partitions: i
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors share: spark.checkpoint.dir; only where that is unset, a temporary one."""
-    conf = spark.sparkContext.getConf()
-    found = spark.conf.get("spark.checkpoint.dir", None) or conf.get("spark.checkpoint.dir", None)
+    """The folder that all executors share: spark.checkpoint.dir. On a cluster it must be set; a local session without it gets a temporary one."""
+    context = spark.sparkContext
+    found = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir", None)
     if not found:
+        if not re.fullmatch(r"local(\[[^]]*\])?", context.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         found = "file://" + tempfile.mkdtemp(prefix="minespark-")
         spark.conf.set("spark.checkpoint.dir", found)
         _drop_at_exit(spark, found)

@@ -9,8 +9,8 @@ from minespark.runtime import session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark():
-    s = session("tests", cpus=4, shuffle_partitions=4)
+def spark(tmp_path_factory):
+    s = session("tests", cpus=4, shuffle_partitions=4, shared=tmp_path_factory.mktemp("shared").as_uri())
     s.sparkContext.setLogLevel("ERROR")
     yield s
     s.stop()
