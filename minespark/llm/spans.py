@@ -5,22 +5,26 @@ from __future__ import annotations
 import math
 import zlib
 from collections.abc import Iterator
+from dataclasses import dataclass
 from functools import lru_cache
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from minespark.runtime import small, written
+from minespark.runtime import written
 
-#: Rows of the sketch, and the greatest binary logarithm of its width: two rows of 2^26 bits are 16 MB to broadcast.
-DEPTH, MAX_LOG_WIDTH = 2, 26
-#: Cells of the sketch for each expected anchor.
-CELLS_PER_ANCHOR = 8
-#: Cells in one piece of a sketch, the unit of merging.
-_SLICE = 1 << 19
+#: Rows of the sketch, and cells in each row for each expected anchor.
+DEPTH, CELLS_PER_ANCHOR = 2, 8
+#: Cells in a row of one slice of the sketch, which one task holds, and the fewest slices.
+_SLICE, _LEAST_SLICES = 1 << 23, 64
+#: Code points, and rows, of a block at most: the texts whose anchors are looked up together.
+_BLOCK, _BLOCK_ROWS = 1 << 20, 100_000
+#: Sketch entries that a task combines before it hands them on.
+_COUNT_AT_ONCE = 1 << 22
 #: Code points that a task hashes at once, and candidate windows that it groups before handing them on.
 _HASH_AT_ONCE, _GROUP_AT_ONCE = 1 << 18, 1 << 21
 
@@ -28,46 +32,70 @@ _M1, _M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD1B54A32D192ED03)
 _ODD = (np.uint64(0xA24BAED4963EE407), np.uint64(0x9FB21C651E98DF25), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9))
 
 
-def shared_spans(df: DataFrame, *, doc_id: str, text: str, min_length: int = 100, max_log_width: int = MAX_LOG_WIDTH) -> DataFrame:
+@dataclass(frozen=True)
+class _Plan:
+    """Lengths of windows and grams, and the sketch: `slices` parts of DEPTH x `width` cells, each of its own anchors."""
+
+    length: int
+    gram: int
+    slices: int
+    width: int
+    block: int
+
+    def keys(self, anchor: np.ndarray) -> np.ndarray:
+        """slice << 32 | 32 bits of each anchor; mixed again, since least hashes crowd near 0."""
+        x = _mix(anchor ^ _SALT3)
+        return ((x >> np.uint64(32)) * np.uint64(self.slices) >> np.uint64(32)) << np.uint64(32) | x & np.uint64(0xFFFFFFFF)
+
+    def cells(self, low: np.ndarray, row: int) -> np.ndarray:
+        """The cells of a row of a slice, by the lower 32 bits of the keys."""
+        h = (low.astype(np.uint64) + np.uint64(1)) * _ODD[row] + _ODD[row + 2]
+        return ((h >> np.uint64(32)) * np.uint64(self.width) >> np.uint64(32)).astype(np.int64) + row * self.width
+
+
+def shared_spans(df: DataFrame, *, doc_id: str, text: str, min_length: int = 100, cells_per_anchor: float = CELLS_PER_ANCHOR, block: int = _BLOCK) -> DataFrame:
     """(doc_id, n_shared): code points of each text in some stretch of `min_length` or more that another record has too.
 
     Records are told apart by `doc_id` (bigint): repetition inside one text, or of one record's row,
     doesn't count. Each code point counts once; nothing is normalised; only records with n_shared > 0 come out.
     Null ids and null, empty or short texts share nothing; an id with several texts has them laid over each other. Other columns are not read. min_length is 8 or more.
 
-    How: equal texts are first folded into one (pre-aggregated, so a text with a third of all rows costs no
-    more than another). Every window of min_length code points is represented by its anchor, the least
+    How: every window of min_length code points is represented by its anchor, the least
     hash of the shorter grams in it: equal windows have equal anchors, and a text has about twenty times
-    fewer anchors than windows. Each task counts the anchors of its texts in a count-min sketch (counts
-    beyond 2 are not told apart); the sketches are merged piece by piece. An anchor's estimate is never
-    below the number of texts with it, so a second pass drops only windows that occur in one text and loses none.
-    The rest are grouped by two independent hashes (96 bits), first within the task, where windows found in two records
+    fewer anchors than windows. The count-min sketch is cut into slices by the anchor's hash; their number follows the
+    corpus, so the load of a cell is the same at any size, and no task, and never the driver, holds more than one slice.
+    The first pass cuts the rows into blocks as they come, folds equal texts of a block into one, counts the anchors of
+    each task's texts in partial sketches (counts beyond 2 are not told apart), and writes these, the texts and each
+    block's anchors. Partial sketches and anchors meet by slice: the partial ones are merged, then each block's anchors are estimated.
+    An anchor's estimate is never below the number of texts with it, so only windows that occur in one text are dropped and none is lost.
+    The second pass takes each block's texts with its surviving anchors and hashes the windows under them.
+    These are grouped by two independent hashes (96 bits), first within the task, where windows found in two records
     are settled and only one row of each hash goes on, then exactly over all tasks.
-    Whatever the sketch lets through only costs shuffle: the result doesn't depend on its size.
+    Whatever the sketch lets through only costs shuffle: the result depends neither on its size (`cells_per_anchor`) nor on that
+    of the blocks (`block` code points).
     """
     rows = df.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
     rows = rows.where(F.col("doc_id").isNotNull() & (F.length("text") >= min_length))
-    texts = rows.groupBy("text").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"))
-    texts = written(texts.select("lo", "hi", "text"), "spans-texts")
-    total = texts.agg(F.sum(F.length("text").cast("long"))).first()[0] or 0
+    total = rows.agg(F.sum(F.length("text").cast("long"))).first()[0] or 0
     gram = max(4, min_length * 5 // 8)
-    anchors = 2 * total / (min_length - gram + 2)
-    log_width = min(max_log_width, max(16, math.ceil(math.log2(CELLS_PER_ANCHOR * anchors + 1))))
-    bits = _sketch(texts, min_length, gram, log_width)
-    shared = df.sparkSession.sparkContext.broadcast(bits)
-    windows = texts.mapInArrow(lambda it: _candidates(it, shared.value, min_length, gram, log_width), "h1 long, h2 int, lo long, hi long, doc long, a int, z int")
+    cells = cells_per_anchor * 2 * total / (min_length - gram + 2)
+    slices = max(_LEAST_SLICES, math.ceil(cells / _SLICE))
+    plan = _Plan(min_length, gram, slices, max(1, math.ceil(cells / slices)), block)
+    first = written(rows.mapInArrow(lambda it: _first(it, plan), _FIRST), "spans-first")
+    by_slice = first.where("kind in ('look', 'sketch')").select("kind", "block", "slice", "x").repartition("slice").sortWithinPartitions("slice", F.desc("kind"))
+    kept = by_slice.mapInArrow(lambda it: _estimate(it, plan), "block long, slice int, x binary")
+    by_block = kept.select("block", F.lit("keep").alias("kind"), "slice", "x").unionByName(first.where("kind = 'text'").select("block", "kind", "lo", "hi", "text"), allowMissingColumns=True)
+    by_block = by_block.repartition("block").sortWithinPartitions("block", "kind")
+    windows = by_block.mapInArrow(lambda it: _candidates(it, plan), "h1 long, h2 int, lo long, hi long, doc long, a int, z int")
     group = Window.partitionBy("h1", "h2")
     marked = windows.withColumn("least", F.min("lo").over(group)).withColumn("most", F.max("hi").over(group))
     runs = marked.where("a >= 0 and (lo is null or least <> most)").select("doc", "a", "z")
+    whole = first.where("kind = 'same'").select(F.col("lo").alias("doc"), F.lit(0).alias("a"), F.col("hi").cast("int").alias("z"))
+    runs = runs.unionByName(whole)
     in_order = Window.partitionBy("doc").orderBy("a", "z")
     before = F.max("z").over(in_order.rowsBetween(Window.unboundedPreceding, -1))
     fresh = F.col("z") - F.greatest(F.col("a"), F.coalesce(before, F.lit(0)))
-    partial = runs.select("doc", F.greatest(fresh, F.lit(0)).alias("n")).groupBy("doc").agg(F.sum("n").cast("long").alias("n_shared"))
-    # a text of two or more records is shared as a whole; each of them gets a row
-    single = partial.join(texts.where("lo = hi").select(F.col("lo").alias("doc")), "doc", "left_semi")
-    folded = texts.where("lo <> hi").select(F.sha2("text", 256).alias("key"))
-    whole = rows.select("doc_id", F.sha2("text", 256).alias("key"), F.length("text").cast("long").alias("n_shared")).join(small(folded), "key", "left_semi")
-    out = single.select(F.col("doc").alias("doc_id"), "n_shared").unionByName(whole.select("doc_id", "n_shared").distinct())
+    out = runs.select("doc", F.greatest(fresh, F.lit(0)).alias("n")).groupBy(F.col("doc").alias("doc_id")).agg(F.sum("n").cast("long").alias("n_shared"))
     return out.where("n_shared > 0").withColumnRenamed("doc_id", doc_id)
 
 
@@ -110,7 +138,7 @@ class _Hashes:
         return _mix((self.sums[start + length] - self.sums[start]) * self.up[start])
 
 
-_BASE1, _SALT1, _BASE2, _SALT2 = 0x5851F42D4C957F2D, 0x1234567, 0x2545F4914F6CDD1D, 0x7654321
+_BASE1, _SALT1, _BASE2, _SALT2, _SALT3 = 0x5851F42D4C957F2D, 0x1234567, 0x2545F4914F6CDD1D, 0x7654321, np.uint64(0x3C6EF372FE94F82B)
 
 
 def _least(h: np.ndarray, width: int) -> np.ndarray:
@@ -160,86 +188,173 @@ def _anchored(points: np.ndarray, no: np.ndarray, length: int, gram: int) -> tup
     return hashes, anchor, inside
 
 
-def _cells(anchor: np.ndarray, row: int, log_width: int) -> np.ndarray:
-    return ((anchor * _ODD[row] + _ODD[row + 2]) >> np.uint64(64 - log_width)).astype(np.int64)
+#: kind: text (a text of a block, with its least and greatest id), same (an id whose text another id of the block has, and its length),
+#: look (a block's anchors in a slice), sketch (a task's cells in a slice).
+_FIRST = "kind string, block long, slice int, lo long, hi long, text string, x binary"
 
 
-def _sketch(texts: DataFrame, length: int, gram: int, log_width: int) -> np.ndarray:
-    """Bits (DEPTH x 2^log_width) of the cells that count two or more: merged from the tasks' sketches."""
-    spark = texts.sparkSession
-    tasks = max(2, spark.sparkContext.defaultParallelism)
-    parts = texts.select("lo", "hi", "text").coalesce(tasks).mapInArrow(lambda it: _count(it, length, gram, log_width), "slice int, once binary, twice binary")
-    merged = parts.groupBy("slice").applyInPandas(_merge_slice, "slice int, twice binary")
-    size = min(_SLICE, 1 << log_width)
-    bits = np.zeros((DEPTH << log_width) // 8, np.uint8)
-    for r in merged.collect():  # DEPTH x 2^log_width bits at most
-        bits[r.slice * size // 8 : (r.slice + 1) * size // 8] = np.frombuffer(zlib.decompress(r.twice), np.uint8)
-    return bits
+def _rows(kind: str, n: int, **cols: pa.Array) -> pa.RecordBatch:
+    kinds = {"block": pa.int64(), "slice": pa.int32(), "lo": pa.int64(), "hi": pa.int64(), "text": pa.string(), "x": pa.binary()}
+    return pa.RecordBatch.from_arrays([pa.array([kind] * n), *(cols.get(c, pa.nulls(n, t)) for c, t in kinds.items())], names=["kind", *kinds])
 
 
-def _count(batches: Iterator[pa.RecordBatch], length: int, gram: int, log_width: int) -> Iterator[pa.RecordBatch]:
-    counts = np.zeros(DEPTH << log_width, np.uint8)
-    for points, _, no, _, _ in _stretches(batches, length):
-        if len(points) < length:
-            continue
-        _, anchor, inside = _anchored(points, no, length, gram)
-        if not len(inside):
+def _first(batches: Iterator[pa.RecordBatch], plan: _Plan) -> Iterator[pa.RecordBatch]:
+    """The rows as blocks of different texts, with their anchors and the task's partial sketches (see _FIRST)."""
+    block = TaskContext.get().partitionId() << 32
+    texts: dict[str, list[int]] = {}
+    points = rows = n = 0
+    counted: list[tuple[np.ndarray, np.ndarray]] = []
+
+    def out():
+        nonlocal n
+        ids = list(texts.values())
+        lo, hi = [min(x) for x in ids], [max(x) for x in ids]
+        batch = _rows("text", len(ids), block=pa.array([block] * len(ids), pa.int64()), lo=pa.array(lo, pa.int64()), hi=pa.array(hi, pa.int64()), text=pa.array(list(texts), pa.string()))
+        yield batch
+        same = [(i, len(t)) for t, x, a, z in zip(texts, ids, lo, hi) if a != z for i in set(x)]
+        if same:
+            yield _rows("same", len(same), lo=pa.array([x[0] for x in same], pa.int64()), hi=pa.array([x[1] for x in same], pa.int64()))
+        keys, texts_with = _block_anchors(batch, plan)
+        if len(keys):
+            at, slices, edges = _slices(keys)
+            low = pa.py_buffer((keys & np.uint64(0xFFFFFFFF)).astype(np.uint32))
+            x = pa.Array.from_buffers(pa.binary(), len(at), [None, pa.py_buffer((edges * 4).astype(np.int32)), low])
+            yield _rows("look", len(at), block=pa.array([block] * len(at), pa.int64()), slice=pa.array(slices), x=x)
+            counted.append((keys, texts_with))
+            n += len(keys)
+
+    for b in batches:
+        for i, text in zip(b.column("doc_id").to_pylist(), b.column("text").to_pylist()):
+            if text not in texts:
+                texts[text] = []
+                points += len(text)
+            texts[text].append(i)
+            rows += 1
+            if points >= plan.block or rows >= _BLOCK_ROWS:
+                yield from out()
+                texts, points, rows, block = {}, 0, 0, block + 1
+                if n * DEPTH >= _COUNT_AT_ONCE:
+                    yield _partial(counted, plan)
+                    counted, n = [], 0
+    if texts:
+        yield from out()
+    if n:
+        yield _partial(counted, plan)
+
+
+def _slices(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of sorted keys: where a slice begins, the slices, and the edges between them."""
+    s = (keys >> np.uint64(32)).astype(np.int32)
+    at = np.flatnonzero(np.append(True, s[1:] != s[:-1]))
+    return at, s[at], np.append(at, len(keys))
+
+
+def _block_anchors(texts: pa.RecordBatch, plan: _Plan) -> tuple[np.ndarray, np.ndarray]:
+    """The keys of a block's anchors, sorted, and in how many texts each is."""
+    found = [np.zeros(0, np.uint64)]
+    for points, _, no, _, _ in _stretches(iter([texts]), plan.length):
+        if len(points) < plan.length:
             continue
+        _, anchor, inside = _anchored(points, no, plan.length, plan.gram)
         a, d = anchor[inside], no[inside]
-        first = np.ones(len(a), bool)  # neighbours mostly have the same anchor
-        first[1:] = (a[1:] != a[:-1]) | (d[1:] != d[:-1])
-        a, d = a[first], d[first]
-        order = np.lexsort((a, d))
-        a, d = a[order], d[order]
-        first = np.ones(len(a), bool)
-        first[1:] = (a[1:] != a[:-1]) | (d[1:] != d[:-1])
-        a = a[first]
-        for row in range(DEPTH):
-            cell, n = np.unique(_cells(a, row, log_width), return_counts=True)
-            cell += row << log_width
-            counts[cell] = np.minimum(2, counts[cell] + np.minimum(n, 2))
-    size = min(_SLICE, 1 << log_width)
-    for i in range(len(counts) // size):
-        part = counts[i * size : (i + 1) * size]
-        if part.any():
-            bits = [zlib.compress(np.packbits(part >= k).tobytes(), 1) for k in (1, 2)]
-            yield pa.RecordBatch.from_arrays([pa.array([i], pa.int32()), pa.array([bits[0]]), pa.array([bits[1]])], names=["slice", "once", "twice"])
-
-
-def _merge_slice(p: pd.DataFrame) -> pd.DataFrame:
-    """One piece of the sketch: at most one row of each task."""
-    once = twice = None
-    for a, b in zip(p["once"], p["twice"]):
-        a, b = (np.frombuffer(zlib.decompress(x), np.uint8) for x in (a, b))
-        once, twice = (a, b) if once is None else (once | a, twice | b | (once & a))
-    return pd.DataFrame({"slice": p["slice"].iloc[:1], "twice": [zlib.compress(twice.tobytes(), 1)]})
+        for by_text in (False, True):  # neighbours mostly have the same anchor, so there is less to sort then
+            if by_text:
+                order = np.lexsort((a, d))
+                a, d = a[order], d[order]
+            first = np.ones(len(a), bool)
+            first[1:] = (a[1:] != a[:-1]) | (d[1:] != d[:-1])
+            a, d = a[first], d[first]
+        found.append(plan.keys(a))
+    return np.unique(np.concatenate(found), return_counts=True)
+
+
+def _partial(counted: list[tuple[np.ndarray, np.ndarray]], plan: _Plan) -> pa.RecordBatch:
+    """A task's sketch, by slices: its cells in order, each with whether it counts two or more."""
+    keys, n = (np.concatenate(x) for x in zip(*counted))
+    low = keys & np.uint64(0xFFFFFFFF)
+    first = (keys >> np.uint64(32)).astype(np.int64) * (DEPTH * plan.width)
+    cell = np.concatenate([first + plan.cells(low, row) for row in range(DEPTH)])
+    order = np.argsort(cell, kind="stable")
+    cell, n = cell[order], np.tile(n, DEPTH)[order]
+    at = np.flatnonzero(np.append(True, cell[1:] != cell[:-1]))
+    twice = np.add.reduceat(n, at) >= 2
+    cell = cell[at]
+    of, local = np.divmod(cell, DEPTH * plan.width)
+    begin = np.flatnonzero(np.append(True, of[1:] != of[:-1]))
+    x = []
+    for a, z in zip(begin, np.append(begin[1:], len(of))):
+        x.append(zlib.compress(np.diff(local[a:z] * 2 + twice[a:z], prepend=0).astype(np.uint32).tobytes(), 1))
+    return _rows("sketch", len(x), slice=pa.array(of[begin].astype(np.int32)), x=pa.array(x, pa.binary()))
+
+
+def _estimate(batches: Iterator[pa.RecordBatch], plan: _Plan) -> Iterator[pa.RecordBatch]:
+    """(block, slice, lower bits) of the anchors that the merged sketch counts twice. Rows come by slice, partial sketches first."""
+    now, counts = None, None
+    for b in batches:
+        out: list[tuple[int, int, bytes]] = []
+        for kind, block, s, x in zip(*(b.column(c).to_pylist() for c in ("kind", "block", "slice", "x"))):
+            if s != now:
+                now, counts = s, np.zeros(DEPTH * plan.width, np.uint8)
+            if kind == "sketch":
+                cell = np.cumsum(np.frombuffer(zlib.decompress(x), np.uint32), dtype=np.int64)
+                counts[cell >> 1] = np.minimum(2, counts[cell >> 1] + 1 + (cell & 1))
+                continue
+            low = np.frombuffer(x, np.uint32)
+            hit = np.ones(len(low), bool)
+            for row in range(DEPTH):
+                hit &= counts[plan.cells(low, row)] == 2
+            if hit.any():
+                out.append((block, s, low[hit].tobytes()))
+        if out:
+            yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in out], t) for i, t in enumerate((pa.int64(), pa.int32(), pa.binary()))], names=["block", "slice", "x"])
+
+
+def _with_kept(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, pa.RecordBatch]]:
+    """(keys of surviving anchors in order, texts) of each block that has such; a block's keys come before its texts."""
+    now, keys, kept = None, [], None
+    for b in batches:
+        block, is_text = b.column("block").to_numpy(), pc.equal(b.column("kind"), "text").to_numpy(zero_copy_only=False)
+        edges = np.flatnonzero(np.append(True, (block[1:] != block[:-1]) | (is_text[1:] != is_text[:-1])))
+        for a, z in zip(edges, np.append(edges[1:], len(block))):
+            if block[a] != now:
+                now, keys, kept = block[a], [], None
+            part = b.slice(a, z - a)
+            if not is_text[a]:
+                keys += [np.frombuffer(x, np.uint32).astype(np.uint64) | np.uint64(s) << np.uint64(32) for s, x in zip(part.column("slice").to_pylist(), part.column("x").to_pylist())]
+            elif keys:
+                kept = np.sort(np.concatenate(keys)) if kept is None else kept
+                yield kept, part
 
 
 _WINDOW = ["h1", "h2", "lo", "hi", "doc", "a", "z"]
 
 
-def _candidates(batches: Iterator[pa.RecordBatch], bits: np.ndarray, length: int, gram: int, log_width: int) -> Iterator[pa.RecordBatch]:
-    """Windows whose anchor the sketch has twice, from a to z of a text; a < 0: only a hash known to be shared; lo null: a run known to be shared."""
+def _candidates(batches: Iterator[pa.RecordBatch], plan: _Plan) -> Iterator[pa.RecordBatch]:
+    """Windows under surviving anchors, from a to z of a text; a < 0: only a hash known to be shared; lo null: a run known to be shared."""
+    length = plan.length
     held: list[tuple[np.ndarray, ...]] = []
     n = 0
-    for points, place, no, lo, hi in _stretches(batches, length):
-        if len(points) < length:
-            continue
-        hashes, anchor, inside = _anchored(points, no, length, gram)
-        a = anchor[inside]
-        for row in range(DEPTH):
-            cell = _cells(a, row, log_width) + (row << log_width)
-            hit = (bits[cell >> 3] >> (7 - (cell & 7)).astype(np.uint8)) & 1 == 1
-            inside, a = inside[hit], a[hit]
-        if not len(inside):
-            continue
-        h1 = hashes.at(inside, length).view(np.int64)
-        h2 = (_Hashes(points, _BASE2, _SALT2).at(inside, length) >> np.uint64(32)).astype(np.uint32).view(np.int32)
-        held.append((h1, h2, lo[inside], hi[inside], place[inside]))
-        n += len(h1)
-        if n >= _GROUP_AT_ONCE:
-            yield from _settled(held, length)
-            held, n = [], 0
+    for kept, texts in _with_kept(batches):
+        for points, place, no, lo, hi in _stretches(iter([texts]), length):
+            if len(points) < length:
+                continue
+            hashes, anchor, inside = _anchored(points, no, length, plan.gram)
+            if not len(inside):
+                continue
+            a = anchor[inside]
+            head = np.append(True, a[1:] != a[:-1])
+            key = plan.keys(a[head])
+            hit = kept[np.minimum(np.searchsorted(kept, key), len(kept) - 1)] == key
+            inside = inside[hit[np.cumsum(head) - 1]]
+            if not len(inside):
+                continue
+            h1 = hashes.at(inside, length).view(np.int64)
+            h2 = (_Hashes(points, _BASE2, _SALT2).at(inside, length) >> np.uint64(32)).astype(np.uint32).view(np.int32)
+            held.append((h1, h2, lo[inside], hi[inside], place[inside]))
+            n += len(h1)
+            if n >= _GROUP_AT_ONCE:
+                yield from _settled(held, length)
+                held, n = [], 0
     if n:
         yield from _settled(held, length)
 

@@ -1,6 +1,5 @@
 import math
 import random
-
 from pathlib import Path
 
 import pytest
@@ -45,8 +44,7 @@ def test_against_brute_force(spark):
     assert found(spark, records, targets) == want
 
 
-def test_partition_medians_and_rewritten_candidates_change_nothing(spark, monkeypatch):
-    monkeypatch.setattr(cutoff, "_CHUNK", 7)
+def test_infinite_scores_and_ties(spark):
     rnd = random.Random(5)
     records = [(g, "x", rnd.choice([round(rnd.random(), 2), rnd.gauss(0, 1), float("inf") if g == "b" else -1.5]), 1, "") for g in "ab" for _ in range(300)]
     targets = [("a", 900, ""), ("b", 30, "")]

@@ -1,3 +1,4 @@
+import math
 import random
 
 import pytest
@@ -45,7 +46,52 @@ def test_against_brute_force(spark, seed, length):
 
 def test_saturated_sketch_changes_nothing(spark):
     rows = corpus(3, 60)
-    assert found(spark, rows, 20, max_log_width=3) == brute(rows, 20)
+    assert found(spark, rows, 20, cells_per_anchor=0.001) == brute(rows, 20)
+
+
+@pytest.mark.parametrize("block", [1, 150])
+def test_blocks_change_nothing(spark, block):
+    """Copies in one block and in several, anchors counted by several tasks."""
+    rows = corpus(5, 60)
+    assert found(spark, rows, 20, block=block) == brute(rows, 20)
+
+
+def test_few_single_windows_pass(monkeypatch):
+    """The share of anchors of one text that the merged sketch counts twice, over slices, blocks and tasks; none of two texts is lost."""
+    import numpy as np
+    import pyarrow as pa
+
+    rnd = random.Random(6)
+    own = ["".join(rnd.choice("abcdefgh ") for _ in range(3000)) for _ in range(40)]
+    common = "".join(rnd.choice("xyz") for _ in range(120))
+    texts = [t + common * (i % 10 == 0) for i, t in enumerate(own)]
+    total = sum(map(len, texts))
+    plan = spans._Plan(100, 62, 7, math.ceil(spans.CELLS_PER_ANCHOR * 2 * total / 40 / 7), 20_000)
+    monkeypatch.setattr(spans, "TaskContext", Tasks)
+    rows = []
+    for task in range(4):
+        Tasks.now = task
+        batch = pa.RecordBatch.from_pydict({"doc_id": list(range(10)), "text": texts[task * 10 : task * 10 + 10]})
+        rows += [r for b in spans._first(iter([batch]), plan) for r in b.to_pylist()]
+    by_slice = sorted((r for r in rows if r["kind"] in ("look", "sketch")), key=lambda r: (r["slice"], -ord(r["kind"][0])))
+    table = pa.Table.from_pylist(by_slice, pa.schema([("kind", pa.string()), ("block", pa.int64()), ("slice", pa.int32()), ("x", pa.binary())]))
+    kept = {(s, int(x)) for b in spans._estimate(iter(table.to_batches(max_chunksize=3)), plan) for s, blob in zip(b.column("slice").to_pylist(), b.column("x").to_pylist()) for x in np.frombuffer(blob, np.uint32)}
+    seen = [(r["slice"], int(x)) for r in by_slice if r["kind"] == "look" for x in np.frombuffer(r["x"], np.uint32)]
+    twice = {k for k in seen if seen.count(k) > 1}
+    assert twice and twice <= kept
+    assert len(kept - twice) < 0.05 * len(set(seen) - twice)
+
+
+class Tasks:
+    now = 0
+
+    @staticmethod
+    def get():
+        return Tasks
+
+    @staticmethod
+    def partitionId():
+        return Tasks.now
 
 
 def test_empty(spark):
