@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import math
 import zlib
 from collections.abc import Iterator
@@ -10,7 +11,6 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -68,7 +68,8 @@ def shared_spans(df: DataFrame, *, doc_id: str, text: str, min_length: int = 100
     each task's texts in partial sketches (counts beyond 2 are not told apart), and writes these, the texts and each
     block's anchors. Partial sketches and anchors meet by slice: the partial ones are merged, then each block's anchors are estimated.
     An anchor's estimate is never below the number of texts with it, so only windows that occur in one text are dropped and none is lost.
-    The second pass takes each block's texts with its surviving anchors and hashes the windows under them.
+    The second pass takes each block's texts with its surviving anchors and hashes the windows under them; a text that an
+    earlier block has too (by a digest of 128 bits) is shared as a whole and has its windows hashed there only.
     These are grouped by two independent hashes (96 bits), first within the task, where windows found in two records
     are settled and only one row of each hash goes on, then exactly over all tasks.
     Whatever the sketch lets through only costs shuffle: the result depends neither on its size (`cells_per_anchor`) nor on that
@@ -84,14 +85,19 @@ def shared_spans(df: DataFrame, *, doc_id: str, text: str, min_length: int = 100
     first = written(rows.mapInArrow(lambda it: _first(it, plan), _FIRST), "spans-first")
     by_slice = first.where("kind in ('look', 'sketch')").select("kind", "block", "slice", "x").repartition("slice").sortWithinPartitions("slice", F.desc("kind"))
     kept = by_slice.mapInArrow(lambda it: _estimate(it, plan), "block long, slice int, x binary")
-    by_block = kept.select("block", F.lit("keep").alias("kind"), "slice", "x").unionByName(first.where("kind = 'text'").select("block", "kind", "lo", "hi", "text"), allowMissingColumns=True)
+    texts = first.where("kind = 'text'")
+    equal = Window.partitionBy("x")  # digests of texts, at most one of each block
+    copies = texts.select("block", "x", "lo", "hi", "size", F.min("block").over(equal).alias("in_block"), F.min("lo").over(equal).alias("least"), F.max("hi").over(equal).alias("most"))
+    parts = [kept.select("block", F.lit("keep").alias("kind"), "slice", "x"), copies.where("block <> in_block").select("block", F.lit("copy").alias("kind"), "x"), texts.select("block", "kind", "lo", "hi", "text", "x")]
+    by_block = parts[0].unionByName(parts[1], allowMissingColumns=True).unionByName(parts[2], allowMissingColumns=True)
     by_block = by_block.repartition("block").sortWithinPartitions("block", "kind")
-    windows = by_block.mapInArrow(lambda it: _candidates(it, plan), "h1 long, h2 int, lo long, hi long, doc long, a int, z int")
+    windows = by_block.mapInArrow(lambda it: _candidates(it, plan), "h1 long, h2 int, lo long, hi long, a int, z int")
     group = Window.partitionBy("h1", "h2")
-    marked = windows.withColumn("least", F.min("lo").over(group)).withColumn("most", F.max("hi").over(group))
-    runs = marked.where("a >= 0 and (lo is null or least <> most)").select("doc", "a", "z")
-    whole = first.where("kind = 'same'").select(F.col("lo").alias("doc"), F.lit(0).alias("a"), F.col("hi").cast("int").alias("z"))
-    runs = runs.unionByName(whole)
+    marked = windows.withColumn("least", F.min("lo").over(group)).withColumn("most", F.max(F.coalesce("hi", "lo")).over(group))
+    runs = marked.where("z is not null or (a is not null and least <> most)").select(F.col("lo").alias("doc"), "a", F.coalesce("z", F.col("a") + min_length).alias("z"))
+    # a text of two or more records is shared as a whole
+    whole = copies.where("lo = hi and least <> most").select("lo", "size").unionByName(first.where("kind = 'same'").select("lo", "size"))
+    runs = runs.unionByName(whole.select(F.col("lo").alias("doc"), F.lit(0).alias("a"), F.col("size").alias("z")))
     in_order = Window.partitionBy("doc").orderBy("a", "z")
     before = F.max("z").over(in_order.rowsBetween(Window.unboundedPreceding, -1))
     fresh = F.col("z") - F.greatest(F.col("a"), F.coalesce(before, F.lit(0)))
@@ -188,13 +194,13 @@ def _anchored(points: np.ndarray, no: np.ndarray, length: int, gram: int) -> tup
     return hashes, anchor, inside
 
 
-#: kind: text (a text of a block, with its least and greatest id), same (an id whose text another id of the block has, and its length),
+#: kind: text (a text of a block, with its digest, length, least and greatest id), same (an id whose text another id of the block has, and its length),
 #: look (a block's anchors in a slice), sketch (a task's cells in a slice).
-_FIRST = "kind string, block long, slice int, lo long, hi long, text string, x binary"
+_FIRST = "kind string, block long, slice int, lo long, hi long, size int, text string, x binary"
 
 
 def _rows(kind: str, n: int, **cols: pa.Array) -> pa.RecordBatch:
-    kinds = {"block": pa.int64(), "slice": pa.int32(), "lo": pa.int64(), "hi": pa.int64(), "text": pa.string(), "x": pa.binary()}
+    kinds = {"block": pa.int64(), "slice": pa.int32(), "lo": pa.int64(), "hi": pa.int64(), "size": pa.int32(), "text": pa.string(), "x": pa.binary()}
     return pa.RecordBatch.from_arrays([pa.array([kind] * n), *(cols.get(c, pa.nulls(n, t)) for c, t in kinds.items())], names=["kind", *kinds])
 
 
@@ -202,18 +208,20 @@ def _first(batches: Iterator[pa.RecordBatch], plan: _Plan) -> Iterator[pa.Record
     """The rows as blocks of different texts, with their anchors and the task's partial sketches (see _FIRST)."""
     block = TaskContext.get().partitionId() << 32
     texts: dict[str, list[int]] = {}
-    points = rows = n = 0
+    points = rows = held = 0
     counted: list[tuple[np.ndarray, np.ndarray]] = []
 
     def out():
-        nonlocal n
+        nonlocal held
         ids = list(texts.values())
         lo, hi = [min(x) for x in ids], [max(x) for x in ids]
-        batch = _rows("text", len(ids), block=pa.array([block] * len(ids), pa.int64()), lo=pa.array(lo, pa.int64()), hi=pa.array(hi, pa.int64()), text=pa.array(list(texts), pa.string()))
+        sizes, digests = [len(t) for t in texts], [hashlib.blake2b(t.encode(), digest_size=16).digest() for t in texts]
+        cols = {"lo": pa.array(lo, pa.int64()), "hi": pa.array(hi, pa.int64()), "size": pa.array(sizes, pa.int32()), "text": pa.array(list(texts), pa.string()), "x": pa.array(digests, pa.binary())}
+        batch = _rows("text", len(ids), block=pa.array([block] * len(ids), pa.int64()), **cols)
         yield batch
-        same = [(i, len(t)) for t, x, a, z in zip(texts, ids, lo, hi) if a != z for i in set(x)]
+        same = [(i, n) for n, x, a, z in zip(sizes, ids, lo, hi) if a != z for i in set(x)]
         if same:
-            yield _rows("same", len(same), lo=pa.array([x[0] for x in same], pa.int64()), hi=pa.array([x[1] for x in same], pa.int64()))
+            yield _rows("same", len(same), lo=pa.array([x[0] for x in same], pa.int64()), size=pa.array([x[1] for x in same], pa.int32()))
         keys, texts_with = _block_anchors(batch, plan)
         if len(keys):
             at, slices, edges = _slices(keys)
@@ -221,7 +229,7 @@ def _first(batches: Iterator[pa.RecordBatch], plan: _Plan) -> Iterator[pa.Record
             x = pa.Array.from_buffers(pa.binary(), len(at), [None, pa.py_buffer((edges * 4).astype(np.int32)), low])
             yield _rows("look", len(at), block=pa.array([block] * len(at), pa.int64()), slice=pa.array(slices), x=x)
             counted.append((keys, texts_with))
-            n += len(keys)
+            held += len(keys)
 
     for b in batches:
         for i, text in zip(b.column("doc_id").to_pylist(), b.column("text").to_pylist()):
@@ -233,12 +241,12 @@ def _first(batches: Iterator[pa.RecordBatch], plan: _Plan) -> Iterator[pa.Record
             if points >= plan.block or rows >= _BLOCK_ROWS:
                 yield from out()
                 texts, points, rows, block = {}, 0, 0, block + 1
-                if n * DEPTH >= _COUNT_AT_ONCE:
+                if held * DEPTH >= _COUNT_AT_ONCE:
                     yield _partial(counted, plan)
-                    counted, n = [], 0
+                    counted, held = [], 0
     if texts:
         yield from out()
-    if n:
+    if held:
         yield _partial(counted, plan)
 
 
@@ -310,27 +318,30 @@ def _estimate(batches: Iterator[pa.RecordBatch], plan: _Plan) -> Iterator[pa.Rec
 
 
 def _with_kept(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, pa.RecordBatch]]:
-    """(keys of surviving anchors in order, texts) of each block that has such; a block's keys come before its texts."""
-    now, keys, kept = None, [], None
+    """(keys of surviving anchors in order, texts) of each block that has such. A block's keys, and the digests of texts to leave out, come before its texts."""
+    now, keys, kept, copies = None, [], None, set()
     for b in batches:
-        block, is_text = b.column("block").to_numpy(), pc.equal(b.column("kind"), "text").to_numpy(zero_copy_only=False)
-        edges = np.flatnonzero(np.append(True, (block[1:] != block[:-1]) | (is_text[1:] != is_text[:-1])))
+        block, kinds = b.column("block").to_numpy(), b.column("kind").to_numpy(zero_copy_only=False)
+        edges = np.flatnonzero(np.append(True, (block[1:] != block[:-1]) | (kinds[1:] != kinds[:-1])))
         for a, z in zip(edges, np.append(edges[1:], len(block))):
             if block[a] != now:
-                now, keys, kept = block[a], [], None
+                now, keys, kept, copies = block[a], [], None, set()
             part = b.slice(a, z - a)
-            if not is_text[a]:
-                keys += [np.frombuffer(x, np.uint32).astype(np.uint64) | np.uint64(s) << np.uint64(32) for s, x in zip(part.column("slice").to_pylist(), part.column("x").to_pylist())]
+            x = part.column("x").to_pylist()
+            if kinds[a] == "keep":
+                keys += [np.frombuffer(low, np.uint32).astype(np.uint64) | np.uint64(s) << np.uint64(32) for s, low in zip(part.column("slice").to_pylist(), x)]
+            elif kinds[a] == "copy":
+                copies.update(x)
             elif keys:
                 kept = np.sort(np.concatenate(keys)) if kept is None else kept
-                yield kept, part
+                yield kept, part.filter(pa.array([d not in copies for d in x])) if copies else part
 
 
-_WINDOW = ["h1", "h2", "lo", "hi", "doc", "a", "z"]
+_WINDOW = ["h1", "h2", "lo", "hi", "a", "z"]
 
 
 def _candidates(batches: Iterator[pa.RecordBatch], plan: _Plan) -> Iterator[pa.RecordBatch]:
-    """Windows under surviving anchors, from a to z of a text; a < 0: only a hash known to be shared; lo null: a run known to be shared."""
+    """Windows under surviving anchors: the text's id and place. a null: only a hash, with its least and greatest id; z not null: a run known to be shared, to z."""
     length = plan.length
     held: list[tuple[np.ndarray, ...]] = []
     n = 0
@@ -374,8 +385,8 @@ def _settled(held: list[tuple[np.ndarray, ...]], length: int) -> Iterator[pa.Rec
     shared[order] = known[group]
     k = int(known.sum())
     if k:
-        none = np.full(k, -1, np.int32)
-        yield _windows(s1[start][known], s2[start][known], least[known], most[known], least[known], none, none)
+        none = pa.nulls(k, pa.int32())
+        yield _windows(s1[start][known], s2[start][known], least[known], most[known], none, none)
         # runs of neighbouring windows; rows of one text come in order of place
         d, p = lo[shared], at[shared]
         by = np.lexsort((p, d))
@@ -385,12 +396,12 @@ def _settled(held: list[tuple[np.ndarray, ...]], length: int) -> Iterator[pa.Rec
         first = np.flatnonzero(edge)
         last = np.append(first[1:], len(d)) - 1
         spread = _mix(d[first].astype(np.uint64) * np.uint64(3) + p[first].astype(np.uint64)).view(np.int64)
-        none = pa.nulls(len(first), pa.int64())
-        yield _windows(spread, np.zeros(len(first), np.int32), none, none, d[first], p[first], p[last] + length)
+        yield _windows(spread, np.zeros(len(first), np.int32), d[first], pa.nulls(len(first), pa.int64()), p[first], p[last] + length)
     rest = ~shared
-    yield _windows(h1[rest], h2[rest], lo[rest], hi[rest], lo[rest], at[rest], at[rest] + length)
+    n = int(rest.sum())
+    yield _windows(h1[rest], h2[rest], lo[rest], pa.nulls(n, pa.int64()), at[rest], pa.nulls(n, pa.int32()))
 
 
 def _windows(*cols) -> pa.RecordBatch:
-    kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32())
+    kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int32())
     return pa.RecordBatch.from_arrays([x if isinstance(x, pa.Array) else pa.array(x.astype(t.to_pandas_dtype())) for x, t in zip(cols, kinds)], names=_WINDOW)
