@@ -7,7 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from minespark.llm import tokenizer
@@ -19,6 +19,8 @@ LONG_TEXT = 8192
 UNIT = 4096
 #: Tokens on each side of a join that are encoded again first; doubled until both sides agree.
 WINDOW = 4
+#: Neighbouring leaves that one task joins; what it makes of them is joined again.
+JOINED_AT_ONCE = 64
 
 
 def encode_corpus(df: DataFrame, *, doc_id: str, text: str, name: str = "byte_bpe_50k", folder: str = tokenizer.FOLDER, long_text: int = LONG_TEXT, unit: int = UNIT) -> DataFrame:
@@ -27,22 +29,39 @@ def encode_corpus(df: DataFrame, *, doc_id: str, text: str, name: str = "byte_bp
     One row out for each row in, repeated rows and null ids included; no special tokens, their strings are
     ordinary text. Other columns are not read. An empty table gives no rows.
 
-    How: texts up to `long_text` code points are encoded where they are read. A longer text is pre-split
-    and cut between pieces into units of about `unit` code points; a piece longer than that, which
-    nothing splits, is halved until its leaves fit. Units of all long texts are spread over the
+    How: texts up to `long_text` code points are encoded where they are read, longer ones by long_ids().
+    """
+    rows, is_long, key = _rows(df, doc_id, text, long_text)
+    short = rows.where(~is_long).mapInArrow(lambda it: _encode_rows(it, name, folder), f"doc_id {key}, ids array<int>")
+    return short.unionByName(long_ids(rows.where(is_long), name, folder, unit)).withColumnRenamed("doc_id", doc_id)
+
+
+def _rows(df: DataFrame, doc_id: str, text: str, long_text: int) -> tuple[DataFrame, Column, str]:
+    """(doc_id, text), whether a text is long, and the type of the id."""
+    rows = df.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text"))
+    return rows, F.coalesce(F.length("text") > long_text, F.lit(False)), dict(rows.dtypes)["doc_id"]
+
+
+def long_ids(rows: DataFrame, name: str, folder: str, unit: int = UNIT, joined_at_once: int = JOINED_AT_ONCE) -> DataFrame:
+    """(doc_id, ids) of long texts, one row for each row (doc_id, text).
+
+    A text, repeated rows of one id once, is pre-split and cut between pieces into units of about `unit` code points; a piece longer than that, which
+    nothing splits, is halved until its leaves fit. Units of all texts are spread over the
     cluster and encoded there. Units between pieces simply follow each other. Leaves of one piece are joined pairwise up the
     tree: a window of tokens around the join is encoded again and grows until its first token is the
     left side's and its last the right side's. Neighbouring tokens then all are such as the
-    encoder itself puts side by side, which makes the whole the encoder's result.
+    encoder itself puts side by side, which makes the whole the encoder's result. The tree's lower levels are spread too:
+    `joined_at_once` neighbouring leaves to a task; where its results meet, the text's own task joins them.
     """
-    rows = df.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text"))
     key = dict(rows.dtypes)["doc_id"]
-    is_long = F.coalesce(F.length("text") > long_text, F.lit(False))
-    short = rows.where(~is_long).mapInArrow(lambda it: _encode_rows(it, name, folder), f"doc_id {key}, ids array<int>")
-    cut = rows.where(is_long).mapInArrow(lambda it: _cut_rows(it, name, folder, unit), f"doc_id {key}, text_key string, n int, piece int, leaf int, text binary, whole boolean")
-    units = cut.repartition("text_key", "n").mapInArrow(lambda it: _encode_units(it, name, folder), f"doc_id {key}, text_key string, n int, piece int, leaf int, ids array<int>")
-    joined = units.groupBy("doc_id", "text_key").applyInPandas(lambda p: _join_units(p, name, folder), f"doc_id {key}, ids array<int>")
-    return short.unionByName(joined).withColumnRenamed("doc_id", doc_id)
+    units_of = f"doc_id {key}, copies long, text_key string, n int, piece int, leaf int, leaves int"
+    texts = rows.groupBy("doc_id", "text").agg(F.count(F.lit(1)).alias("copies"))
+    cut = texts.mapInArrow(lambda it: _cut_rows(it, name, folder, unit), f"{units_of}, text binary, whole boolean")
+    units = cut.repartition("text_key", "n").mapInArrow(lambda it: _encode_units(it, name, folder), f"{units_of}, ids array<int>")
+    leaves = units.where("leaves > 1").groupBy("doc_id", "text_key", F.floor(F.col("n") / joined_at_once))
+    joined = leaves.applyInPandas(lambda p: _join_leaves(p, name, folder), f"{units_of}, ids array<int>")
+    whole = units.where("leaves = 1").unionByName(joined).groupBy("doc_id", "text_key").applyInPandas(lambda p: _join_units(p, name, folder), f"doc_id {key}, copies long, ids array<int>")
+    return whole.select("doc_id", "ids", F.explode(F.sequence(F.lit(1), F.col("copies")))).select("doc_id", "ids")
 
 
 def _lists(arrays: list[np.ndarray]) -> pa.Array:
@@ -103,6 +122,9 @@ def _halves(piece: str, unit: int) -> list[str]:
     return _halves(piece[:mid], unit) + _halves(piece[mid:], unit)
 
 
+_UNIT = ["doc_id", "copies", "text_key", "n", "piece", "leaf", "leaves"]
+
+
 def _cut_rows(batches: Iterator[pa.RecordBatch], name: str, folder: str, unit: int) -> Iterator[pa.RecordBatch]:
     import hashlib
 
@@ -113,11 +135,12 @@ def _cut_rows(batches: Iterator[pa.RecordBatch], name: str, folder: str, unit: i
             key = hashlib.sha256(text.encode()).hexdigest()
             cuts = list(cut_text(bpe, text, unit))
             k = len(cuts)
+            leaves = np.bincount([c[0] for c in cuts])  # of each piece
             cols = [
-                pa.repeat(b.column("doc_id")[one], k), pa.array([key] * k), pa.array(range(k), pa.int32()), pa.array([c[0] for c in cuts], pa.int32()),
-                pa.array([c[1] for c in cuts], pa.int32()), pa.array([c[2] for c in cuts], pa.binary()), pa.array([c[3] for c in cuts]),
+                pa.repeat(b.column("doc_id")[one], k), pa.repeat(b.column("copies")[one], k), pa.array([key] * k), pa.array(range(k), pa.int32()), pa.array([c[0] for c in cuts], pa.int32()),
+                pa.array([c[1] for c in cuts], pa.int32()), pa.array([leaves[c[0]] for c in cuts], pa.int32()), pa.array([c[2] for c in cuts], pa.binary()), pa.array([c[3] for c in cuts]),
             ]
-            yield pa.RecordBatch.from_arrays(cols, names=["doc_id", "text_key", "n", "piece", "leaf", "text", "whole"])
+            yield pa.RecordBatch.from_arrays(cols, names=[*_UNIT, "text", "whole"])
 
 
 def _encode_units(batches: Iterator[pa.RecordBatch], name: str, folder: str) -> Iterator[pa.RecordBatch]:
@@ -125,20 +148,26 @@ def _encode_units(batches: Iterator[pa.RecordBatch], name: str, folder: str) ->
     for b in batches:
         texts, whole = b.column("text").to_pylist(), b.column("whole").to_pylist()
         ids = [bpe.encode(t.decode()) if w else np.array(bpe.encode_piece(t), np.int32) for t, w in zip(texts, whole)]
-        yield pa.RecordBatch.from_arrays([*(b.column(c) for c in ("doc_id", "text_key", "n", "piece", "leaf")), _lists(ids)], names=["doc_id", "text_key", "n", "piece", "leaf", "ids"])
+        yield pa.RecordBatch.from_arrays([*(b.column(c) for c in _UNIT), _lists(ids)], names=[*_UNIT, "ids"])
+
+
+def _join_leaves(p: pd.DataFrame, name: str, folder: str) -> pd.DataFrame:
+    """Neighbouring leaves of a text's pieces joined: one row of each piece, in place of its first leaf."""
+    bpe = tokenizer.load(name, folder)
+    p = p.sort_values("n")
+    first = p.drop_duplicates("piece").copy()
+    first["ids"] = [join_leaves(bpe, [np.asarray(x, np.int32) for x in piece["ids"]]) for _, piece in p.groupby("piece", sort=True)]
+    return first[[*_UNIT, "ids"]]
 
 
 def _join_units(p: pd.DataFrame, name: str, folder: str) -> pd.DataFrame:
-    """One text's units (as often as its row is repeated) to its ids, once per repetition."""
+    """One text's units to its ids."""
     bpe = tokenizer.load(name, folder)
-    copies = int((p["n"] == 0).sum())
-    p = p.drop_duplicates("n").sort_values("n")
-    out: list[np.ndarray] = []
-    for _, piece in p.groupby("piece", sort=True):
-        out.append(join_leaves(bpe, [np.asarray(x, np.int32) for x in piece["ids"]]))
-    ids = np.concatenate(out)
-    doc = p["doc_id"].iloc[0]
-    return pd.DataFrame({"doc_id": pd.Series([doc] * copies, dtype=p["doc_id"].dtype), "ids": [ids] * copies})
+    p = p.sort_values("n")
+    out = [join_leaves(bpe, [np.asarray(x, np.int32) for x in piece["ids"]]) for _, piece in p.groupby("piece", sort=True)]
+    one = p[["doc_id", "copies"]].iloc[:1].copy()
+    one["ids"] = [np.concatenate(out)]
+    return one
 
 
 def join_leaves(bpe: ByteBpe, leaves: list[np.ndarray]) -> np.ndarray:
@@ -162,18 +191,3 @@ def join_two(bpe: ByteBpe, left: np.ndarray, right: np.ndarray, window: int = WI
         if start_ok and end_ok and (len(ids) > 1 or (w >= len(left) and w >= len(right))):
             return np.concatenate([left[: max(0, len(left) - w)], np.array(ids, np.int32), right[w:]])
         w *= 2
-
-
-def count_tokens(bpe: ByteBpe, text: str, unit: int = UNIT) -> int:
-    """Tokens of a text, a long one unit by unit, so that no call grows with the text."""
-    if len(text) <= LONG_TEXT:
-        return len(bpe.encode(text))
-    total, piece, leaves = 0, None, []
-    for p, _, part, whole in cut_text(bpe, text, unit):
-        if whole:
-            total += len(bpe.encode(part.decode()))
-            continue
-        if p != piece:
-            total, piece, leaves = total + (len(join_leaves(bpe, leaves)) if leaves else 0), p, []
-        leaves.append(np.array(bpe.encode_piece(part), np.int32))
-    return total + (len(join_leaves(bpe, leaves)) if leaves else 0)

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from minespark.llm import tokenizer
+from minespark.llm.encode import LONG_TEXT, UNIT, _rows, long_ids
 from minespark.runtime import small, written
 
 #: Bins that a task keeps open at once.
@@ -23,12 +24,13 @@ class BestFit:
 
     The open bins are stacked by their free space; bit f of `bits` is set while a bin with free space f is open, so
     the tightest fit of a size is the lowest set bit from it on. If none fits and `most` bins are
-    open, the fullest closes. A bin without free space closes at once.
+    open, the fullest closes. A bin without free space closes at once. `closed` gets the bins that close; who reads it empties it.
     """
 
     def __init__(self, capacity: int, most: int, first: int = 0, step: int = 1):
         self.capacity, self.most = capacity, most
         self.bits, self.open = 0, 0
+        self.closed: list[int] = []
         self.by_free: list[list[int]] = [[] for _ in range(capacity + 1)]
         self.next, self.step = first, step
 
@@ -40,7 +42,7 @@ class BestFit:
             one = self._pop(free)
         else:
             if self.open >= self.most:
-                self._pop((self.bits & -self.bits).bit_length() - 1)
+                self.closed.append(self._pop((self.bits & -self.bits).bit_length() - 1))
             free, one = self.capacity, self.next
             self.next += self.step
         left = free - size
@@ -48,6 +50,8 @@ class BestFit:
             self.by_free[left].append(one)
             self.bits |= 1 << left
             self.open += 1
+        else:
+            self.closed.append(one)
         return one
 
     def _pop(self, free: int) -> int:
@@ -66,18 +70,17 @@ class BestFit:
 _ITEMS = "kind string, pid int, bin long, doc_id {key}, piece_no int, piece_start long, n_tokens int"
 
 
-def token_counts(df: DataFrame, *, doc_id: str, text: str, name: str = "byte_bpe_50k", folder: str = tokenizer.FOLDER) -> DataFrame:
-    """(doc_id, size): tokens of each row's text, 0 for null and empty ones."""
-    rows = df.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text"))
-    return rows.mapInArrow(lambda it: _count(it, name, folder), f"doc_id {dict(rows.dtypes)['doc_id']}, size long")
+def token_counts(df: DataFrame, *, doc_id: str, text: str, name: str = "byte_bpe_50k", folder: str = tokenizer.FOLDER, long_text: int = LONG_TEXT, unit: int = UNIT) -> DataFrame:
+    """(doc_id, size): tokens of each row's text, 0 for null and empty ones. Long texts are cut and spread as encode_corpus does."""
+    rows, is_long, key = _rows(df, doc_id, text, long_text)
+    short = rows.where(~is_long).mapInArrow(lambda it: _count(it, name, folder), f"doc_id {key}, size long")
+    return short.unionByName(long_ids(rows.where(is_long), name, folder, unit).select("doc_id", F.size("ids").cast("long").alias("size")))
 
 
 def _count(batches: Iterator[pa.RecordBatch], name: str, folder: str) -> Iterator[pa.RecordBatch]:
-    from minespark.llm.encode import UNIT, count_tokens
-
     bpe = tokenizer.load(name, folder)
     for b in batches:
-        sizes = pa.array([count_tokens(bpe, t, UNIT) if t else 0 for t in b.column("text").to_pylist()], pa.int64())
+        sizes = pa.array([len(bpe.encode(t)) if t else 0 for t in b.column("text").to_pylist()], pa.int64())
         yield pa.RecordBatch.from_arrays([b.column("doc_id"), sizes], names=["doc_id", "size"])
 
 
@@ -89,46 +92,51 @@ def pack(items: DataFrame, *, item_id: str, size: str, capacity: int, open_bins:
     null ids are packed each by itself. Other columns are not read. An empty table gives no rows.
 
     How: each task packs its items as they come, by best-fit over `open_bins` open bins (BestFit), without a
-    shuffle. What it leaves open, at most `open_bins` bins, is packed again as items with those of
-    the other tasks, so no more than `open_bins` containers stay open in the end. Bins that
+    shuffle. Items of a bin that closes have their container at once. What a task leaves open, at most `open_bins` bins, is packed again as items with those of
+    the other tasks, so no more than `open_bins` containers stay open in the end; only the items of these bins are looked up. Bins that
     the second packing puts together share the container id of the first of them.
     """
     rows = items.select(F.col(item_id).alias("doc_id"), F.col(size).cast("long").alias("size")).where("size > 0")
     schema = _ITEMS.format(key=dict(rows.dtypes)["doc_id"])
-    placed = written(rows.mapInArrow(lambda it: _place(it, capacity, open_bins), schema), "pack", ["kind"])
+    placed = written(rows.mapInArrow(lambda it: _place(it, capacity, open_bins), schema), "pack")
     rest = placed.where("kind = 'open'").select("pid", "bin", F.col("n_tokens").alias("fill"))
-    moved = small(_consolidated(rest, capacity, open_bins))
-    put = placed.where("kind = 'item'").join(moved, ["pid", "bin"], "left")
-    own = F.shiftleft(F.col("pid").cast("long"), 40) + F.col("bin")
-    return put.select(F.coalesce("container", own).alias("container_id"), F.col("doc_id").alias(item_id), "piece_no", "piece_start", "n_tokens")
+    moved = _consolidated(rest, capacity, open_bins)
+    own = (F.shiftleft(F.col("pid").cast("long"), 40) + F.col("bin")).alias("container")
+    item = [F.col("doc_id").alias(item_id), "piece_no", "piece_start", "n_tokens"]
+    final = placed.where("kind = 'item'").select(own.alias("container_id"), *item)
+    moving = placed.where("kind = 'moving'").join(small(moved), ["pid", "bin"])
+    return final.unionByName(moving.select(F.col("container").alias("container_id"), *item))
 
 
 def _place(batches: Iterator[pa.RecordBatch], capacity: int, open_bins: int) -> Iterator[pa.RecordBatch]:
+    """item: an item of a closed bin; moving: an item of a bin left open; open: such a bin, with its fill."""
     pid = TaskContext.get().partitionId()
     bins = BestFit(capacity, open_bins)
+    inside: dict[int, list[tuple]] = {}  # of each open bin its items
     key = None
     for b in batches:
         key = b.schema.field("doc_id").type
-        rows, bin_no, piece, start, n = [], [], [], [], []
-        for i, size in enumerate(b.column("size").to_pylist()):
+        out: list[tuple] = []
+        for one, size in zip(b.column("doc_id").to_pylist(), b.column("size").to_pylist()):
             for k, at in enumerate(range(0, size, capacity)):
                 part = min(capacity, size - at)
-                rows.append(i)
-                bin_no.append(bins.put(part))
-                piece.append(k)
-                start.append(at)
-                n.append(part)
-        if rows:
-            yield _batch("item", pid, bin_no, b.column("doc_id").take(pa.array(rows)), piece, start, n)
-    left = bins.left()
-    if left:
-        k = len(left)
-        yield _batch("open", pid, [x[0] for x in left], pa.nulls(k, key), [0] * k, [0] * k, [capacity - x[1] for x in left])
-
-
-def _batch(kind: str, pid: int, bin_no: list, ids: pa.Array, piece: list, start: list, n: list) -> pa.RecordBatch:
-    k = len(bin_no)
-    cols = [pa.array([kind] * k), pa.array([pid] * k, pa.int32()), pa.array(bin_no, pa.int64()), ids, pa.array(piece, pa.int32()), pa.array(start, pa.int64()), pa.array(n, pa.int32())]
+                bin_no = bins.put(part)
+                inside.setdefault(bin_no, []).append((bin_no, one, k, at, part))
+                for c in bins.closed:
+                    out += inside.pop(c)
+                bins.closed.clear()
+        if out:
+            yield _batch("item", pid, key, out)
+    if inside:
+        yield _batch("moving", pid, key, [x for items in inside.values() for x in items])
+        yield _batch("open", pid, key, [(one, None, 0, 0, capacity - free) for one, free in bins.left()])
+
+
+def _batch(kind: str, pid: int, key: pa.DataType, rows: list[tuple]) -> pa.RecordBatch:
+    """Rows of (bin, id, piece, start, tokens)."""
+    k = len(rows)
+    kinds = (pa.int64(), key, pa.int32(), pa.int64(), pa.int32())
+    cols = [pa.array([kind] * k), pa.array([pid] * k, pa.int32()), *(pa.array(x, t) for x, t in zip(zip(*rows), kinds))]
     return pa.RecordBatch.from_arrays(cols, names=["kind", "pid", "bin", "doc_id", "piece_no", "piece_start", "n_tokens"])
 
 

@@ -5,7 +5,8 @@ import pytest
 from tokenizers import Tokenizer
 
 from minespark.llm import tokenizer
-from minespark.llm.encode import count_tokens, cut_text, encode_corpus, join_leaves, join_two
+from minespark.llm.encode import LONG_TEXT, UNIT, cut_text, encode_corpus, join_leaves, join_two, long_ids
+from minespark.llm.registry import p6_ids
 
 np = pytest.importorskip("numpy")
 PIECES = ["a", "th", "the", "ation", "ing", "=", "-", "_", "'", "'s", " ", "  ", "\n", "\t", " ", "　", "\x1c", "中", "日", "é", "é", "1", "23", "😀", "<|endoftext|>"]
@@ -51,7 +52,6 @@ def test_long_unsplit_piece(bpe, reference):
     assert by_units(bpe, text, 500) == reference(text)
     for text in ("a" * 5000, "=" * 5000, " " * 3000 + "x", "\n" * 999, "ab" * 2000):
         assert by_units(bpe, text, 100) == reference(text)
-        assert count_tokens(bpe, text, 100) == len(reference(text))
 
 
 def test_join_two_agrees_at_any_cut(bpe):
@@ -70,5 +70,27 @@ def test_corpus(spark, reference):
     assert sorted(((r.doc_id, list(r.ids)) for r in got), key=repr) == sorted(((i, reference(t)) for i, t in rows), key=repr)
 
 
+UNSPLIT = "".join(random.Random(8).choice(["ation", "the", "ing", "é", "qu", "中"]) for _ in range(6000))  # nothing splits it
+
+
+def test_the_tree_of_an_unsplit_text_is_joined_by_several_tasks(spark, reference):
+    """About 300 leaves, 20 to a task, whose results are joined again; with text around it, and again for a repeated row."""
+    text = "It says: " + UNSPLIT + " -- the end."
+    df = spark.createDataFrame([(1, text), (1, text), (None, UNSPLIT), (2, "a " * 3000)], "doc_id long, text string")
+    got = sorted(((r.doc_id or 0, list(r.ids)) for r in long_ids(df, "byte_bpe_50k", tokenizer.FOLDER, unit=60, joined_at_once=20).collect()), key=lambda x: x[0])
+    assert got == [(0, reference(UNSPLIT)), *[(1, reference(text))] * 2, (2, reference("a " * 3000))]
+
+
+def test_a_long_unsplit_text_goes_through_the_query(spark, reference, tmp_path):
+    """p6_ids with its own limits: the text exceeds both the length of a long text and that of a leaf, so leaves are joined."""
+    texts = [UNSPLIT, "short", None, "x" * 9000, " " * 5000 + UNSPLIT[:5000]]
+    assert len(UNSPLIT) > LONG_TEXT and len(UNSPLIT) > 4 * UNIT
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    leaves = [cut_text(tokenizer.load(), t, UNIT) for t in texts if t and len(t) > LONG_TEXT]
+    assert [sum(not whole for *_, whole in x) for x in leaves] == [8, 4, 4]  # white space and what follows it are two pieces
+    got = {r.doc_id: list(r.ids) for r in p6_ids(spark, str(tmp_path)).collect()}
+    assert got == {i: reference(t) if t else [] for i, t in enumerate(texts)}
+
+
 def test_empty(spark):
     assert encode_corpus(spark.createDataFrame([], "doc_id long, text string"), doc_id="doc_id", text="text").collect() == []

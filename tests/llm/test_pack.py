@@ -1,6 +1,9 @@
 import random
 
+from minespark.llm import pack as pack_module
+from minespark.llm import tokenizer
 from minespark.llm.pack import BestFit, pack, token_counts
+from minespark.runtime import small
 
 
 def test_best_fit_takes_the_tightest_bin_and_closes_the_fullest():
@@ -44,6 +47,29 @@ def test_one_size_and_odd_rows(spark):
     assert pack(df.limit(0), item_id="item", size="size", capacity=10).collect() == []
 
 
+def test_many_tasks_look_up_their_open_bins_only(spark, monkeypatch):
+    """200 tasks, more open bins than may be broadcast: the items of closed bins take no part in any join."""
+    monkeypatch.setattr(pack_module, "small", lambda df: small(df, 50))
+    monkeypatch.setattr(pack_module, "ONE_TASK", 100)
+    rnd = random.Random(2)
+    sizes = {i: rnd.randrange(1, 400) for i in range(20_000)}
+    df = spark.createDataFrame(list(sizes.items()), "item long, size long").repartition(200)
+    out = pack(df, item_id="item", size="size", capacity=1000, open_bins=4)
+    assert check(out.collect(), sizes, 1000) <= 1.1 * sum(sizes.values()) / 1000
+    joined, whole = out._jdf.queryExecution().optimizedPlan().toString().split("Union")[-1].split("Filter", 1), out.count()
+    assert "Join" in joined[1] and whole == len(sizes)
+    first = out._jdf.queryExecution().optimizedPlan().children().apply(0).toString()
+    assert "Join" not in first and "(kind#" in first
+
+
+def test_a_long_text_is_counted_as_it_is_encoded(spark):
+    text = "hello world " * 40 + "z" * 300
+    df = spark.createDataFrame([(1, text), (1, text), (2, "a b")], "d long, text string")
+    got = sorted((r.doc_id, r["size"]) for r in token_counts(df, doc_id="d", text="text", long_text=100, unit=30).collect())
+    n = len(tokenizer.load().encode(text))
+    assert got == [(1, n), (1, n), (2, 2)]
+
+
 def test_counts(spark):
     df = spark.createDataFrame([(1, "a b"), (2, None), (3, "")], "d long, text string")
     assert sorted((r.doc_id, r["size"]) for r in token_counts(df, doc_id="d", text="text").collect()) == [(1, 2), (2, 0), (3, 0)]
