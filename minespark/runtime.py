@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 
 #: Rows up to which a table may be broadcast; counted before it is.
 BROADCAST_ROWS = 200_000
+#: Files of different partitions that a task writes side by side.
+WRITERS = 16
 
 
 def session(app: str = "minespark", cpus: int | str = "*", shuffle_partitions: int = 8, shared: str | None = None) -> SparkSession:
@@ -81,7 +83,14 @@ def written(df: DataFrame, label: str, partition_by: Iterable[str] = ()) -> Data
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").partitionBy(*partition_by).parquet(path)
+    writers = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(writers)
+    if partition_by:
+        spark.conf.set(writers, WRITERS)  # else the rows are sorted by partition first
+    try:
+        df.write.option("compression", "zstd").partitionBy(*partition_by).parquet(path)
+    finally:
+        spark.conf.set(writers, before)
     _drop_at_exit(spark, path)
     return spark.read.schema(df.schema).parquet(path)
 

@@ -61,16 +61,59 @@ def test_small_batches_and_empty(spark):
     assert profile(spark.createDataFrame([], S), RULES, "ld").stats.collect() == []
 
 
-def test_sort_key_orders_as_column_and_value_do():
+def _sorted_as(keys):
+    """Whether (key, rest) never falls; null before any rest."""
+    order = [(int(k), v is not None, v or b"") for k, v in keys]
+    return order == sorted(order) and len(set(order)) == len(order)
+
+
+def test_sort_keys_order_and_tell_the_values():
     import numpy as np
     import pyarrow as pa
 
-    from minespark.operators.profile_sorted import _sort_key
+    from minespark.operators import profile_sorted as P
 
     rnd = random.Random(3)
-    numbers = sorted([Decimal(rnd.randrange(-(10**9), 10**9)) / 10000 for _ in range(300)] + [Decimal(x) for x in ("0", "12345678901234567890.1234", "922337203685477.5808", "-0.0001", "-99999999999999999999")])
-    texts = sorted(("".join(rnd.choice("ab中é Z\x7f😀") for _ in range(rnd.randrange(12))) for _ in range(300)), key=str.encode)
-    for columns in (25, 128, 129, 1000):
-        k = [_sort_key(3, pa.array([None, *numbers], pa.decimal128(38, 4)), True, columns), _sort_key(4, pa.array(["x", None, *texts]).slice(1), False, columns), _sort_key(columns - 1, pa.array([None, "z"]), False, columns)]
-        assert (np.diff(np.concatenate(k)) >= 0).all() and k[0].max() < k[1].min() and k[1].max() < k[2].min() and k[0].min() >= 0
-        assert len(_sort_key(0, pa.array([], pa.string()), False, columns)) == 0
+    numbers = sorted({Decimal(rnd.randrange(-(10**9), 10**9)) / 10000 for _ in range(300)} | {Decimal(x) for x in ("0", "12345678901234567890.1234", "922337203685477.5808", "-0.0001", "-99999999999999999999")})
+    texts = sorted({"".join(rnd.choice("ab中é Z\x7f😀\0") for _ in range(rnd.randrange(12))) for _ in range(300)} | {"", "abcdefg", "abcdefgh", "a\0"}, key=str.encode)
+    doubles = sorted({rnd.gauss(0, 10.0 ** rnd.randrange(-300, 300)) for _ in range(200)} | {0.0, 0.1, -0.1, 0.5, 5e-324, float("inf"), float("-inf")})
+    whole = sorted({rnd.randrange(-(2**63), 2**63) for _ in range(50)} | {0, 1, -1, 2**55 - 2, 2**55 - 1, -(2**55) + 2, -(2**55) + 1, 2**63 - 1, -(2**63)})
+    last = 0
+    for i, (v, column) in enumerate([
+        (pa.array([None, *numbers], pa.decimal128(24, 4)), P._Column(True, 4, False, None)),
+        (pa.array(["x", None, *texts]).slice(1), P._Column(False, 0, False, None)),
+        (pa.array([None, *P._ordered_bits(np.array([*doubles, float("nan")]))], pa.int64()), P._Column(True, None, False, None)),
+        (pa.array([None, *whole], pa.int64()), P._Column(True, 0, False, None)),
+    ]):
+        k, rest = P._key(i + 100, v, column)
+        assert _sorted_as(zip(k, rest.to_pylist())) and k[0] > last
+        last = k[-1]
+        if not column.number:
+            assert P._texts(k, rest).to_pylist() == [None, *texts]
+        else:
+            back = [P._number(int(a), b, column) for a, b in zip(k[1:], rest.to_pylist()[1:])]
+            assert back == [None, *numbers][1:] if i == 0 else back == whole if i == 3 else back[:-1] == doubles and back[-1] != back[-1]
+        bounds = [(int(k[j]), rest[j].as_py()) for j in sorted(rnd.sample(range(len(k)), 20))]
+        assert P._range_of(k, rest, bounds).tolist() == [sum((b, x is not None, x or b"") <= (int(a), v is not None, v or b"") for b, x in bounds) for a, v in zip(k, rest.to_pylist())]
+        assert len(P._key(0, v.slice(0, 0), column)[0]) == 0
+
+
+def test_numbers_count_at_their_own_scale(spark):
+    """A fifth decimal, doubles that differ in the last bit, and a million different numbers."""
+    rows = [(1, Decimal("0.12345"), 0.1 + 0.2, 2**62 + i % 2, "1.5") for i in range(4)] + [(1, Decimal("0.12346"), 0.3, -(2**62), "-2"), (1, None, -0.0, 0, None), (1, None, float("nan"), 0, None)]
+    df = spark.createDataFrame(rows, "ld long, a decimal(10,5), b double, c long, d string")
+    got = {r.c: r for r in profile(df, [ColumnRule(x, number=True) for x in "abcd"], "ld").stats.collect()}
+    assert [got[i].n_distinct for i in range(4)] == [2, 4, 4, 2]
+    assert (got[1].n_zero, got[1].n_neg, got[1].lo, got[1].q) == (1, 0, 0.0, 0.1 + 0.2) and got[1].hi != got[1].hi
+    assert (got[2].lo, got[2].hi, got[2].n_neg, got[3].lo, got[3].q) == (-(2.0**62), 2.0**62, 1, -2.0, 1.5)
+    exact = profile(df, [ColumnRule("a", number=True)], "ld").stats.first()
+    assert (exact.lo, exact.hi, exact.q) == (Decimal("0.12345"), Decimal("0.12346"), Decimal("0.12345"))
+    many = spark.range(1_000_000).selectExpr("1L as ld", "(id * 7919 % 1000000) / 8 as x")
+    one = profile(many, [ColumnRule("x", number=True)], "ld").stats.first()
+    assert (one.n_rows, one.n_distinct, one.lo, one.hi, one.q) == (1_000_000, 1_000_000, 0.0, 999_999 / 8, 749_999 / 8)
+
+
+def test_more_columns_than_a_sort_takes(spark):
+    df = spark.range(5).selectExpr("1L as ld", *(f"id + {i} as c{i}" for i in range(130)), "cast(id as string) as t")
+    got = {r.c: r for r in profile(df, [*(ColumnRule(f"c{i}", number=True) for i in range(130)), ColumnRule("t")], "ld").stats.collect()}
+    assert set(got) == set(range(131)) and all((got[i].lo, got[i].hi, got[i].n_distinct) == (i, i + 4, 5) for i in range(130)) and got[130].n_distinct == 5
