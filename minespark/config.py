@@ -25,6 +25,7 @@ class Config:
     r_limit: float = 0.8
     psi_limit: float = 0.1
     shuffle_partitions: int = 200
+    shared_dir: str = ""
 
     def shown(self) -> dict[str, object]:
         """All settings, secrets masked."""

@@ -76,13 +76,13 @@ def months_between_rounded(later: Column, earlier: Column) -> Column:
     return F.coalesce(F.bround(days / 30, 0).cast("int"), F.lit(NO_MONTHS))
 
 
-def align_months(df: DataFrame, *, base: str, period: str, entity: str) -> DataFrame:
+def align_months(df: DataFrame, *, base: str, period: str, entity: str, newest: str | None = None) -> DataFrame:
     """Move the periods of several base months to the newest one and mark the ids by their base month.
 
-    Adds a_period and a_entity. The newest base month is one aggregated value, joined back as one row.
+    Adds a_period and a_entity. The newest base month is given, or one aggregated value, joined back as one row.
     Null base or period gives a null a_period.
     """
-    newest = df.agg(F.max(base).alias("_newest"))
+    newest = df.agg(F.max(base).alias("_newest")) if newest is None else df.sparkSession.createDataFrame([(newest,)], "_newest string")
     shift = F.round(F.months_between(period_start(F.col("_newest")), period_start(F.col(base)))).cast("int")
     moved = F.date_format(F.add_months(period_start(F.col(period)), shift), "yyyyMM")
     return df.join(F.broadcast(newest)).select(*df.columns, moved.alias("a_period"), F.concat_ws("_", F.col(base), F.col(entity).cast("string")).alias("a_entity"))

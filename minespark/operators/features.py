@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from itertools import combinations
 
 from pyspark.sql import Column, DataFrame
@@ -20,12 +20,12 @@ AGGS_AT_ONCE = 200
 
 @dataclass(frozen=True)
 class FeatureDef:
-    """A derived column: its method, input columns and, for valuecnt, onehot and moreq25cnt, a value. `floor`: fitted divisor floor."""
+    """A derived column: its method, input columns and, for valuecnt, onehot and moreq25cnt, a value. `floor`: the fitted divisor floor of div and grow."""
 
     method: str
     inputs: tuple[str, ...]
     value: object = None
-    floor: float = 1.0
+    floor: float | None = None
 
     @property
     def name(self) -> str:
@@ -45,34 +45,41 @@ def recent_defs(numbers: Sequence[str], categories: Mapping[str, Sequence] | Non
     return out + [FeatureDef("valuecnt", (c,), v) for c, values in (categories or {}).items() for v in values if "valuecnt" in methods]
 
 
-def fitted(panel: DataFrame, defs: Sequence[FeatureDef], *, period: str, at: str) -> list[FeatureDef]:
-    """The definitions with what they learn: moreq25cnt the current period's exact lower quartile, grow and div their divisor's floor."""
+def fitted(panel: DataFrame, defs: Sequence[FeatureDef], *, period: str, at: str, entity: str | None = None) -> list[FeatureDef]:
+    """The definitions with what they learn: moreq25cnt the current period's exact lower quartile, div its divisor's floor, and grow too if `entity` is given."""
     out = []
     now = panel.where(F.col(period) == at)
     q25 = [d for d in defs if d.method == "moreq25cnt" and d.value is None]
     learned = {r.col: r.value for r in quantiles(now, [d.inputs[0] for d in q25], [0.25]).collect()} if q25 else {}
+    grow = grow_floors(panel, [d.inputs[0] for d in defs if d.method == "grow" and d.floor is None], entity=entity, period=period, at=at) if entity is not None else {}
     for d in defs:
         if d.method == "moreq25cnt" and d.value is None:
-            d = FeatureDef(d.method, d.inputs, learned.get(d.inputs[0]))
+            d = replace(d, value=learned.get(d.inputs[0]))
         elif d.method == "div":
-            d = FeatureDef(d.method, d.inputs, None, fit_floor(now, F.col(d.inputs[1])))
+            d = replace(d, floor=fit_floor(now, F.col(d.inputs[1])))
+        elif d.method == "grow" and d.inputs[0] in grow:
+            d = replace(d, floor=grow[d.inputs[0]])
         out.append(d)
     return out
 
 
+def grow_floors(panel: DataFrame, columns: Sequence[str], *, entity: str, period: str, at: str) -> dict[str, float]:
+    """The divisor floors of grow: of each column's mean over the periods before `at`."""
+    if not columns:
+        return {}
+    means = panel.where(F.col(period) < at).groupBy(entity).agg(*(F.avg(c).alias(c) for c in columns))
+    return {c: fit_floor(means, F.col(c)) for c in columns}
+
+
 def recent_features(panel: DataFrame, defs: Sequence[FeatureDef], *, entity: str, period: str, at: str, floors: Mapping[str, float] | None = None) -> DataFrame:
     """One row per entity: features over its (padded, zero-filled) periods. `at` is the current period.
 
     std is the sample's; sep = std/avg, 0 if avg is 0; wave = (max-min)/avg, 1 if avg is 0; grow = current / mean of the
-    earlier ones by safe division (`floors` by column, else fitted). One shuffle on the entity; many features are aggregated in
+    earlier ones by safe division (`floors` by column, else the definition's, else fitted here). One shuffle on the entity; many features are aggregated in
     slices of AGGS_AT_ONCE over the same partitioning.
     """
-    grow = [d for d in defs if d.method == "grow"]
-    floors = dict(floors or {})
-    if any(d.inputs[0] not in floors for d in grow):
-        means = panel.where(F.col(period) < at).groupBy(entity).agg(*(F.avg(d.inputs[0]).alias(d.inputs[0]) for d in grow))
-        for d in grow:
-            floors.setdefault(d.inputs[0], fit_floor(means, F.col(d.inputs[0])))
+    floors = {d.inputs[0]: d.floor for d in defs if d.method == "grow" and d.floor is not None} | dict(floors or {})
+    floors |= grow_floors(panel, [d.inputs[0] for d in defs if d.method == "grow" and d.inputs[0] not in floors], entity=entity, period=period, at=at)
     aggs = [_recent(d, F.col(period), at, floors).alias(d.name) for d in defs]
     if len(aggs) <= AGGS_AT_ONCE:
         return panel.groupBy(entity).agg(*aggs)
@@ -113,7 +120,7 @@ def current_features(now: DataFrame, defs: Sequence[FeatureDef]) -> DataFrame:
         if d.method == "onehot":
             out[d.name] = F.coalesce((a == F.lit(d.value)).cast("int"), F.lit(0))
         elif d.method in PAIR:
-            out[d.name] = {"add": a + b, "sub": a - b, "mult": a * b, "div": safe_div(a, b, d.floor)}[d.method]
+            out[d.name] = {"add": a + b, "sub": a - b, "mult": a * b, "div": safe_div(a, b, 1.0 if d.floor is None else d.floor)}[d.method]
         else:
             raise ValueError(f"no method {d.method}")
     return now.withColumns(out)

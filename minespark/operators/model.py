@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 from itertools import product
 
@@ -11,7 +11,7 @@ from pyspark.ml import Model
 from pyspark.ml.classification import DecisionTreeClassifier, GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from minespark.operators import evaluate, prep
@@ -78,7 +78,7 @@ def features_of(steps: Sequence[prep.Fitted], df: DataFrame, columns: Sequence[s
 
 @dataclass
 class Trained:
-    """A model with its preparation, inputs, evaluation tables and training score bands."""
+    """A model with its preparation, inputs, evaluation tables, and of the first data set the thresholds and the rows in each score band."""
 
     name: str
     steps: list[prep.Fitted]
@@ -88,6 +88,7 @@ class Trained:
     tables: dict[str, list] = field(default_factory=dict)
     psi: float | None = None
     thresholds: list[float] = field(default_factory=list)
+    bands: list[tuple[int, int]] = field(default_factory=list)
 
     def score(self, df: DataFrame) -> DataFrame:
         """df with score = 100 x probability, to three digits. Columns it lacks count as missing."""
@@ -97,13 +98,15 @@ class Trained:
         p = vector_to_array(F.col("probability"))[1]
         return self.model.transform(vectors).select("_row.*", F.round(p * 100, 3).alias("score"))
 
-    def importances(self) -> list[tuple[str, float]]:
+    def importances(self, comments: Mapping[str, str] | None = None, most: int | None = None) -> list[tuple]:
+        """(input, importance[, comment of its field]), greatest first; the first `most` of them."""
         raw = self.model.featureImportances.toArray() if hasattr(self.model, "featureImportances") else self.model.coefficients.toArray()
-        return sorted(zip(self.inputs, map(float, raw)), key=lambda x: (-abs(x[1]), x[0]))
+        found = sorted(zip(self.inputs, map(float, raw)), key=lambda x: (-abs(x[1]), x[0]))[:most]
+        return found if comments is None else [(c, x, comments.get(c, comments.get(c.split("~")[0].split("__")[-1], ""))) for c, x in found]
 
     def save(self, path: str) -> None:
         self.model.write().overwrite().save(f"{path}/model")
-        meta = {"name": self.name, "kind": type(self.model).__name__, "steps": [s.to_json() for s in self.steps], "inputs": self.inputs, "label": self.label, "psi": self.psi, "thresholds": self.thresholds}
+        meta = {"name": self.name, "kind": type(self.model).__name__, "steps": [s.to_json() for s in self.steps], "inputs": self.inputs, "label": self.label, "psi": self.psi, "thresholds": self.thresholds, "bands": self.bands, "tables": {n: [r.asDict() for r in t] for n, t in self.tables.items()}}
         spark = SparkSession.active()
         spark.createDataFrame([(json.dumps(meta, ensure_ascii=False),)], "meta string").coalesce(1).write.mode("overwrite").text(f"{path}/meta")
 
@@ -113,7 +116,8 @@ class Trained:
 
         meta = json.loads(SparkSession.active().read.text(f"{path}/meta").first()[0])
         model = getattr(c, meta["kind"]).load(f"{path}/model")
-        return Trained(meta["name"], [prep.Fitted.from_json(s) for s in meta["steps"]], meta["inputs"], model, tuple(meta["label"]), {}, meta["psi"], meta["thresholds"])
+        tables = {n: [Row(**r) for r in t] for n, t in meta.get("tables", {}).items()}
+        return Trained(meta["name"], [prep.Fitted.from_json(s) for s in meta["steps"]], meta["inputs"], model, tuple(meta["label"]), tables, meta["psi"], meta["thresholds"], [tuple(b) for b in meta.get("bands", [])])
 
 
 def train_one(df: DataFrame, steps: list[prep.Fitted], estimator, name: str, columns: Sequence[str], label: tuple[str, str, str]) -> Trained:
@@ -129,14 +133,14 @@ def train_one(df: DataFrame, steps: list[prep.Fitted], estimator, name: str, col
     return Trained(name, steps, inputs, estimator.fit(vectors), label)
 
 
-def cycle(train: DataFrame, sets: Mapping[str, DataFrame], *, numbers: Sequence[str], categories: Sequence[str], label: tuple[str, str, str], ratios: Sequence = ("actual",), kinds: Sequence[str] = ("woe",), models: Mapping[str, object] | None = None, key, positive_limit: int = 10_000, **how) -> dict[str, Trained]:
+def cycle(train: DataFrame, sets: Mapping[str, DataFrame], *, numbers: Sequence[str], categories: Sequence[str], label: tuple[str, str, str], ratios: Sequence = ("actual",), kinds: Sequence[str] = ("woe",), models: Mapping[str, object] | None = None, key, positive_limit: int = 10_000, stratified: str | None = None, null_label: str = "del", **how) -> dict[str, Trained]:
     """All combinations of ratio, preparation and model, each with an evaluation table per data set and the bands' stability between the first two."""
     from minespark.operators.sampling import down_sample
 
     col, positive, negative = label
     out = {}
     for ratio in ratios:
-        sample = down_sample(train, label=col, positive=positive, negative=negative, positive_limit=positive_limit, ratio=ratio, key=key).cache()
+        sample = down_sample(train, label=col, positive=positive, negative=negative, positive_limit=positive_limit, ratio=ratio, key=key, stratified=stratified).cache()
         for kind in kinds:
             steps = fit_pipeline(sample, numbers, categories, col, positive, negative, kind=kind, **how)
             for name, estimator in (models or default_models()).items():
@@ -144,8 +148,10 @@ def cycle(train: DataFrame, sets: Mapping[str, DataFrame], *, numbers: Sequence[
                 scored = {n: t.score(df).cache() for n, df in sets.items()}
                 for n, df in scored.items():
                     thresholds = evaluate.score_thresholds(df, "score")
-                    t.thresholds = t.thresholds or thresholds
-                    t.tables[n] = evaluate.evaluation(df, score="score", label=col, positive=positive, negative=negative, thresholds=thresholds).orderBy("band").collect()
+                    if not t.tables:
+                        t.thresholds = thresholds
+                        t.bands = [(r.v, r.n) for r in band_counts(df, "score", SCORE_BANDS).orderBy("v").collect()]
+                    t.tables[n] = evaluate.evaluation(df, score="score", label=col, positive=positive, negative=negative, thresholds=thresholds, null_label=null_label).orderBy("band").collect()
                 if len(scored) > 1:
                     a, b = list(scored.values())[:2]
                     t.psi = psi(band_counts(a, "score", SCORE_BANDS), band_counts(b, "score", SCORE_BANDS))
@@ -173,8 +179,18 @@ def best_of(trained: Mapping[str, Trained], on: str) -> Choice:
     return Choice(best, verdicts, warnings)
 
 
-def retrain(choice: Choice, train: DataFrame, estimator, columns: Sequence[str], *, limit: int = 0) -> Trained:
-    """The best model fitted again without the columns that its steps drop, if those are more than `limit`."""
+def retrain(choice: Choice, again: Callable[[Sequence[str]], Trained], columns: Sequence[str], on: str, *, limit: int = 0, moved: float = 0.1) -> Choice:
+    """The choice with its best model trained again (`again`, from the columns given) without the columns that its steps drop, if those are more than `limit`.
+
+    Warns where the indicator on the data set `on` moves by more than the share `moved`.
+    """
     best = choice.best
-    dropped = [c for s in best.steps for c in s.dropped if c in columns]
-    return best if len(dropped) <= limit else train_one(train.drop(*dropped), best.steps, estimator, best.name, [c for c in columns if c not in dropped], best.label)
+    dropped = {c for s in best.steps for c in s.dropped} & set(columns) if best is not None else set()
+    if best is None or len(dropped) <= limit:
+        return choice
+    new = again([c for c in columns if c not in dropped])
+    before, after = (evaluate.indicator(t.tables[on]) for t in (best, new))
+    warnings = choice.warnings
+    if abs(after - before) > moved * before:
+        warnings = (*warnings, f"{best.name}: trained again without {len(dropped)} columns, the indicator moved from {before:.2f} to {after:.2f}")
+    return Choice(new, choice.verdicts, warnings)

@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from minespark.functions.periods import month_add, month_list
-from minespark.operators.panel import union_all
 from minespark.operators.ranking import quantiles
 from minespark.runtime import small, written
 
@@ -17,18 +16,20 @@ def followed(scores: DataFrame, labels: DataFrame, models: Mapping[str, tuple[st
     """Scores of the last n months with the label that came true: plus ymonth, stat_batch, col_flag, flag_value.
 
     `models` maps a model to (label column, lag in months). Score months end at perform - lag. Labels are those of that
-    last month for all batches ('fixed'), or of each score's own month ('own'). Both sides are pruned by period first.
+    last month for all batches ('fixed'), or of each score's own month ('own'). Both sides are pruned by period first; the labels are unpivoted, so that
+    one scan of each side and one join serve all models. `scores` has no column col_flag.
     """
-    parts = []
-    for name, (flag, lag) in models.items():
-        last = month_add(perform, -lag)
-        months = month_list(last, periods=-n)
-        part = scores.where((F.col("model_name") == name) & F.col(period).isin(months))
-        side = labels.where(F.col(period).isin(months if label_period == "own" else [last])).select(*([F.col(period)] if label_period == "own" else []), entity, F.col(flag).cast("int").alias("flag_value"))
-        joined = part.join(side, [period, entity] if label_period == "own" else [entity], "left")
-        batch = F.round(F.months_between(F.to_date(F.lit(perform), "yyyyMM"), F.to_date(F.col(period), "yyyyMM"))).cast("int")
-        parts.append(joined.withColumns({"ymonth": F.lit(perform), "stat_batch": batch, "col_flag": F.lit(flag)}))
-    return union_all(parts)
+    spark = scores.sparkSession
+    last = {name: month_add(perform, -lag) for name, (_, lag) in models.items()}
+    asked = [(name, m, m if label_period == "own" else last[name], flag) for name, (flag, _) in models.items() for m in month_list(last[name], periods=-n)]
+    asked = F.broadcast(spark.createDataFrame(asked, "model_name string, _m string, _lm string, col_flag string"))  # models x n rows
+    flags = sorted({flag for flag, _ in models.values()})
+    months = sorted({m for x in last.values() for m in month_list(x, periods=-n)})
+    rows = scores.where(F.col("model_name").isin(list(models)) & F.col(period).isin(months)).join(asked.withColumnRenamed("_m", period), ["model_name", period])
+    pairs = F.array(*(F.struct(F.lit(f).alias("f"), F.col(f).cast("int").alias("y")) for f in flags))
+    side = labels.where(F.col(period).isin(months)).select(F.col(period).alias("_lm"), entity, F.explode(pairs).alias("_x")).select("_lm", entity, F.col("_x.f").alias("col_flag"), F.col("_x.y").alias("flag_value"))
+    batch = F.round(F.months_between(F.to_date(F.lit(perform), "yyyyMM"), F.to_date(F.col(period), "yyyyMM"))).cast("int")
+    return rows.join(side, ["_lm", entity, "col_flag"], "left").select(*scores.columns, F.lit(perform).alias("ymonth"), batch.alias("stat_batch"), "col_flag", "flag_value")
 
 
 def monitor_report(followed_scores: DataFrame, *, positive: str = "1", negative: str = "0", by: Sequence[str] = ("model_name", "stat_batch", "exe_sam"), shares: Sequence[float] = (0.2, 0.4), score: str = "score", label: str = "flag_value", null_label: str = "del") -> DataFrame:

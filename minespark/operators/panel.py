@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from minespark.functions.periods import day_of_next_month, month_add, month_list
+from minespark.functions.periods import add_months, day_of_next_month, month_add, month_list
 from minespark.functions.predicates import where
 from minespark.operators.sampling import hash_key, quota
 from minespark.runtime import small
@@ -71,7 +71,8 @@ def base_table(panel: DataFrame, spec: ModelSpec, step: str, *, seed: int = 0) -
 
     train: validation rows first (timein_count of the newest month), then positives up to their limit and negatives up to limit x ratio,
     of the training month and `cumulated_months` before it. test: up to timeout_limit rows. predict: all rows. Choice
-    is by a hash of id and month, so it is the same in every run and on every cluster.
+    is by a hash of id and month, so it is the same in every run and on every cluster. Each user comes with the n_recent
+    periods up to each of its base months: one scan of the panel and one join, whatever the number of base months.
     """
     m, e = spec.col_month, spec.col_id
     if step == "predict":
@@ -91,14 +92,10 @@ def base_table(panel: DataFrame, spec: ModelSpec, step: str, *, seed: int = 0) -
         picks = picks.select(e, "user_acct_month", "data_use")
     else:
         raise ValueError(f"no step {step}")
-    parts = []
-    for one in months:  # a few months
-        span = month_list(one, periods=-spec.n_recent)
-        parts.append(panel.where(F.col(m).between(span[0], span[-1])).join(picks.where(F.col("user_acct_month") == one), e))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    first = month_list(months[0], periods=-spec.n_recent)[0]
+    rows = panel.where(F.col(m).between(first, months[-1])).join(picks, e)
+    start = add_months(F.col("user_acct_month"), 1 - spec.n_recent)
+    return rows.where((F.col(m).cast("string") >= start) & (F.col(m) <= F.col("user_acct_month")))
 
 
 def gate(panel: DataFrame, *, entity: str, period: str, n: int, label: str | None = None, at: str | None = None, equate: str = "fill") -> DataFrame:
@@ -119,6 +116,19 @@ def gate(panel: DataFrame, *, entity: str, period: str, n: int, label: str | Non
     return pad(rows, entity=entity, period=period)
 
 
+def base_counts(base: DataFrame, spec: ModelSpec) -> DataFrame:
+    """(user_acct_month, data_use, period, label, n, n_users) of a base table."""
+    label = F.col(spec.label).cast("string") if spec.label in base.columns else F.lit(None).cast("string")
+    return base.groupBy("user_acct_month", "data_use", F.col(spec.col_month).alias("period"), label.alias("label")).agg(F.count(F.lit(1)).alias("n"), F.count_distinct(spec.col_id).alias("n_users"))
+
+
+def check_base(counts: DataFrame, n: int) -> list[str]:
+    """What is wrong with a base table by its counts: of each user month and data use, other than n periods, or other numbers of users in them."""
+    by = counts.groupBy("user_acct_month", "data_use", "period").agg(F.sum("n_users").alias("u")).groupBy("user_acct_month", "data_use").agg(F.count(F.lit(1)).alias("k"), F.min("u").alias("lo"), F.max("u").alias("hi"))
+    bad = by.where((F.col("k") != n) | (F.col("lo") != F.col("hi"))).orderBy("user_acct_month", "data_use").collect()  # a row per base month and use
+    return [f"{r.user_acct_month} {r.data_use}: {r.k} periods, {r.lo} to {r.hi} users" for r in bad]
+
+
 def complete_only(panel: DataFrame, *, entity: str, period: str, n: int) -> DataFrame:
     """Rows of entities that have n different periods."""
     full = panel.groupBy(entity).agg(F.count_distinct(period).alias("_n")).where(F.col("_n") == n)

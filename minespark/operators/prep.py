@@ -80,6 +80,14 @@ def _bins(c: str, edges: Sequence[float]) -> Column:
     return F.when(x.isNull(), F.lit(None).cast("int")).otherwise(out.otherwise(max(0, len(edges) - 2)))
 
 
+def _merged(c: str, rule: Mapping) -> Column:
+    """The text of a one-hot or ordinal column, low values merged; a value that isn't known is an error if the rule says so."""
+    x = F.col(c).cast("string")
+    if "known" in rule:
+        x = F.when(x.isNull() | x.isin(rule["known"]), x).otherwise(F.raise_error(F.concat(F.lit(f"{c}: unknown value "), x)))
+    return F.when(x.isin(rule["merged"]), LOW_IV).otherwise(x) if rule.get("merged") else x
+
+
 _APPLY = {
     "drop": lambda c, r: {},
     "merge": lambda c, r: {c: F.when(F.col(c).cast("string").isin(r["values"]), F.lit(r["to"])).otherwise(F.col(c).cast("string"))},
@@ -87,8 +95,8 @@ _APPLY = {
     "unseen": lambda c, r: {c: F.when(F.col(c).cast("string").isin(r["known"]), F.col(c).cast("string")).otherwise(F.lit(r["mode"]))},
     "impute": lambda c, r: {c: F.coalesce(F.col(c), F.lit(r["value"]))},
     "indicator": lambda c, r: {f"missing__{c}": F.col(c).isNull().cast("int")},
-    "onehot": lambda c, r: {f"{c}~{v}": F.coalesce((F.when(F.col(c).cast("string").isin(r["merged"]), LOW_IV).otherwise(F.col(c).cast("string")) == v).cast("int"), F.lit(0)) for v in r["values"]},
-    "ordinal": lambda c, r: {c: _lookup(c, {v: i for i, v in enumerate(r["values"])}, F.lit(-1), "int")},
+    "onehot": lambda c, r: {f"{c}~{v}": F.coalesce((_merged(c, r) == v).cast("int"), F.lit(0)) for v in r["values"]},
+    "ordinal": lambda c, r: {c: (F.coalesce(F.array_position(F.array(*map(F.lit, r["values"])), _merged(c, r)).cast("int"), F.lit(0)) - 1)},
     "toint": lambda c, r: {c: F.col(c).try_cast("int")},
     "clamp": lambda c, r: {c: F.greatest(F.lit(r["lo"]), F.least(F.lit(r["hi"]), F.col(c).cast("double")))},
     "scale": lambda c, r: {c: (F.col(c).cast("double") - r["shift"]) / r["by"]},
@@ -332,32 +340,52 @@ def fit_indicator(columns: Sequence[str]) -> Fitted:
     return Fitted("indicator", (), {c: {} for c in columns})
 
 
-def fit_onehot(df: DataFrame, columns: Sequence[str], *, label: str | None = None, positive: str = "1", negative: str = "0", iv_limit: float | None = None, ordinal: bool = False, limit: int = 5000) -> Fitted:
-    """Indicator columns field~value (or ordinals). Values whose indicator's IV is at most iv_limit are merged first; a column of only such is dropped. Columns with more than `limit` values are an error."""
-    if iv_limit is None:
-        counts = value_counts(df, columns).where("v is not null").withColumn("iv", F.lit(math.inf))
-    else:
-        c = crosstab(df, columns, label, positive, negative)
-        total = c.groupBy("col").agg(F.sum("n_pos").alias("_p"), F.sum("n_neg").alias("_n"))
-        pairs = c.join(total, "col").where("v is not null")
-        both = F.explode(F.array(F.struct(F.lit("1").alias("s"), F.col("n_pos").alias("a"), F.col("n_neg").alias("b")), F.struct(F.lit("0").alias("s"), (F.col("_p") - F.col("n_pos")).alias("a"), (F.col("_n") - F.col("n_neg")).alias("b"))))
-        long = pairs.select(F.to_json(F.struct("col", "v")).alias("k"), both.alias("_x")).select(F.col("k").alias("col"), F.col("_x.s").alias("v"), F.col("_x.a").alias("n_pos"), F.col("_x.b").alias("n_neg"))
-        iv = woe_iv(long).groupBy("col").agg(F.sum("iv_part").alias("iv"))
-        counts = iv.select(F.from_json("col", "col string, v string").alias("_k"), "iv").select("_k.col", "_k.v", "iv")
-    too_many = [r.col for r in counts.groupBy("col").count().where(F.col("count") > limit).orderBy("col").collect()]
+def value_ivs(df: DataFrame, columns: Sequence[str], label: str, positive: str, negative: str) -> DataFrame:
+    """(col, v, iv): the information value of each value's indicator, over all columns in one pass; null is no value."""
+    c = crosstab(df, columns, label, positive, negative)
+    total = c.groupBy("col").agg(F.sum("n_pos").alias("_p"), F.sum("n_neg").alias("_n"))
+    pairs = c.join(total, "col").where("v is not null")
+    both = F.explode(F.array(F.struct(F.lit("1").alias("s"), F.col("n_pos").alias("a"), F.col("n_neg").alias("b")), F.struct(F.lit("0").alias("s"), (F.col("_p") - F.col("n_pos")).alias("a"), (F.col("_n") - F.col("n_neg")).alias("b"))))
+    long = pairs.select(F.to_json(F.struct("col", "v")).alias("k"), both.alias("_x")).select(F.col("k").alias("col"), F.col("_x.s").alias("v"), F.col("_x.a").alias("n_pos"), F.col("_x.b").alias("n_neg"))
+    iv = woe_iv(long).groupBy("col").agg(F.sum("iv_part").alias("iv"))
+    return iv.select(F.from_json("col", "col string, v string").alias("_k"), "iv").select("_k.col", "_k.v", "iv")
+
+
+def _few_values(counts: DataFrame, limit: int) -> None:
+    """Columns (col) with more than `limit` rows are an error."""
+    too_many = [r.col for r in counts.groupBy("col").count().where(F.col("count") > limit).orderBy("col").collect()]  # a row per column
     if too_many:
         raise ValueError(f"more than {limit} values: {too_many}")
+
+
+def fit_low_iv(df: DataFrame, columns: Sequence[str], label: str, positive: str, negative: str, *, iv_limit: float, limit: int = 5000) -> Fitted:
+    """Values whose indicator's IV is at most iv_limit are merged; columns of only such are dropped. Columns with more than `limit` values are an error."""
+    if not columns:
+        return Fitted("merge")
+    counts = value_ivs(df, columns, label, positive, negative)
+    _few_values(counts, limit)
+    found = counts.groupBy("col").agg(F.sort_array(F.collect_list(F.when(F.col("iv") <= iv_limit, F.col("v")))).alias("low"), F.count_if(F.col("iv") > iv_limit).alias("high")).collect()
+    return Fitted("merge", tuple(sorted(r.col for r in found if not r.high)), {r.col: {"values": list(r.low), "to": LOW_IV} for r in found if r.high and r.low})
+
+
+def fit_onehot(df: DataFrame, columns: Sequence[str], *, label: str | None = None, positive: str = "1", negative: str = "0", iv_limit: float | None = None, ordinal: bool = False, limit: int = 5000, unknown: str = "ignore") -> Fitted:
+    """Indicator columns field~value (or ordinals). Values whose indicator's IV is at most iv_limit are merged first; a column of only such is dropped. Columns with more than `limit` values are an error.
+
+    A value that fitting hasn't seen, or null, has no indicator and ordinal -1; with unknown="error" applying the step to it fails.
+    """
+    if unknown not in ("ignore", "error"):
+        raise ValueError(f"unknown {unknown}")
+    counts = value_counts(df, columns).where("v is not null").withColumn("iv", F.lit(math.inf)) if iv_limit is None else value_ivs(df, columns, label, positive, negative)
+    _few_values(counts, limit)
     found = counts.groupBy("col").agg(F.sort_array(F.collect_list(F.struct("v", "iv"))).alias("x")).collect()
     rules, dropped = {}, []
     for r in found:
         high = [x.v for x in r.x if iv_limit is None or x.iv > iv_limit]
-        low = [x.v for x in r.x if x.v not in high]
+        low = [x.v for x in r.x if not (iv_limit is None or x.iv > iv_limit)]
         if not high:
             dropped.append(r.col)
-        elif ordinal:
-            rules[r.col] = {"values": high + ([LOW_IV] if low else [])}
-        else:
-            rules[r.col] = {"values": high + ([LOW_IV] if low else []), "merged": low}
+            continue
+        rules[r.col] = {"values": high + ([LOW_IV] if low else []), "merged": low} | ({"known": sorted([*high, *low])} if unknown == "error" else {})
     dropped += [c for c in columns if c not in {r.col for r in found}]
     return Fitted("ordinal" if ordinal else "onehot", tuple(sorted(dropped)), rules)
 
@@ -402,10 +430,10 @@ def fit_scale(df: DataFrame, columns: Sequence[str], how: str = "standard") -> F
     return Fitted("scale", (), {c: {"shift": row[f"a{i}"], "by": (row[f"b{i}"] - row[f"a{i}"]) or 1.0} for i, c in enumerate(columns) if row[f"a{i}"] is not None})
 
 
-def fit_woe(df: DataFrame, columns: Sequence[str], label: str, positive: str, negative: str, *, iv_limit: float = 0.0, r_limit: float = 1.1, turn_limit: int | None = None, gap_limit: int = 50, keep_r: bool = False) -> tuple[Fitted, dict[str, float]]:
+def fit_woe(df: DataFrame, columns: Sequence[str], label: str, positive: str, negative: str, *, iv_limit: float = 0.0, r_limit: float = 1.1, turn_limit: int | None = None, gap_limit: int = 50, keep_r: bool = False, limit: int = 5000) -> tuple[Fitted, dict[str, float]]:
     """(step, iv by column): values to their WOE. Dropped are near-constant columns (rows beside the top value <= gap_limit), those with
     turn_limit WOE turns or more, those under iv_limit, and of correlated pairs (on WOE codes) the one of lower IV. A value not seen gets 0.
-    With keep_r each column's rule also has its IV and its correlations with the columns after it, for reasons().
+    Columns kept with more than `limit` values are an error: bin or filter them first. With keep_r each column's rule also has its IV and its correlations with the columns after it, for reasons().
     """
     counts = crosstab(df, columns, label, positive, negative).cache()
     gaps = counts.groupBy("col").agg((F.sum(F.col("n_pos") + F.col("n_neg")) - F.max(F.col("n_pos") + F.col("n_neg"))).alias("gap"))
@@ -415,6 +443,7 @@ def fit_woe(df: DataFrame, columns: Sequence[str], label: str, positive: str, ne
     iv = {r.col: r.iv for r in iv_rows}
     dropped = [r.col for r in iv_rows if r.gap <= gap_limit or (turn_limit is not None and r.turns >= turn_limit) or r.iv < iv_limit]
     kept = [c for c in columns if c in iv and c not in dropped]
+    _few_values(woe.where(F.col("col").isin(kept)), limit)
     maps = {r.col: dict(zip(r.v, r.w)) for r in woe.where(F.col("col").isin(kept)).groupBy("col").agg(F.collect_list(F.coalesce("v", F.lit(""))).alias("v"), F.collect_list("woe").alias("w")).collect()} if kept else {}
     counts.unpersist()
     step = Fitted("woe", tuple(dropped), {c: {"woe": m} for c, m in maps.items()})

@@ -9,7 +9,8 @@ from dataclasses import asdict, dataclass, field
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from minespark.functions.formula import Formula, closure, column
+from minespark.functions.arithmetic import fit_floor
+from minespark.functions.formula import DAYS_MONTH, Formula, closure, column
 from minespark.operators import prep
 from minespark.operators.features import FeatureDef, current_features, field_pairs, fitted, recent_defs, recent_features
 from minespark.operators.panel import fill_missing, gate
@@ -19,7 +20,7 @@ from minespark.runtime import written
 
 @dataclass(frozen=True)
 class FeaturePlan:
-    """What create() builds: raw columns, current and recent features, with what they learned; `iv` of each."""
+    """What create() builds: raw columns, current and recent features, with what they learned; `iv` of each. `floors`: fitted divisor floors of derived fields."""
 
     numbers: tuple[str, ...]
     categories: tuple[str, ...]
@@ -47,19 +48,34 @@ def with_formulas(panel: DataFrame, formulas: Mapping[str, Formula], *, period:
     return panel
 
 
-def prepared(panel: DataFrame, *, entity: str, period: str, at: str, n: int, numbers: Sequence[str], categories: Sequence[str], scores: Sequence[str] = (), label: str | None = None, formulas: Mapping[str, Formula] | None = None) -> DataFrame:
+def fitted_floors(panel: DataFrame, formulas: Mapping[str, Formula], *, period: str, at: str) -> dict[str, float]:
+    """The divisor floor of each derived field that is a division (by days of the month: none), inputs before what they feed."""
+    floors: dict[str, float] = {}
+    for name in closure(formulas, formulas):
+        f = formulas.get(name)
+        if f is None:
+            continue
+        if f.kind == "div" and f.parts[1] != DAYS_MONTH:
+            floors[name] = fit_floor(panel, F.col(f.parts[1]))
+        panel = panel.withColumn(name, column(f, period=period, newest=F.lit(at), floor=floors.get(name, 1.0)))
+    return floors
+
+
+def prepared(panel: DataFrame, *, entity: str, period: str, at: str, n: int, numbers: Sequence[str], categories: Sequence[str], scores: Sequence[str] = (), label: str | None = None, formulas: Mapping[str, Formula] | None = None, floors: Mapping[str, float] | None = None) -> DataFrame:
     """The panel in the order that counts: scores null to 0, derived fields, quality gate with padding, then nulls to 0 and 'unknown'."""
     rows = panel.withColumns({c: F.coalesce(F.col(c), F.lit(0)) for c in scores})
-    rows = with_formulas(rows, formulas or {}, period=period, at=at)
+    rows = with_formulas(rows, formulas or {}, period=period, at=at, floors=floors)
     rows = gate(rows, entity=entity, period=period, n=n, label=label, at=at, equate="fill")
     return fill_missing(rows, numbers=numbers, categories=categories)
 
 
-def explore(panel: DataFrame, *, entity: str, period: str, at: str, label: str, positive: str, negative: str, numbers: Sequence[str], categories: Mapping[str, Sequence] | None = None, pairs: bool = False, iv_limit: float = 0.02, r_limit: float = 0.8) -> FeaturePlan:
+def explore(panel: DataFrame, *, entity: str, period: str, at: str, label: str, positive: str, negative: str, numbers: Sequence[str], categories: Mapping[str, Sequence] | None = None, pairs: bool = False, iv_limit: float = 0.02, r_limit: float = 0.8, unique_limit: int = 5000, valuecount_limit: int = 50, no_current: Sequence[str] = (), no_recent: Sequence[str] = ()) -> FeaturePlan:
     """Features worth building, block by block (raw, pairs, one-hot, one method of recent features after the other).
 
     Of each block, columns under iv_limit and correlated ones are dropped; then, against what is already chosen, of each pair with
     |r| >= r_limit, in falling order, the one of lower IV (tie: the new one). `panel` is prepared().
+    Before that, constant columns and categories with unique_limit values or more are dropped, values of at most valuecount_limit rows and those
+    whose indicator's IV is at most iv_limit are merged. Columns of no_current or no_recent give no such features.
 
     All blocks are built once, as one wide table; bins, WOE and the correlation matrix each take one pass over it. The blocks' order only
     matters for the choice, which is made on the matrix (columns x columns numbers).
@@ -68,12 +84,12 @@ def explore(panel: DataFrame, *, entity: str, period: str, at: str, label: str,
     now = panel.where(F.col(period) == at)
     blocks: list[list[FeatureDef]] = []
     if pairs:
-        blocks.append([FeatureDef(m, p) for m in ("add", "sub", "mult", "div") for p in field_pairs(numbers)])
-    blocks.append([FeatureDef("onehot", (c,), v) for c, vs in cats.items() for v in vs])
+        blocks.append([FeatureDef(m, p) for m in ("add", "sub", "mult", "div") for p in field_pairs([c for c in numbers if c not in no_current])])
+    blocks.append([FeatureDef("onehot", (c,), v) for c, vs in cats.items() if c not in no_current for v in vs])
     current = fitted(panel, [d for b in blocks for d in b], period=period, at=at)
     methods = ("avg", "sep", "wave", "grow", "max", "min", "std", "more0cnt", "moreq25cnt", "valuecnt")
-    recents = [recent_defs(numbers, cats, [m]) for m in methods]
-    recent = fitted(panel, [d for b in recents for d in b], period=period, at=at)
+    recents = [recent_defs([c for c in numbers if c not in no_recent], {c: v for c, v in cats.items() if c not in no_recent}, [m]) for m in methods]
+    recent = fitted(panel, [d for b in recents for d in b], period=period, at=at, entity=entity)
     defs = {d.name: d for d in (*current, *recent)}
     wide = current_features(now, current).select(entity, F.col(label).cast("string").alias("_y"), *numbers, *cats, *(f"`{d.name}`" for d in current))
     if recent:
@@ -81,8 +97,11 @@ def explore(panel: DataFrame, *, entity: str, period: str, at: str, label: str,
     wide = written(wide.drop(entity), "explore")
     order = [[*numbers, *cats], *([d.name for d in b] for b in (*blocks, *recents))]
     names = [c for b in order for c in b]
-    bins = prep.fit_mdlp(wide, [c for c in names if c not in cats], "_y", positive, negative, drop_unsplit=True)
-    coded = bins.apply(wide)
+    screen = prep.fit_prefilter(wide, [c for c in names if c not in cats], list(cats), freq_limit=1.0, unique_limit=unique_limit, valuecount_limit=valuecount_limit)
+    coded = prep.apply_all(screen, wide)
+    coded = prep.fit_low_iv(coded, [c for c in cats if c in coded.columns], "_y", positive, negative, iv_limit=iv_limit, limit=unique_limit).apply(coded)
+    numeric = [c for c in names if c not in cats and c in coded.columns]
+    coded = prep.fit_mdlp(coded, numeric, "_y", positive, negative, drop_unsplit=True).apply(coded) if numeric else coded
     left = [c for c in names if c in coded.columns]
     step, iv = prep.fit_woe(coded, left, "_y", positive, negative, iv_limit=iv_limit) if left else (prep.Fitted("woe"), {})
     r = correlation_matrix(step.apply(coded), [c for c in left if c in step.rules])
@@ -106,7 +125,7 @@ def create(panel: DataFrame, plan: FeaturePlan, *, entity: str, period: str, at:
     now = current_features(panel.where(F.col(period) == at), plan.current).select(entity, *keep, *(f"`{c}`" for c in plan.raw), *(f"`{d.name}`" for d in plan.current))
     if not plan.recent:
         return now
-    return now.join(recent_features(panel, plan.recent, entity=entity, period=period, at=at, floors=plan.floors), entity)
+    return now.join(recent_features(panel, plan.recent, entity=entity, period=period, at=at), entity)
 
 
 def check_created(wide: DataFrame, plan: FeaturePlan) -> None:

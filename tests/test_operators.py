@@ -286,6 +286,66 @@ def test_workflow(spark, churn, tmp_path):
         day_data(dated, None, day_column="d", day=15, inputs=["dayvalue_a"])
 
 
+def test_training_with_cumulated_months_and_formulas(spark, churn, tmp_path, monkeypatch):
+    """Two base months of the same users, a derived quotient with a fitted floor, a saved result that predicts by what training learned."""
+    from minespark.plans import workflow
+    from minespark.plans.workflow import TrainResult, aligned, predict, train_and_test
+
+    monkeypatch.setattr(workflow.models, "best_of", lambda trained, on: model.Choice(next(iter(trained.values())), {}, ()))  # weak or not
+    rows = churn.unionByName(churn.where("acct_month = '202401'").withColumn("acct_month", F.lit("202312"))).withColumn("old", F.when(F.col("x") > 20, F.col("x") / 100))
+    spec = ModelSpec("churn", "churn", "202403", month_test="202403", month_predict="202403", n_recent=3, cumulated_months=1, iv_limit=0.02, timein_count=100, positive_limit=400, train_ratio=2.0, ratios=("actual",))
+    base = panel.base_table(rows, spec, "train")
+    both = aligned(base.where("data_use = 'data_train'"), spec, "202403")
+    assert {r[0] for r in both.select("acct_month").distinct().collect()} == {"202401", "202402", "202403"}
+    assert {r[0] for r in both.select(F.substring("user_no", 1, 7)).distinct().collect()} == {"202402_", "202403_"}
+    assert panel.check_base(panel.base_counts(base, spec), 3) != []  # users lack months
+    assert panel.check_base(panel.base_counts(base, spec).withColumn("n_users", F.lit(1)).groupBy("user_acct_month", "data_use", "period").agg(F.sum("n_users").alias("n_users")).withColumn("n_users", F.lit(5)), 3) == []
+    how = {"numbers": ["x", "q", "old"], "categories": {"c": ["a", "d"]}, "formulas": {"q": "x / z"}, "scores": ["old"]}
+    result = train_and_test(rows, spec, algorithms=model.grid("logistic", {"regParam": [0.01]}), retrain_limit=0, **how)
+    assert set(result.plan.floors) == {"q"} and result.plan.floors["q"] > 0
+    grown = [d for d in result.plan.recent if d.method == "grow"]
+    assert all(d.floor is not None for d in grown)
+    best = result.choice.best
+    result.save(str(tmp_path / "r"))
+    again = TrainResult.load(str(tmp_path / "r"))
+    assert again.plan == result.plan and again.spec == result.spec and again.choice.best.tables == best.tables and again.choice.best.bands == best.bands
+    few = rows.where("substr(user_no, 2) < '300'")  # other rows than those of training: nothing may be fitted again
+    cols = ["user_no", "score", "score_cut", "precision", "lift", "score_rank", "score_psi"]
+    assert sorted(map(tuple, predict(few, result).select(cols).collect())) == sorted(map(tuple, predict(few, again).select(cols).collect()))
+    one = predict(few, again).where("score_cut = 0").first()
+    assert one is None or (one.precision, one.lift) == (best.tables["timein"][0].precision, best.tables["timein"][0].lift)
+
+
+def test_retraining(spark):
+    from types import SimpleNamespace as R
+
+    table = lambda p: {"s": [R(precision=p, threshold=1, cum_share=1.0, cum_precision=p)] * 4}
+    best = model.Trained("actual/woe/m", [prep.Fitted("drop", ("b",)), prep.Fitted("woe", ("c", "gone"), {})], ["a"], None, ("y", "1", "0"), table(0.5))
+    asked = []
+    again = lambda p: lambda columns: asked.append(list(columns)) or model.Trained("n", [], ["a"], None, ("y", "1", "0"), table(p))
+    choice = model.Choice(best, {}, ())
+    assert model.retrain(choice, again(0.5), ["a", "b", "c"], "s", limit=2) is choice and asked == []
+    same, moved = (model.retrain(choice, again(p), ["a", "b", "c"], "s") for p in (0.52, 0.3))
+    assert asked == [["a"], ["a"]] and same.best.name == "n" and same.warnings == () and "moved" in moved.warnings[0]
+    assert model.retrain(model.Choice(None, {}, ()), again(1), ["a"], "s").best is None
+
+
+def test_low_iv_and_unknown_values(spark):
+    rows = [("a", "u", "1")] * 30 + [("a", "v", "0")] * 10 + [("b", "v", "0")] * 30 + [("c", "w", "1")] * 5 + [("c", "w", "0")] * 5
+    df = spark.createDataFrame(rows, "p string, q string, y string")
+    low = prep.fit_low_iv(df, ["p", "q"], "y", "1", "0", iv_limit=0.01)
+    assert low.rules == {"p": {"values": ["c"], "to": prep.LOW_IV}, "q": {"values": ["w"], "to": prep.LOW_IV}} and low.dropped == ()
+    assert prep.fit_low_iv(df, ["p"], "y", "1", "0", iv_limit=99).dropped == ("p",)
+    step = prep.fit_onehot(df, ["p"], ordinal=True, unknown="error")
+    other = spark.createDataFrame([("a",), (None,), ("c",)], "p string")
+    assert [r.p for r in step.apply(other).collect()] == [0, -1, 2]
+    with pytest.raises(Exception, match="unknown value z"):
+        step.apply(spark.createDataFrame([("z",)], "p string")).collect()
+    assert [r.p for r in prep.fit_onehot(df, ["p"], ordinal=True).apply(spark.createDataFrame([("z",)], "p string")).collect()] == [-1]
+    with pytest.raises(ValueError, match="more than 2"):
+        prep.fit_woe(df, ["p"], "y", "1", "0", gap_limit=0, limit=2)
+
+
 def test_predict_reasons(spark):
     from minespark.plans.explore import FeaturePlan
     from minespark.plans.workflow import TrainResult, predict

@@ -74,6 +74,35 @@ def test_cli(tmp_path, capsys):
     assert cli.main(["train"]) == 1
 
 
+def test_cli_trains_then_predicts_by_what_it_saved(spark, tmp_path, capsys, monkeypatch):
+    import json
+    import random
+
+    from minespark.plans import workflow
+
+    rnd = random.Random(1)
+    rows = []
+    for i in range(600):
+        x = rnd.random()
+        rows += [(f"u{i}", m, 100 * x + rnd.random() * 20, rnd.random() * 10, "1" if rnd.random() < 0.05 + 0.6 * x**2 else "0") for m in ("202402", "202403")]
+    spark.createDataFrame(rows, "user_no string, acct_month string, x double, z double, label string").write.parquet(str(tmp_path / "panel"))
+    job = {
+        "panel": str(tmp_path / "panel"), "numbers": ["x", "z", "q"], "formulas": {"q": "x / z"}, "algorithms": {"logistic": {"regParam": [0.01]}},
+        "model": {"name": "m", "short_name": "m", "month_train": "202403", "month_predict": "202403", "n_recent": 2, "iv_limit": 0.02, "timein_count": 150, "positive_limit": 300, "ratios": ["actual"], "out_dir": str(tmp_path / "out")},
+        "labels": {"at": "202402", "rules": [["flag_up", "b.x > a.x"]]}, "roll_up": {"period": "acct_month", "group": "label", "is_main": "x > 5", "rules": [["x", "max"]]},
+    }
+    (tmp_path / "job.json").write_text(json.dumps(job))
+    run = lambda mode: cli.main([mode, "--spec", str(tmp_path / "job.json")])
+    assert run("predict") == 1  # nothing is saved yet
+    assert run("sql") == 0 and "-- labels" in (text := capsys.readouterr().out) and "-- roll_up" in text and "-- predict" in text
+    monkeypatch.setattr(workflow.models, "best_of", lambda trained, on: workflow.models.Choice(next(iter(trained.values())), {}, ()))
+    assert run("train") == 0
+    monkeypatch.setattr(workflow, "train_and_test", None)  # predict doesn't train
+    assert run("predict") == 0
+    scores = spark.read.parquet(str(tmp_path / "out/m/score_202403"))
+    assert scores.count() == 600 and {"score", "score_rank", "score_level", "precision", "lift", "score_psi"} <= set(scores.columns)
+
+
 def test_stream(spark, rows, tmp_path):
     src = str(tmp_path / "in")
     df = spark.createDataFrame([(f"2024-01-0{1 + i % 3} 10:00:00", float(i % 4)) for i in range(60)], "t string, v double").select(F.to_timestamp("t").alias("t"), "v")
