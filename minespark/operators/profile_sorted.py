@@ -18,7 +18,7 @@ from pyspark.sql.types import DataType, DecimalType, FractionalType, IntegralTyp
 from minespark.runtime import small, written
 
 #: Rows that a task aggregates at a time before it hands on (value, load, count).
-_FLUSH_ROWS = 200_000
+_FLUSH_ROWS = 100_000
 #: Values (of all columns) in the sample that the range bounds are taken from; they decide on the tasks' sizes only.
 _SAMPLE = 500_000
 #: Counts in a range, about, and counts of a range that a task gathers before it combines those of equal value and load.
