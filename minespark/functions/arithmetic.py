@@ -33,6 +33,11 @@ def safe_div(a: Column, b: Column, floor: float) -> Column:
     return a / (F.greatest(b, F.lit(floor)) if floor > 0 else F.least(b, F.lit(floor)))
 
 
+def guarded_log(c: Column, least: float = 1e-10) -> Column:
+    """The natural logarithm of a share, not below that of `least`; null stays null."""
+    return F.when(c.isNotNull(), F.ln(F.greatest(c.cast("double"), F.lit(least))))
+
+
 def sum_of(*cols: Column) -> Column:
     """n-ary sum, nulls as 0."""
     out = F.coalesce(cols[0], F.lit(0))

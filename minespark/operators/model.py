@@ -36,10 +36,24 @@ def default_models() -> dict[str, object]:
     return grid("logistic", {"regParam": [0.01]}) | grid("forest", {"numTrees": [50], "maxDepth": [4, 8], "seed": [1]}) | grid("boosted", {"maxIter": [30], "maxDepth": [4], "seed": [1]})
 
 
-def fit_pipeline(df: DataFrame, numbers: Sequence[str], categories: Sequence[str], label: str, positive: str, negative: str, *, kind: str = "woe", freq_limit: float = 0.95, unique_limit: int = 5000, valuecount_limit: int = 50, iv_limit: float = 0.02, r_limit: float = 0.8) -> list[prep.Fitted]:
-    """Preparation of one kind: 'woe' (bins, then WOE of all), 'scaled' (scaled numbers, indicators of categories), 'binned' (bins and categories as indicators)."""
+def fit_shared(df: DataFrame, numbers: Sequence[str], categories: Sequence[str], label: str, positive: str, negative: str, kinds: Sequence[str], *, freq_limit: float = 0.95, unique_limit: int = 5000, valuecount_limit: int = 50) -> tuple[list[prep.Fitted], prep.Fitted | None]:
+    """What preparations of these kinds have in common, fitted once: the filter and imputation of all, and the bins of 'woe' and 'binned'."""
     steps = prep.fit_prefilter(df, numbers, categories, freq_limit=freq_limit, unique_limit=unique_limit, valuecount_limit=valuecount_limit)
     numbers, categories = (prep.needed_columns(steps, c) for c in (numbers, categories))
+    if categories:
+        steps.append(prep.fit_impute(df, categories, "constant", "unknown"))
+    bins = prep.fit_mdlp(prep.apply_all(steps, df), numbers, label, positive, negative, drop_unsplit=True) if numbers and {"woe", "binned"} & set(kinds) else None
+    return steps, bins
+
+
+def fit_pipeline(df: DataFrame, numbers: Sequence[str], categories: Sequence[str], label: str, positive: str, negative: str, *, kind: str = "woe", freq_limit: float = 0.95, unique_limit: int = 5000, valuecount_limit: int = 50, iv_limit: float = 0.02, r_limit: float = 0.8, shared: tuple[list[prep.Fitted], prep.Fitted | None] | None = None) -> list[prep.Fitted]:
+    """Preparation of one kind: 'woe' (bins, then WOE of all), 'scaled' (scaled numbers, indicators of categories), 'binned' (bins and categories as indicators).
+
+    `shared` has what is fitted already (fit_shared).
+    """
+    common, bins = shared or fit_shared(df, numbers, categories, label, positive, negative, [kind], freq_limit=freq_limit, unique_limit=unique_limit, valuecount_limit=valuecount_limit)
+    steps = list(common)
+    numbers, categories = (prep.needed_columns(steps, c) for c in (numbers, categories))
     cur = prep.apply_all(steps, df)
 
     def add(step: prep.Fitted) -> None:
@@ -47,8 +61,6 @@ def fit_pipeline(df: DataFrame, numbers: Sequence[str], categories: Sequence[str
         steps.append(step)
         cur = step.apply(cur)
 
-    if categories:
-        add(prep.fit_impute(cur, categories, "constant", "unknown"))
     if kind == "scaled":
         if numbers:
             add(prep.fit_impute(cur, numbers, "constant", 0))
@@ -57,7 +69,7 @@ def fit_pipeline(df: DataFrame, numbers: Sequence[str], categories: Sequence[str
             add(prep.fit_onehot(cur, categories, label=label, positive=positive, negative=negative, iv_limit=0.0))
         return steps
     if numbers:
-        add(prep.fit_mdlp(cur, numbers, label, positive, negative, drop_unsplit=True))
+        add(bins)
         numbers = [c for c in numbers if c in cur.columns]
     if kind == "woe":
         step, _ = prep.fit_woe(cur, [*numbers, *categories], label, positive, negative, iv_limit=iv_limit, r_limit=r_limit, keep_r=True)
@@ -141,8 +153,9 @@ def cycle(train: DataFrame, sets: Mapping[str, DataFrame], *, numbers: Sequence[
     out = {}
     for ratio in ratios:
         sample = down_sample(train, label=col, positive=positive, negative=negative, positive_limit=positive_limit, ratio=ratio, key=key, stratified=stratified).cache()
+        shared = fit_shared(sample, numbers, categories, col, positive, negative, kinds, **{k: v for k, v in how.items() if k in ("freq_limit", "unique_limit", "valuecount_limit")})
         for kind in kinds:
-            steps = fit_pipeline(sample, numbers, categories, col, positive, negative, kind=kind, **how)
+            steps = fit_pipeline(sample, numbers, categories, col, positive, negative, kind=kind, shared=shared, **how)
             for name, estimator in (models or default_models()).items():
                 t = train_one(sample, steps, estimator, f"{ratio}/{kind}/{name}", [*numbers, *categories], label)
                 scored = {n: t.score(df).cache() for n, df in sets.items()}

@@ -53,6 +53,12 @@ def apply_all(steps: Sequence[Fitted], df: DataFrame) -> DataFrame:
     return df
 
 
+def find_step(steps: Sequence[Fitted], kind: str, place: int = 0) -> Fitted | None:
+    """The first step of a kind, or the one at a place among them (-1: the last); None without one."""
+    found = [s for s in steps if s.kind == kind]
+    return found[place] if -len(found) <= place < len(found) else None
+
+
 def needed_columns(steps: Sequence[Fitted], columns: Sequence[str]) -> list[str]:
     """Inputs that no step drops."""
     gone = {c for s in steps for c in s.dropped}

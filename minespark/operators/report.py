@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 import numpy as np
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from minespark.functions.texts import interval_label
 
 
 @dataclass(frozen=True)
@@ -94,6 +97,22 @@ def clean_bins(bins: Sequence[Bin], *, least_rows: float | None = None, least_ga
     return merge_turning(merge_similar(merge_small(bins, rows), gap), r2)
 
 
+def chart_rows(bins: Sequence[Bin]) -> list[tuple[str, int, float, float]]:
+    """(label, rows, share of the rows, rate) of each bin in order: what a chart of it shows."""
+    total = sum(b.n for b in bins)
+    return [(interval_label(b.lo, b.hi), b.n, b.n / total if total else 0.0, b.rate) for b in sorted_bins(bins)]
+
+
+def report(trained, *, comments: Mapping[str, str], sizes: Mapping[str, DataFrame], iv: DataFrame, psi: DataFrame, fields: DataFrame, most: int = 20) -> dict[str, object]:
+    """A model's report: screening table, rows of each data set by label, effect tables with F1, and the `most` greatest importances with their comments."""
+    label, positive, negative = trained.label
+    y = F.col(label).cast("string")
+    counted = {n: df.agg(F.count(F.lit(1)).alias("n"), F.count_if(y == positive).alias("n_pos"), F.count_if(y == negative).alias("n_neg")).first().asDict() for n, df in sizes.items()}
+    f1 = lambda r: 2 * r.cum_precision * r.cum_recall / (r.cum_precision + r.cum_recall) if r.cum_precision and r.cum_recall else None
+    effects = {n: [r.asDict() | {"f1": f1(r)} for r in t] for n, t in trained.tables.items()}
+    return {"screening": screening(iv, psi, fields), "sizes": counted, "effects": effects, "importances": trained.importances(comments, most)}
+
+
 def screening(iv: DataFrame, psi: DataFrame, fields: DataFrame) -> DataFrame:
     """(col, iv, psi, dictionary): every column that has an IV or a stability, with its dictionary entry (few rows each)."""
     return iv.join(psi, "col", "full_outer").join(fields, "col", "left")

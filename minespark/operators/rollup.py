@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from minespark.operators.ranking import quantiles
@@ -69,8 +69,6 @@ def period_rates(df: DataFrame, *, period: str, positive: Column, limit: float |
 
     wave is (max - min) / min of both counts, null for the first and after a zero; alarm is wave >= limit.
     """
-    from pyspark.sql import Window
-
     counts = df.groupBy(period).agg(F.count(F.lit(1)).alias("n"), F.count_if(positive).alias("n_pos"))
     before = F.lag("n_pos").over(Window.orderBy(period))  # one row per period
     low, high = F.least(F.col("n_pos"), before), F.greatest(F.col("n_pos"), before)
@@ -79,6 +77,17 @@ def period_rates(df: DataFrame, *, period: str, positive: Column, limit: float |
     return out if limit is None else out.withColumn("alarm", F.coalesce(F.col("wave") >= limit, F.lit(False)))
 
 
+def label_rates(df: DataFrame, *, period: str, labels: Mapping[str, Column], limit: float | None = None) -> DataFrame:
+    """(label, period, n, n_pos, wave[, alarm]): period_rates() of several labels from one scan."""
+    counts = df.groupBy(period).agg(F.count(F.lit(1)).alias("n"), *(F.count_if(c).alias(f"_{i}") for i, c in enumerate(labels.values())))
+    each = F.array(*(F.struct(F.lit(name).alias("label"), F.col(f"_{i}").alias("n_pos")) for i, name in enumerate(labels)))
+    long = counts.select(period, "n", F.explode(each).alias("_x")).select("_x.label", period, "n", "_x.n_pos")
+    before = F.lag("n_pos").over(Window.partitionBy("label").orderBy(period))  # one row per label and period
+    low, high = F.least(F.col("n_pos"), before), F.greatest(F.col("n_pos"), before)
+    out = long.withColumn("wave", F.when(before.isNotNull(), F.try_divide((high - low).cast("double"), low.cast("double"))))
+    return out if limit is None else out.withColumn("alarm", F.coalesce(F.col("wave") >= limit, F.lit(False)))
+
+
 def case_counts(df: DataFrame, positive: Column) -> tuple[int, int, float]:
     """(rows, positives, rate to three digits); no rows or one class is an error."""
     n, p = df.agg(F.count(F.lit(1)), F.count_if(positive)).first()

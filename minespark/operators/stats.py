@@ -4,10 +4,15 @@ from __future__ import annotations
 
 import math
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
+from typing import TYPE_CHECKING
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+if TYPE_CHECKING:
+    from minespark.operators.prep import Fitted
+
 #: Stability beyond which a score or feature has moved (fixed value).
 PSI_LIMIT = 0.1
 
@@ -33,6 +38,31 @@ def value_shares(df: DataFrame, column: str, label: str | None = None, positive:
     return counts.join(F.broadcast(counts.agg(F.sum("n").alias("_all")))).withColumn("share", F.col("n") / F.col("_all")).drop("_all")
 
 
+def value_table(df: DataFrame, columns: Sequence[str], label: str | None = None, positive: str = "1", negative: str = "0") -> DataFrame:
+    """(col, v, n, share, percent[, n_pos, n_neg]): counts of all columns' values, null included, in one pass; percent is the share as text."""
+    from minespark.functions.texts import percent_text
+
+    y = F.col("_y")
+    long = melt(df.withColumn("_y", F.col(label).cast("string") if label else F.lit(None).cast("string")), columns, ["_y"])
+    more = [F.count_if(y == positive).alias("n_pos"), F.count_if(y == negative).alias("n_neg")] if label else []
+    counts = long.groupBy("col", "v").agg(F.count(F.lit(1)).alias("n"), *more)
+    rows = df.agg(F.count(F.lit(1)).alias("_all"))  # every column has a value, null or not, in each row
+    share = F.col("n") / F.col("_all")
+    return counts.join(F.broadcast(rows)).select("col", "v", "n", share.alias("share"), percent_text(share).alias("percent"), *(["n_pos", "n_neg"] if label else []))
+
+
+def describe(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """(col, n, mean, std, lo, q25, q50, q75, hi): of each number column the values that aren't null or NaN; exact quartiles (linear), the sample's deviation."""
+    from minespark.operators.ranking import quantiles
+
+    x = lambda c: F.when(~F.isnan(F.col(f"`{c}`").cast("double")), F.col(f"`{c}`").cast("double"))
+    one = lambda c: F.struct(F.lit(c).alias("col"), F.count(x(c)).alias("n"), F.avg(x(c)).alias("mean"), F.stddev_samp(x(c)).alias("std"), F.min(x(c)).alias("lo"), F.max(x(c)).alias("hi"))
+    plain = df.agg(F.array(*(one(c) for c in columns)).alias("_x")).select(F.explode("_x").alias("_x")).select("_x.*")
+    q = quantiles(df, columns, [0.25, 0.5, 0.75])
+    wide = q.groupBy("col").agg(*(F.max(F.when(F.col("share") == s, F.col("value"))).alias(f"q{int(s * 100)}") for s in (0.25, 0.5, 0.75)))
+    return plain.join(wide, "col", "left").select("col", "n", "mean", "std", "lo", "q25", "q50", "q75", "hi")
+
+
 def woe_iv(counts: DataFrame) -> DataFrame:
     """counts (col, v, n_pos, n_neg) with woe and iv_part of each value. Zero cells count as 1, before the totals are taken."""
     one = counts.select("col", "v", F.greatest("n_pos", F.lit(1)).alias("p"), F.greatest("n_neg", F.lit(1)).alias("n"))
@@ -126,6 +156,48 @@ def drop_correlated(pairs: Sequence[tuple[str, str, float]], iv: Mapping[str, fl
     return gone
 
 
+@dataclass(frozen=True)
+class PsiTracker:
+    """Value shares of a baseline's columns, numbers in bins, against which later rows are compared. Without a label there is one class."""
+
+    columns: tuple[str, ...]
+    bins: Fitted
+    counts: DataFrame
+    label: str | None
+    classes: tuple[str, ...]
+    limit: float
+
+    def compare(self, df: DataFrame) -> DataFrame:
+        """(col, psi, moved, new_values): the greatest stability over the classes, whether it reaches the limit, and the values that the baseline lacks."""
+        now = _tracked(self.bins.apply(df), self.columns, self.label, self.classes)
+        new = now.join(self.counts.select("col", "y", "v"), ["col", "y", "v"], "left_anti").groupBy("col").agg(F.count_distinct("v").alias("new_values"))
+        found = psi_parts(self.counts, now, ["col", "y", "v"]).groupBy("col", "y").agg(F.sum("psi_part").alias("psi")).groupBy("col").agg(F.max("psi").alias("psi"))
+        return found.join(new, "col", "left").select("col", "psi", (F.col("psi") >= self.limit).alias("moved"), F.coalesce("new_values", F.lit(0)).alias("new_values"))
+
+
+def _tracked(df: DataFrame, columns: Sequence[str], label: str | None, classes: Sequence[str]) -> DataFrame:
+    y = F.col(label).cast("string") if label else F.lit("")
+    long = melt(df.withColumn("_y", y), columns, ["_y"])
+    return (long.where(F.col("_y").isin(list(classes))) if label else long).groupBy("col", F.col("_y").alias("y"), F.coalesce("v", F.lit("")).alias("v")).agg(F.count(F.lit(1)).alias("n"))
+
+
+def fit_tracker(baseline: DataFrame, numbers: Sequence[str], categories: Sequence[str], *, label: str | None = None, positive: str = "1", negative: str = "0", bins: int = 10, limit: float = PSI_LIMIT) -> PsiTracker:
+    """A tracker of these rows: numbers in supervised bins if there is a label, else in `bins` of equal frequency (exact quantiles); null is a value."""
+    from minespark.operators.prep import Fitted, fit_mdlp
+    from minespark.operators.ranking import quantiles
+    from minespark.runtime import written
+
+    if label and numbers:
+        step = fit_mdlp(baseline, numbers, label, positive, negative)
+    else:
+        cuts: dict[str, list[float]] = {c: [] for c in numbers}
+        for r in quantiles(baseline, numbers, [i / bins for i in range(1, bins)]).collect() if numbers else []:  # bins - 1 rows per column
+            cuts[r.col].append(r.value)
+        step = Fitted("bins", (), {c: {"edges": [repr(x) for x in (-math.inf, *sorted(set(q)), math.inf)]} for c, q in cuts.items()})
+    columns, classes = (*numbers, *categories), (positive, negative) if label else ("",)
+    return PsiTracker(columns, step, written(_tracked(step.apply(baseline), columns, label, classes), "tracker"), label, classes, limit)
+
+
 def quartile_drift(old: DataFrame, new: DataFrame, column: str, limit: float) -> DataFrame:
     """(v, r_old, r_new, moved): shares of a number within the old rows' quartile bands, the outer edges widened by 0.8 and 1.2."""
     from minespark.operators.ranking import exact_quantiles

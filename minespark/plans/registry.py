@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from minespark.plans import problem_sql, problems, survey
+from minespark.plans import problem_sql, problems, survey, survey_jobs  # noqa: F401  (the last adds to survey's queries)
 
 Query = Callable[[SparkSession, str], DataFrame]
 

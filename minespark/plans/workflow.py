@@ -17,7 +17,7 @@ from minespark.operators import model as models
 from minespark.operators.evaluate import evaluation
 from minespark.operators.panel import base_counts, base_table, check_base, day_ready
 from minespark.operators.sampling import hash_key, usable_ratios
-from minespark.operators.prep import Fitted
+from minespark.operators.prep import Fitted, find_step
 from minespark.operators.score import ranked, rare_values, top_reasons, with_band_quality
 from minespark.operators.stats import PSI_LIMIT, band_counts, drop_correlated, only_value, psi
 from minespark.runtime import written
@@ -126,7 +126,7 @@ def reasons(rows: DataFrame, steps: Sequence[Fitted], *, n: int, threshold: floa
     Causes are the columns of the WOE step but `not_causes`, and of each pair whose WOE codes correlate by r_limit or more in training
     only the one of greater IV. Values above the threshold that at most `at_most` rows hold are no reason. A column without comment has its name.
     """
-    step = next((s for s in steps if s.kind == "woe"), None)
+    step = find_step(steps, "woe")
     if step is None:
         return None
     for s in steps:

@@ -75,6 +75,13 @@ def release() -> None:
         _to_drop.pop(path, None)
 
 
+def temporary(spark: SparkSession, label: str) -> str:
+    """A path in the shared folder that release() deletes."""
+    path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    _drop_at_exit(spark, path)
+    return path
+
+
 def written(df: DataFrame, label: str, partition_by: Iterable[str] = ()) -> DataFrame:
     """df as a Parquet table in the shared folder, read back.
 
@@ -82,7 +89,7 @@ def written(df: DataFrame, label: str, partition_by: Iterable[str] = ()) -> Data
     deterministic (range bounds, partition numbers) is fixed from here on.
     """
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    path = temporary(spark, label)
     writers = "spark.sql.maxConcurrentOutputFileWriters"
     before = spark.conf.get(writers)
     if partition_by:
@@ -91,7 +98,6 @@ def written(df: DataFrame, label: str, partition_by: Iterable[str] = ()) -> Data
         df.write.option("compression", "zstd").partitionBy(*partition_by).parquet(path)
     finally:
         spark.conf.set(writers, before)
-    _drop_at_exit(spark, path)
     return spark.read.schema(df.schema).parquet(path)
 
 

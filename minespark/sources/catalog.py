@@ -6,11 +6,12 @@ import re
 import statistics
 import time
 from collections.abc import Iterable, Sequence
-from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from minespark.runtime import session
+
 
 def tables(spark: SparkSession, pattern: str, *, like: bool = False, database: str = "default") -> list[str]:
     """Qualified names of the tables called `pattern`, or matching it with % and _ if `like`."""
@@ -23,11 +24,13 @@ def table_fields(spark: SparkSession, table: str) -> dict[str, str]:
     return {c.name.lower(): c.dataType for c in spark.catalog.listColumns(table) if not c.isPartition}
 
 
-def period_counts(df: DataFrame, period: str, start: str | None = None, end: str | None = None) -> DataFrame:
-    """(period, n) for periods within [start, end], in order."""
-    rows = df.where(F.col(period) >= start) if start is not None else df
-    rows = rows.where(F.col(period) <= end) if end is not None else rows
-    return rows.groupBy(period).agg(F.count(F.lit(1)).alias("n")).orderBy(period)
+def period_counts(df: DataFrame, period: str, start: str | None = None, end: str | None = None, *, day: str | None = None) -> DataFrame:
+    """(period, n) for periods within [start, end], in order. With a `day` column beside the month's: (period, day, n), start and end as yyyymmdd."""
+    by = [period] if day is None else [period, day]
+    at = F.col(period) if day is None else F.concat(F.col(period).cast("string"), F.lpad(F.col(day).cast("string"), 2, "0"))
+    rows = df.where(at >= start) if start is not None else df
+    rows = rows.where(at <= end) if end is not None else rows
+    return rows.groupBy(*by).agg(F.count(F.lit(1)).alias("n")).orderBy(*by)
 
 
 def family_shape(spark: SparkSession, names: Sequence[str], limit: float = 0.1) -> dict:
@@ -61,30 +64,61 @@ def drop_tables(spark: SparkSession, names: Iterable[str]) -> list[str]:
     return out
 
 
-def file_sizes(root: str | Path) -> list[tuple[str, int]]:
-    """All files below a folder with their bytes, by path."""
-    return sorted((str(p), p.stat().st_size) for p in Path(root).rglob("*") if p.is_file())
+def partitions(spark: SparkSession, table: str) -> list[str]:
+    """The partitions of a table, as column=value/..."""
+    return sorted(r[0] for r in spark.sql(f"show partitions {table}").collect())  # metadata
+
+
+def create_partitioned(spark: SparkSession, table: str, columns: str, partition_by: Sequence[str], fmt: str = "parquet") -> None:
+    """An empty table with list partitions by one or several of its columns (given as SQL column definitions), where there is none of that name."""
+    spark.sql(f"create table if not exists {table} ({columns}) using {fmt} partitioned by ({', '.join(partition_by)})")
+
+
+def _files(root: str) -> list[tuple[str, int, int]]:
+    """(path, bytes, modification time in ms) of all files below a folder, in whatever file system its URI names."""
+    spark = SparkSession.getActiveSession() or session()
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(str(root))
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    out, it = [], fs.listFiles(path, True)
+    while it.hasNext():
+        f = it.next()
+        out.append((f.getPath().toString().removeprefix("file:"), f.getLen(), f.getModificationTime()))
+    return sorted(out)
+
+
+def file_sizes(root: str) -> list[tuple[str, int]]:
+    """All files below a folder with their bytes, by path: local, HDFS or any store that Hadoop knows."""
+    return [f[:2] for f in _files(root)]
 
 
-def select_files(root: str | Path, pattern: str, *, older_than_days: float | None = None, newest_of_folder: bool = False) -> list[str]:
-    """Files whose name matches the regular expression; only those of folders not touched for some days, or each folder's newest."""
+def select_files(root: str, pattern: str, *, older_than_days: float | None = None, newest_of_folder: bool = False) -> list[str]:
+    """Files whose name matches the regular expression; only those of folders whose newest file is some days old, or each folder's newest."""
     rx = re.compile(pattern)
-    found = [p for p in Path(root).rglob("*") if p.is_file() and rx.search(p.name)]
+    files = [(*f[0].rpartition("/")[::2], f[2]) for f in _files(root)]
+    newest = {}
+    for folder, _, t in files:
+        newest[folder] = max(t, newest.get(folder, 0))
+    found = [f for f in files if rx.search(f[1])]
     if older_than_days is not None:
-        found = [p for p in found if time.time() - p.parent.stat().st_mtime > older_than_days * 86400]
+        found = [f for f in found if time.time() - newest[f[0]] / 1000 > older_than_days * 86400]
     if newest_of_folder:
-        best: dict[Path, Path] = {}
-        for p in found:
-            if p.parent not in best or p.stat().st_mtime > best[p.parent].stat().st_mtime:
-                best[p.parent] = p
+        best: dict[str, tuple] = {}
+        for f in found:
+            if f[0] not in best or f[2] > best[f[0]][2]:
+                best[f[0]] = f
         found = list(best.values())
-    return sorted(map(str, found))
+    return sorted(f"{folder}/{name}" for folder, name, _ in found)
 
 
 def delete_files(paths: Iterable[str], *, really: bool = False) -> list[str]:
     """Delete the files, only if `really`; gives those that exist."""
-    there = [p for p in paths if Path(p).is_file()]
-    if really:
-        for p in there:
-            Path(p).unlink()
+    context = (SparkSession.getActiveSession() or session()).sparkContext
+    there = []
+    for p in paths:
+        path = context._jvm.org.apache.hadoop.fs.Path(str(p))
+        fs = path.getFileSystem(context._jsc.hadoopConfiguration())
+        if fs.exists(path) and fs.getFileStatus(path).isFile():
+            there.append(p)
+            if really:
+                fs.delete(path, False)
     return there

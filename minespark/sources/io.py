@@ -18,16 +18,18 @@ MODES = {"fail": "error", "replace": "overwrite", "append": "append"}
 
 def read_data(
     spark: SparkSession, source: str | DataFrame, *, fmt: str = "table", condition=None, need: Sequence[str] | None = None, leave: Sequence[str] | None = None,
-    chars: Sequence[str] = (), numbers: Sequence[str] = (), dates: Sequence[str] = (), rows: int | None = None, lower: bool = True, schema: str | None = None, options: dict | None = None,
+    chars: Sequence[str] = (), numbers: Sequence[str] = (), dates: Sequence[str] = (), rows: int | None = None, lower: bool = True, schema: str | None = None, options: dict | None = None, bad_numbers: str = "null",
 ) -> DataFrame:
     """A table, file or query with chosen columns and types; lazy, so filters and columns reach the scan.
 
     `need` or `leave` (not both) choose columns; a column in two of chars, numbers and dates is an error. chars become
-    text, numbers double (text that is no number null), dates are parsed, yyyymm as its first day. fmt: table, sql, jdbc or one of
-    FILE_FORMATS. `rows` limits for previews.
+    text, numbers double (text that is no number null; with bad_numbers="error" an error that names column and text when it is read), dates are parsed,
+    yyyymm as its first day. fmt: table, sql, jdbc or one of FILE_FORMATS. `rows` limits for previews.
     """
     if need is not None and leave is not None:
         raise ValueError("give need or leave, not both")
+    if bad_numbers not in ("null", "error"):
+        raise ValueError(f"bad_numbers {bad_numbers}")
     twice = set(chars) & set(numbers) | set(chars) & set(dates) | set(numbers) & set(dates)
     if twice:
         raise ValueError(f"two types for {sorted(twice)}")
@@ -51,15 +53,19 @@ def read_data(
     missing = [c for c in wanted if c not in df.columns]
     if missing:
         raise ValueError(f"no columns {missing}")
-    out = df.select(*(_typed(c, chars, numbers, dates) for c in wanted))
+    out = df.select(*(_typed(c, chars, numbers, dates, bad_numbers) for c in wanted))
     return out if rows is None else out.limit(rows)
 
 
-def _typed(c, chars, numbers, dates):
+def _typed(c, chars, numbers, dates, bad_numbers):
     if c in chars:
         return F.col(c).cast("string").alias(c)
     if c in numbers:
-        return F.col(c).try_cast("double").alias(c)
+        x = F.col(c).try_cast("double")
+        if bad_numbers == "error":
+            said = F.concat(F.lit(f"{c} has a value that is no number: "), F.col(c).cast("string"))
+            x = F.when(F.col(c).isNotNull() & x.isNull(), F.raise_error(said).cast("double")).otherwise(x)
+        return x.alias(c)
     return parse_partial_date(F.col(c)).alias(c) if c in dates else F.col(c)
 
 
@@ -92,8 +98,8 @@ def aligned(df: DataFrame, columns: Sequence[str], types: dict[str, str]) -> Dat
 
 
 def save_data(df: DataFrame, target: str, *, fmt: str = "table", if_exists: str | None = None, partition_by: Sequence[str] = (), options: dict | None = None) -> None:
-    """Save as a table or file. Default if_exists: tables fail, files replace; an appended table's columns are aligned."""
-    mode = if_exists or ("fail" if fmt == "table" else "replace")
+    """Save as a table, file or JDBC table (`options` has url and the rest). Default if_exists: tables fail, files replace; an appended table's columns are aligned."""
+    mode = if_exists or ("fail" if fmt in ("table", "jdbc") else "replace")
     if mode not in MODES:
         raise ValueError(f"if_exists is one of {sorted(MODES)}")
     spark = df.sparkSession
@@ -104,6 +110,9 @@ def save_data(df: DataFrame, target: str, *, fmt: str = "table", if_exists: str
             return
         df.write.mode(MODES[mode]).partitionBy(*partition_by).saveAsTable(target)
         return
+    if fmt == "jdbc":
+        df.write.format("jdbc").mode(MODES[mode]).options(**(options or {}), dbtable=target).save()
+        return
     out = df.write.mode(MODES[mode]).partitionBy(*partition_by).options(**({"header": "true"} if fmt == "csv" else {}) | (options or {}))
     out.format(fmt).save(target)
 
@@ -128,3 +137,32 @@ def overwrite_partitions(df: DataFrame, target: str, partition_by: Sequence[str]
 def plan_text(df: DataFrame) -> str:
     """What would run, without running it."""
     return df._jdf.queryExecution().toString()
+
+
+def sql_literal(value) -> str:
+    """A Python value as an SQL literal: text quoted with its quotes doubled, None as null, numbers and truth values as they are."""
+    if value is None:
+        return "null"
+    if isinstance(value, bool):
+        return "true" if value else "false"
+    return str(value) if isinstance(value, int | float) else "'" + str(value).replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+#: Words that begin a line of printed SQL (fixed values).
+CLAUSES = ("select", "from", "where", "group by", "having", "order by", "limit", "left join", "full join", "inner join", "join", "union all", "insert", "values")
+
+
+def sql_text(statement: str) -> str:
+    """A statement with its clauses on lines of their own, indented by parentheses; quoted text stays as it is."""
+    parts = re.split(r"('(?:[^'\\]|''|\\.)*')", " ".join(statement.split()) if "'" not in statement else statement.strip())
+    words = "|".join(c.replace(" ", r"\s+") for c in sorted(CLAUSES, key=len, reverse=True))
+    out, depth = [], 0
+    for i, part in enumerate(parts):
+        if i % 2:
+            out.append(part)
+            continue
+        for token in re.split(rf"(?i)(\b(?:{words})\b|[()])", re.sub(r"\s+", " ", part)):
+            low = " ".join(token.lower().split())
+            depth += (token == "(") - (token == ")")
+            out.append(f"\n{'    ' * depth}{token}" if low in CLAUSES and out else token)
+    return re.sub(r" +\n", "\n", "".join(out)).strip()

@@ -7,22 +7,28 @@ from collections.abc import Sequence
 from pyspark.sql.types import DecimalType, IntegerType, LongType, StringType, StructField, StructType
 
 #: Labels of mobile and broadband groups (fixed values).
-MOBILE_LABELS = "lw notacct badstatus ls rh kj wf fk gq down yb hj dxb 5gb cl".split()
-BROADBAND_LABELS = "lw notacct badstatus ls".split()
-#: Counted items of the group supplement (fixed values).
-SUPPLEMENT_ITEMS = "fk wf kj".split()
+MOBILE_LABELS = [
+    "flag_lw", "flag_notacct", "flag_badstatus", "flag_ls", "flag_rh", "flag_kj", "flag_wf", "flag_fk", "flag_gq", "flag_down", "flag_yb", "flag_hj", "flag_dxb", "flag_5gb", "flag_cl",
+]
+BROADBAND_LABELS = ["flag_lw", "flag_notacct", "flag_badstatus", "flag_ls"]
+#: Columns of the group supplement that are counts, and that are quantiles and maxima (fixed values).
+SUPPLEMENT_COUNTS = [
+    "spec_count0_fk", "spec_count1_fk", "spec_count2_fk", "spec_count0_wf", "spec_count1_wf", "spec_count2_wf", "spec_count0_kj", "spec_count1_kj", "spec_count2_kj",
+]
+SUPPLEMENT_VALUES = [
+    "spec_pre025_fk", "spec_pre05_fk", "spec_max_fk", "spec_pre025_wf", "spec_pre05_wf", "spec_max_wf", "spec_pre025_kj", "spec_pre05_kj", "spec_max_kj",
+]
 
 
 def label_schema(labels: Sequence[str], key: str = "zk_user_no", spare: int = 5) -> StructType:
-    names = [f"flag_{x}" for x in labels] + [f"flag_{i}" for i in range(1, spare + 1)]
+    names = [*labels, *(f"flag_{i}" for i in range(1, spare + 1))]
     return StructType([StructField("month_id", StringType()), StructField(key, StringType()), *(StructField(n, IntegerType()) for n in names), StructField("acct_month", StringType())])
 
 
 def supplement_schema() -> StructType:
     out = [StructField("month_id", StringType()), StructField("zk_user_no", StringType()), StructField("cnt_spec", LongType())]
-    for item in SUPPLEMENT_ITEMS:
-        out += [StructField(f"spec_count{i}_{item}", LongType()) for i in range(3)]
-        out += [StructField(f"spec_{s}_{item}", IntegerType()) for s in ("pre025", "pre05", "max")]
+    for i in range(0, 9, 3):  # three counts, then three values, of each item
+        out += [StructField(c, LongType()) for c in SUPPLEMENT_COUNTS[i : i + 3]] + [StructField(c, IntegerType()) for c in SUPPLEMENT_VALUES[i : i + 3]]
     return StructType([*out, StructField("acct_month", StringType())])
 
 

@@ -173,6 +173,41 @@ def model_specs(static: dict[str, dict], dynamic: dict[str, dict]) -> dict[str,
     return out
 
 
+def table_columns(specs: Sequence[FieldSpec], table: str) -> list[str]:
+    """The fields that a table has by the dictionary, each once, in order."""
+    return list(dict.fromkeys(s.name for s in specs if s.table == table and s.origin == "raw"))
+
+
+@dataclass(frozen=True)
+class FieldUse:
+    """What a dictionary's fields are used for: model inputs by kind, columns without features of the current or of recent periods, columns that
+    are no reasons, columns that stay in any case, and the formulas of derived fields."""
+
+    numbers: tuple[str, ...]
+    categories: tuple[str, ...]
+    no_current: tuple[str, ...]
+    no_recent: tuple[str, ...]
+    not_causes: tuple[str, ...]
+    must_remain: tuple[str, ...]
+    formulas: dict[str, str]
+
+
+def field_use(specs: Sequence[FieldSpec]) -> FieldUse:
+    """The rules of a dictionary: fields that aren't available, and what is derived from them, take no part; a field without `auto` gives no derived
+    features at all, one without `current` or `recent` none of that kind, one without `into_model` is no input."""
+    from minespark.functions.formula import parse, without_unavailable
+
+    formulas = {s.name: s.formula for s in specs if s.origin == "manual_python" and s.formula}
+    parsed = {n: parse(n, f) for n, f in formulas.items()}
+    names = set(without_unavailable([s.name for s in specs], [s.name for s in specs if not s.available], parsed))
+    there = [s for s in specs if s.name in names]
+    pick = lambda test: tuple(s.name for s in there if test(s))
+    return FieldUse(
+        pick(lambda s: s.kind == NUMBER and s.into_model), pick(lambda s: s.kind == CATEGORY and s.into_model), pick(lambda s: not (s.auto and s.current)),
+        pick(lambda s: not (s.auto and s.recent)), pick(lambda s: not s.is_cause), pick(lambda s: s.must_remain), {n: f for n, f in formulas.items() if n in names},
+    )
+
+
 def check_fields(specs: Sequence[FieldSpec], tables: Iterable[str] = ()) -> list[str]:
     """What is wrong with a dictionary: repeated names, unclassified types, missing or superfluous tables, missing formulas."""
     found = []
