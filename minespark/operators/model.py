@@ -66,16 +66,16 @@ def fit_pipeline(df: DataFrame, numbers: Sequence[str], categories: Sequence[str
             add(prep.fit_impute(cur, numbers, "constant", 0))
             add(prep.fit_scale(cur, numbers))
         if categories:
-            add(prep.fit_onehot(cur, categories, label=label, positive=positive, negative=negative, iv_limit=0.0))
+            add(prep.fit_onehot(cur, categories, label=label, positive=positive, negative=negative, iv_limit=0.0, limit=max(5000, unique_limit)))
         return steps
     if numbers:
         add(bins)
         numbers = [c for c in numbers if c in cur.columns]
     if kind == "woe":
-        step, _ = prep.fit_woe(cur, [*numbers, *categories], label, positive, negative, iv_limit=iv_limit, r_limit=r_limit, keep_r=True)
+        step, _ = prep.fit_woe(cur, [*numbers, *categories], label, positive, negative, iv_limit=iv_limit, r_limit=r_limit, keep_r=True, limit=max(5000, unique_limit))
         add(step)
     elif kind == "binned":
-        add(prep.fit_onehot(cur, [*numbers, *categories], label=label, positive=positive, negative=negative, iv_limit=0.0))
+        add(prep.fit_onehot(cur, [*numbers, *categories], label=label, positive=positive, negative=negative, iv_limit=0.0, limit=max(5000, unique_limit)))
     else:
         raise ValueError(f"no kind {kind}")
     return steps

@@ -16,6 +16,8 @@ from minespark.operators.ranking import quantiles
 from minespark.operators.stats import crosstab, drop_correlated, information_values, melt, woe_iv
 from minespark.runtime import small, written
 
+#: Values up to which a column is looked up in the plan; a column of more is joined to its broadcast table (of at most `limit` rows, see the fits).
+IN_PLAN = 100
 #: Names of merged values (fixed values).
 RARE, LOW_IV = "其他_countlow", "其他_ivlow"
 
@@ -37,14 +39,38 @@ class Fitted:
         return Fitted(d["kind"], tuple(d["dropped"]), d["rules"])
 
     def apply(self, df: DataFrame) -> DataFrame:
-        """The step on other rows: a projection, no shuffle. Columns it was not fitted on stay as they are."""
+        """The step on other rows: a projection, without a shuffle. Columns it was not fitted on stay as they are."""
         out = df.drop(*self.dropped)
+        rules = {c: r for c, r in self.rules.items() if c in out.columns}
+        if self.kind in ("woe", "ordinal"):
+            many = [c for c, r in rules.items() if len(_table(self.kind, r)) > IN_PLAN]
+            known = {c: (_merged(c, rules[c]) if self.kind == "ordinal" else F.col(f"`{c}`"), _table(self.kind, rules[c])) for c in many}
+            out, found = looked_up(out, known)
+            out = out.withColumns({c: F.coalesce(f, F.lit(0.0 if self.kind == "woe" else -1)).cast("double" if self.kind == "woe" else "int") for c, f in found.items()}).drop(*(f"_w_{i}" for i in range(len(many))))
+            rules = {c: r for c, r in rules.items() if c not in many}
         new = {}
-        for c, rule in self.rules.items():
-            if c in out.columns:
-                new |= _APPLY[self.kind](c, rule)
+        for c, rule in rules.items():
+            new |= _APPLY[self.kind](c, rule)
         out = out.withColumns(new)
-        return out.drop(*[c for c, r in self.rules.items() if self.kind == "onehot"]) if self.kind == "onehot" else out
+        return out.drop(*self.rules) if self.kind == "onehot" else out
+
+
+def _table(kind: str, rule: Mapping) -> dict[str, float]:
+    """What a WOE or ordinal rule makes of each value."""
+    return rule["woe"] if kind == "woe" else {v: i for i, v in enumerate(rule["values"])}
+
+
+def looked_up(df: DataFrame, known: Mapping[str, tuple[Column, Mapping[str, float]]]) -> tuple[DataFrame, dict[str, Column]]:
+    """(df with helper columns _w_0, _w_1, ..., the number that each column's value has by its table, null without one); null is looked up as "".
+
+    One broadcast hash join for each column, of a table that the caller has bounded.
+    """
+    spark, found = df.sparkSession, {}
+    for i, (c, (value, table)) in enumerate(known.items()):
+        side = spark.createDataFrame([(v, float(w)) for v, w in table.items()], f"_k_{i} string, _w_{i} double")
+        df = df.join(F.broadcast(side), F.coalesce(value.cast("string"), F.lit("")) == F.col(f"_k_{i}"), "left").drop(f"_k_{i}")
+        found[c] = F.col(f"_w_{i}")
+    return df, found
 
 
 def apply_all(steps: Sequence[Fitted], df: DataFrame) -> DataFrame:
@@ -310,12 +336,12 @@ def fit_mdlp(df: DataFrame, columns: Sequence[str], label: str, positive: str, n
 
 def fit_unseen(df: DataFrame, columns: Sequence[str], limit: int = 5000) -> Fitted:
     """Values not seen in fitting, and nulls, become the most frequent value (the smallest on ties). Columns with more than `limit` values are an error."""
-    counts = value_counts(df, columns).where("v is not null")
-    w = Window.partitionBy("col").orderBy(F.desc("n"), "v")
-    known = counts.withColumn("r", F.row_number().over(w)).where(F.col("r") <= limit + 1).groupBy("col").agg(F.sort_array(F.collect_list("v")).alias("known"), F.max(F.when(F.col("r") == 1, F.col("v"))).alias("mode")).collect()
-    too_many = [r.col for r in known if len(r.known) > limit]
-    if too_many:
-        raise ValueError(f"more than {limit} values: {too_many}")
+    counts = value_counts(df, columns).where("v is not null").cache()
+    try:
+        _few_values(counts, limit)
+        known = counts.groupBy("col").agg(F.sort_array(F.collect_list("v")).alias("known"), F.min(F.struct((-F.col("n")).alias("n"), "v"))["v"].alias("mode")).collect()  # at most `limit` values each
+    finally:
+        counts.unpersist()
     return Fitted("unseen", (), {r.col: {"known": list(r.known), "mode": r.mode} for r in known})
 
 
@@ -405,10 +431,12 @@ def fit_value_converter(df: DataFrame, columns: Sequence[str], *, bin_limit: int
     n = df.count()
     ceiling = min(5000, n // 2) if bin_ceiling is None else bin_ceiling
     low = min(100, n // 50) if floor is None else floor
-    w = Window.partitionBy("col")
-    counts = value_counts(df, columns).where("v is not null").withColumn("k", F.count(F.lit(1)).over(w)).withColumn("few", F.sum((F.col("n") < low).cast("int")).over(w))
-    ranked = counts.where((F.col("k") > bin_limit) & (F.col("k") < ceiling)).withColumn("r", F.row_number().over(w.orderBy("n", "v")))
+    counts = value_counts(df, columns).where("v is not null").cache()
+    sizes = counts.groupBy("col").agg(F.count(F.lit(1)).alias("k"), F.count_if(F.col("n") < low).alias("few")).where((F.col("k") > bin_limit) & (F.col("k") < ceiling))  # a row per column
+    r = F.row_number().over(Window.partitionBy("col").orderBy("n", "v"))  # fewer than the ceiling each
+    ranked = counts.join(F.broadcast(sizes), "col").withColumn("r", r)
     merged = ranked.where(F.col("r") <= F.greatest(F.col("k") - bin_limit + 1, F.col("few"))).groupBy("col").agg(F.sort_array(F.collect_list("v")).alias("v")).collect()
+    counts.unpersist()
     return Fitted("merge", (), {r.col: {"values": list(r.v), "to": RARE} for r in merged})
 
 
@@ -439,9 +467,10 @@ def fit_scale(df: DataFrame, columns: Sequence[str], how: str = "standard") -> F
 def fit_woe(df: DataFrame, columns: Sequence[str], label: str, positive: str, negative: str, *, iv_limit: float = 0.0, r_limit: float = 1.1, turn_limit: int | None = None, gap_limit: int = 50, keep_r: bool = False, limit: int = 5000) -> tuple[Fitted, dict[str, float]]:
     """(step, iv by column): values to their WOE. Dropped are near-constant columns (rows beside the top value <= gap_limit), those with
     turn_limit WOE turns or more, those under iv_limit, and of correlated pairs (on WOE codes) the one of lower IV. A value not seen gets 0.
-    Columns kept with more than `limit` values are an error: bin or filter them first. With keep_r each column's rule also has its IV and its correlations with the columns after it, for reasons().
+    Columns with more than `limit` values are an error: bin or filter them first. With keep_r each column's rule also has its IV and its correlations with the columns after it, for reasons().
     """
     counts = crosstab(df, columns, label, positive, negative).cache()
+    _few_values(counts, limit)
     gaps = counts.groupBy("col").agg((F.sum(F.col("n_pos") + F.col("n_neg")) - F.max(F.col("n_pos") + F.col("n_neg"))).alias("gap"))
     woe = woe_iv(counts)
     as_number = F.coalesce(F.col("v").try_cast("double"), F.lit(math.inf))
@@ -449,7 +478,6 @@ def fit_woe(df: DataFrame, columns: Sequence[str], label: str, positive: str, ne
     iv = {r.col: r.iv for r in iv_rows}
     dropped = [r.col for r in iv_rows if r.gap <= gap_limit or (turn_limit is not None and r.turns >= turn_limit) or r.iv < iv_limit]
     kept = [c for c in columns if c in iv and c not in dropped]
-    _few_values(woe.where(F.col("col").isin(kept)), limit)
     maps = {r.col: dict(zip(r.v, r.w)) for r in woe.where(F.col("col").isin(kept)).groupBy("col").agg(F.collect_list(F.coalesce("v", F.lit(""))).alias("v"), F.collect_list("woe").alias("w")).collect()} if kept else {}
     counts.unpersist()
     step = Fitted("woe", tuple(dropped), {c: {"woe": m} for c, m in maps.items()})

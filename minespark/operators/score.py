@@ -29,12 +29,20 @@ def top_reasons(df: DataFrame, woe: Mapping[str, Mapping[str, float]], *, n: int
     """df with, for each rank up to n: colname_top, colcomment_top, colvalue_top, colwoe_top (1-based suffix).
 
     A row's reasons are its columns of greatest WOE; ties go to the first column. Values in `rare` count as -999. Reasons not
-    above the threshold are null. Works row by row on an array of structs, without a shuffle.
+    above the threshold are null. Works row by row on an array of structs, without a shuffle; columns of many values are joined to
+    their broadcast tables first.
     """
+    from minespark.operators.prep import IN_PLAN, looked_up
+
+    many = [c for c, m in woe.items() if len(m) > IN_PLAN]
+    df, found = looked_up(df, {c: (F.col(f"`{c}`"), woe[c]) for c in many})
     entries = []
     for i, (c, m) in enumerate(woe.items()):
         v = F.coalesce(F.col(f"`{c}`").cast("string"), F.lit(""))
-        known = F.try_element_at(F.create_map(*(x for k, w in m.items() for x in (F.lit(k), F.lit(float(w))))), v) if m else F.lit(None).cast("double")
+        if c in found:
+            known = found[c]
+        else:
+            known = F.try_element_at(F.create_map(*(x for k, w in m.items() for x in (F.lit(k), F.lit(float(w))))), v) if m else F.lit(None).cast("double")
         w = F.when(v.isin(list((rare or {}).get(c, ()))), -999.0).otherwise(F.coalesce(known, F.lit(-999.0)))
         entries.append(F.struct(w.alias("w"), F.lit(-i).alias("o"), F.lit(c).alias("name"), F.lit((comments or {}).get(c, "")).alias("comment"), v.alias("value")))
     best = F.slice(F.sort_array(F.array(*entries), asc=False), 1, n)
@@ -44,7 +52,7 @@ def top_reasons(df: DataFrame, woe: Mapping[str, Mapping[str, float]], *, n: int
         r = F.try_element_at("_r", F.lit(k))
         r = F.when(r["w"] > threshold, r)
         cols |= {f"colname_top{k}": r["name"], f"colcomment_top{k}": r["comment"], f"colvalue_top{k}": r["value"], f"colwoe_top{k}": r["w"]}
-    return out.withColumns(cols).drop("_r")
+    return out.withColumns(cols).drop("_r", *(f"_w_{i}" for i in range(len(many))))
 
 
 def rare_values(df: DataFrame, woe: Mapping[str, Mapping[str, float]], *, threshold: float, at_most: float) -> dict[str, list[str]]:
@@ -55,7 +63,7 @@ def rare_values(df: DataFrame, woe: Mapping[str, Mapping[str, float]], *, thresh
     high = {c: {v for v, w in m.items() if w > threshold} for c, m in woe.items()}
     rows = value_counts(df.select(*(F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")).alias(c) for c in woe)), list(woe)).where(F.col("n") <= limit)
     want = df.sparkSession.createDataFrame([(c, v) for c, vs in high.items() for v in vs] or [("", "")], "col string, v string")
-    found = rows.join(F.broadcast(want), ["col", "v"]).groupBy("col").agg(F.collect_list("v").alias("v")).collect()
+    found = rows.join(small(want), ["col", "v"]).groupBy("col").agg(F.collect_list("v").alias("v")).collect()
     return {r.col: sorted(r.v) for r in found}
 
 

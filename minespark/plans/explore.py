@@ -103,7 +103,7 @@ def explore(panel: DataFrame, *, entity: str, period: str, at: str, label: str,
     numeric = [c for c in names if c not in cats and c in coded.columns]
     coded = prep.fit_mdlp(coded, numeric, "_y", positive, negative, drop_unsplit=True).apply(coded) if numeric else coded
     left = [c for c in names if c in coded.columns]
-    step, iv = prep.fit_woe(coded, left, "_y", positive, negative, iv_limit=iv_limit) if left else (prep.Fitted("woe"), {})
+    step, iv = prep.fit_woe(coded, left, "_y", positive, negative, iv_limit=iv_limit, limit=max(5000, unique_limit)) if left else (prep.Fitted("woe"), {})
     r = correlation_matrix(step.apply(coded), [c for c in left if c in step.rules])
     chosen: list[str] = []
     for block in order:

@@ -346,6 +346,24 @@ def test_low_iv_and_unknown_values(spark):
         prep.fit_woe(df, ["p"], "y", "1", "0", gap_limit=0, limit=2)
 
 
+def test_columns_of_many_values_are_joined(spark):
+    """WOE codes, ordinals and reasons of 300 values come from broadcast joins; they are those of the plan's own look-up."""
+    rows = [(f"v{i % 300}" if i % 7 else None, "ab"[i % 2], str(int(i % 300 > 150))) for i in range(3000)]
+    df = spark.createDataFrame(rows, "c string, d string, y string")
+    step, _ = prep.fit_woe(df, ["c", "d"], "y", "1", "0", gap_limit=0)
+    assert len(step.rules["c"]["woe"]) == 301 and "BroadcastHashJoin" in step.apply(df)._jdf.queryExecution().executedPlan().toString()
+    other = df.limit(500).unionByName(spark.createDataFrame([("new", "a", "1")], df.schema))
+    got = sorted((r.c, r.d) for r in step.apply(other).collect())
+    want = sorted((step.rules["c"]["woe"].get(r.c or "", 0.0), step.rules["d"]["woe"][r.d]) for r in other.collect())
+    assert got == want
+    codes = prep.fit_onehot(df, ["c"], ordinal=True)
+    place = {v: i for i, v in enumerate(sorted({r[0] for r in rows if r[0]}))}
+    assert sorted(r.c for r in codes.apply(other).collect()) == sorted(place.get(r.c, -1) for r in other.collect())
+    woe = {c: r["woe"] for c, r in step.rules.items()}
+    top = score.top_reasons(other, woe, n=1).collect()
+    assert all(r.colwoe_top1 is None or abs(r.colwoe_top1 - max(woe["c"].get(r.c or "", -999.0), woe["d"][r.d])) < 1e-12 for r in top) and "_w_0" not in top[0].asDict()
+
+
 def test_predict_reasons(spark):
     from minespark.plans.explore import FeaturePlan
     from minespark.plans.workflow import TrainResult, predict
