@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from minespark.operators import evaluate, prep
-from minespark.operators.stats import PSI_LIMIT, band_counts, psi
+from minespark.operators.stats import PSI_LIMIT, band_counts, psi, require
 
 ALGORITHMS = {"logistic": LogisticRegression, "forest": RandomForestClassifier, "boosted": GBTClassifier, "tree": DecisionTreeClassifier}
 SCORE_BANDS = tuple(range(0, 101, 10))
@@ -32,8 +32,9 @@ def grid(algorithm: str, params: Mapping[str, Sequence] | None = None) -> dict[s
 
 
 def default_models() -> dict[str, object]:
-    """A regularised regression, two forests and a boosted ensemble."""
-    return grid("logistic", {"regParam": [0.01]}) | grid("forest", {"numTrees": [50], "maxDepth": [4, 8], "seed": [1]}) | grid("boosted", {"maxIter": [30], "maxDepth": [4], "seed": [1]})
+    """A regularised regression, two forests and two boosted ensembles, one of which drops rows and columns at random for each tree."""
+    boosted = grid("boosted", {"maxIter": [30], "maxDepth": [4], "seed": [1]}) | grid("boosted", {"maxIter": [60], "maxDepth": [4], "stepSize": [0.05], "subsamplingRate": [0.7], "featureSubsetStrategy": ["onethird"], "seed": [1]})
+    return grid("logistic", {"regParam": [0.01]}) | grid("forest", {"numTrees": [50], "maxDepth": [4, 8], "seed": [1]}) | boosted
 
 
 def fit_shared(df: DataFrame, numbers: Sequence[str], categories: Sequence[str], label: str, positive: str, negative: str, kinds: Sequence[str], *, freq_limit: float = 0.95, unique_limit: int = 5000, valuecount_limit: int = 50) -> tuple[list[prep.Fitted], prep.Fitted | None]:
@@ -132,7 +133,10 @@ class Trained:
         return Trained(meta["name"], [prep.Fitted.from_json(s) for s in meta["steps"]], meta["inputs"], model, tuple(meta["label"]), tables, meta["psi"], meta["thresholds"], [tuple(b) for b in meta.get("bands", [])])
 
 
-def train_one(df: DataFrame, steps: list[prep.Fitted], estimator, name: str, columns: Sequence[str], label: tuple[str, str, str]) -> Trained:
+def train_one(df: DataFrame, steps: list[prep.Fitted], estimator, name: str, columns: Sequence[str], label: tuple[str, str, str], *, nulls: str = "zero") -> Trained:
+    """A fitted model. Nulls that the steps leave in the inputs count as 0, or are an error that names the columns (nulls="error")."""
+    if nulls not in ("zero", "error"):
+        raise ValueError(f"nulls {nulls}")
     col, positive, negative = label
     y = F.col(col).cast("string")
     rows = df.where(y.isin(positive, negative)).withColumn("y", (y == positive).cast("double"))
@@ -140,6 +144,8 @@ def train_one(df: DataFrame, steps: list[prep.Fitted], estimator, name: str, col
     if not inputs:
         raise ValueError(f"{name}: no inputs are left")
     ready = prep.apply_all(steps, rows)
+    if nulls == "error":
+        require(ready, {c: F.col(f"`{c}`").isNotNull() for c in inputs})
     names = [f"f{i}" for i in range(len(inputs))]
     vectors = VectorAssembler(inputCols=names, outputCol="features", handleInvalid="keep").transform(ready.select("y", *(F.coalesce(F.col(f"`{c}`").cast("double"), F.lit(0.0)).alias(n) for c, n in zip(inputs, names))))
     return Trained(name, steps, inputs, estimator.fit(vectors), label)

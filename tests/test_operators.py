@@ -330,6 +330,17 @@ def test_retraining(spark):
     assert model.retrain(model.Choice(None, {}, ()), again(1), ["a"], "s").best is None
 
 
+def test_nulls_left_by_the_steps(spark):
+    df = spark.createDataFrame([(float(i), None if i == 3 else 1.0, str(i % 2)) for i in range(20)], "a double, b double, y string")
+    estimator = next(iter(model.grid("logistic", {"regParam": [0.1]}).values()))
+    assert model.train_one(df, [], estimator, "m", ["a", "b"], ("y", "1", "0")).inputs == ["a", "b"]
+    with pytest.raises(ValueError, match="'b': 1"):
+        model.train_one(df, [], estimator, "m", ["a", "b"], ("y", "1", "0"), nulls="error")
+    assert len(model.default_models()) == 5
+    t = model.train_one(df, [], estimator, "m", ["a", "b"], ("y", "1", "0"))
+    assert [x[2] for x in t.importances({"a": "A"})] in (["A", ""], ["", "A"]) and len(t.importances(most=1)) == 1
+
+
 def test_low_iv_and_unknown_values(spark):
     rows = [("a", "u", "1")] * 30 + [("a", "v", "0")] * 10 + [("b", "v", "0")] * 30 + [("c", "w", "1")] * 5 + [("c", "w", "0")] * 5
     df = spark.createDataFrame(rows, "p string, q string, y string")
