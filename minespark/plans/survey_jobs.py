@@ -435,6 +435,67 @@ select col, coalesce(list_contains((select max_by(gone, i) from g), col), false)
 """
 
 
+#: Best cuts level by level from prefix sums, down to intervals that the description length test leaves whole.
+ORACLE["q44_mdlp_bins"] = """
+with recursive v as (select round(o_totalprice + o_orderkey * 7919 % 80000, 6) as x, count(*) filter (o_totalprice > 250000) as p, count(*) filter (o_totalprice <= 250000) as n from orders group by 1),
+c as (select x, row_number() over (order by x) as i, lead(x) over (order by x) as nx, cast(sum(p) over (order by x) as double) as cp, cast(sum(n) over (order by x) as double) as cn from v),
+e as (select 0 as i, 0.0::double as cp, 0.0::double as cn union all select i, cp, cn from c),
+s(a, z, cut, upto) as (
+    select 0::bigint, (select max(i) from c), null::double, null::double
+    union all
+    select unnest([k.a, k.i]), unnest([k.i, k.z]), unnest([k.cut, null]), unnest([k.upto, null]) from (
+        select *, (case when p1 > 0 then -p1 / n1 * ln(p1 / n1) else 0 end) + (case when q1 > 0 then -q1 / n1 * ln(q1 / n1) else 0 end) as e1, (case when p2 > 0 then -p2 / n2 * ln(p2 / n2) else 0 end) + (case when q2 > 0 then -q2 / n2 * ln(q2 / n2) else 0 end) as e2,
+            (case when p0 > 0 then -p0 / n0 * ln(p0 / n0) else 0 end) + (case when q0 > 0 then -q0 / n0 * ln(q0 / n0) else 0 end) as e0,
+            cast(p0 > 0 as integer) + cast(q0 > 0 as integer) as k0, cast(p1 > 0 as integer) + cast(q1 > 0 as integer) as k1, cast(p2 > 0 as integer) + cast(q2 > 0 as integer) as k2
+        from (
+            select *, row_number() over (partition by a, z order by round(n1 - (p1 * p1 + q1 * q1) / n1 + n2 - (p2 * p2 + q2 * q2) / n2, 9), i) as r from (
+                select s.a, s.z, c.i, (c.x + c.nx) / 2 as cut, c.cp + c.cn as upto, c.cp - ea.cp as p1, c.cn - ea.cn as q1, c.cp - ea.cp + c.cn - ea.cn as n1, ez.cp - c.cp as p2, ez.cn - c.cn as q2, ez.cp - c.cp + ez.cn - c.cn as n2,
+                    ez.cp - ea.cp as p0, ez.cn - ea.cn as q0, ez.cp - ea.cp + ez.cn - ea.cn as n0
+                from s join e ea on ea.i = s.a join e ez on ez.i = s.z join c on c.i > s.a and c.i < s.z where ez.cp - ea.cp + ez.cn - ea.cn >= 30
+            )
+        ) where r = 1
+    ) k where e0 - n1 / n0 * e1 - n2 / n0 * e2 >= (ln(n0 - 1) + ln(pow(3, k0) - 2) - (k0 * e0 - k1 * e1 - k2 * e2)) / n0
+),
+cuts as (select cut, upto - coalesce(lag(upto) over (order by cut), 0) as held from s where cut is not null),
+o as (select o_totalprice > 250000 as y, (select count(*) from cuts where held >= 30 and o_totalprice + o_orderkey * 7919 % 80000 > cut) as x from orders)
+select cast(x as integer) as x, count(*) as n, count(*) filter (y) as n_pos from o group by 1
+"""
+
+# bins as a list that each step shortens by one, at place m
+_RATE = "list_transform(l, lambda x: x.p / (x.p + x.n))"
+_MERGED = "list_concat(list_concat(l[:m - 1], [{'lo': l[m].lo, 'hi': l[m + 1].hi, 'p': l[m].p + l[m + 1].p, 'n': l[m].n + l[m + 1].n}]), l[m + 2:])"
+#: Small bins, then similar, then turning ones are merged; a line or parabola's R2 by orthogonal polynomials.
+ORACLE["q60_bin_cleanup"] = f"""
+with recursive b as (select cast(floor(o_totalprice / 20000) as integer) as b, count(*) filter (o_orderstatus = 'F') as p, count(*) filter (o_orderstatus <> 'F') as n from orders group by 1),
+d as (select list({{'lo': b::double, 'hi': (b + 1)::double, 'p': p, 'n': n}} order by b) as l, least(500, 0.01 * sum(p + n)) as few, least(0.01, 0.5 * sum(p) / sum(p + n)) as gap from b),
+r1(l, k) as (
+    select l, 0 from d union all select {_MERGED}, k + 1 from (
+        select *, case when i = 1 then 1 when i = len(l) then i - 1 when abs(rate[i - 1] - rate[i]) <= abs(rate[i + 1] - rate[i]) then i - 1 else i end as m
+        from (select *, list_position(size, list_min(size)) as i from (select l, k, {_RATE} as rate, list_transform(l, lambda x: x.p + x.n) as size from r1)) where len(l) > 1 and size[i] < (select few from d)
+    )
+),
+r2(l, k) as (
+    select (select max_by(l, k) from r1), 0 union all select {_MERGED}, k + 1 from (
+        select *, list_position(g, list_min(g)) as m from (select *, list_transform(range(1, len(l)), lambda j: abs(rate[j] - rate[j + 1])) as g from (select l, k, {_RATE} as rate from r2 where len(l) > 1)) where list_min(g) < (select gap from d)
+    )
+),
+r3(l, k) as (
+    select (select max_by(l, k) from r2), 0 union all select {_MERGED}, k + 1 from (
+        select *, list_position(against, list_max(against)) as m from (
+            select *, case when list_max(w) >= 0 then w else list_transform(step, lambda s: -abs(s)) end as against from (
+                select *, list_transform(step, lambda s: case when sign(s) <> trend then abs(s) else -1.0 end) as w from (
+                    select *, list_transform(range(1, len(l)), lambda j: rate[j + 1] - rate[j]) as step, case when rate[-1] < rate[1] then -1 else 1 end as trend,
+                        list_transform(range(len(l)), lambda j: j - (len(l) - 1) / 2.0) as f1, list_transform(range(len(l)), lambda j: pow(j - (len(l) - 1) / 2.0, 2) - (len(l) * len(l) - 1) / 12.0) as f2, list_transform(rate, lambda y: y - list_avg(rate)) as dev
+                    from (select l, k, {_RATE} as rate from r3 where len(l) > 3)
+                )
+            )
+        ) where list_dot_product(dev, dev) > 0 and (pow(list_dot_product(f1, rate), 2) / list_dot_product(f1, f1) + pow(list_dot_product(f2, rate), 2) / list_dot_product(f2, f2)) / list_dot_product(dev, dev) < 0.8
+    )
+)
+select x.lo as lo, x.hi as hi, x.p as n_pos, x.n as n_neg from (select unnest((select max_by(l, k) from r3)) as x)
+"""
+
+
 # --- scores and reports
 
 def _scored_sql(name: str, factor: int) -> str:

@@ -50,6 +50,22 @@ def test_sql(spark, rows):
     assert "Physical Plan" in io.plan_text(a)
 
 
+def test_jdbc(spark, rows, tmp_path):
+    """A table written to an embedded database and read back, by name and by query."""
+    how = {"url": f"jdbc:derby:{tmp_path}/db;create=true", "driver": "org.apache.derby.iapi.jdbc.AutoloadedDriver"}
+    try:
+        spark.sparkContext._jvm.java.lang.Class.forName(how["driver"])
+    except Exception:
+        pytest.skip("no embedded database")
+    df = spark.createDataFrame([(1, 1.5, "a"), (2, 2.5, None)], "id int, x double, c string")
+    io.save_data(df, "t", fmt="jdbc", options=how)
+    with pytest.raises(Exception, match="already exists"):
+        io.save_data(df, "t", fmt="jdbc", options=how)
+    io.save_data(df, "t", fmt="jdbc", options=how, if_exists="append")
+    assert rows(io.read_data(spark, "t", fmt="jdbc", options=how, condition="id = 2", leave=["c"], chars=["x"])) == [(2, "2.5")] * 2
+    assert io.read_data(spark, '(select "id" from t where "x" > 2) as q', fmt="jdbc", options=how).count() == 2
+
+
 def test_files(tmp_path):
     (tmp_path / "d").mkdir()
     for i, n in enumerate(("a_1.csv", "a_2.csv", "b.txt")):
