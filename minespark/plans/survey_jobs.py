@@ -91,11 +91,11 @@ def q68_text_table(spark, d):
     return table(spark, d, "customer").join(F.broadcast(w), F.col("segment") == F.col("c_mktsegment"), "left").select("c_custkey", "c_mktsegment", "weight", "note")
 
 
-STATIC = "model_name\tshort_name\tlabel\tpositive\nopen\to\to_orderstatus\tO\nbig\tb\to_totalprice\t1\n#old\tx\ty\t1"
+STATIC = "model_name\tshort_name\tlabel\tpositive\tbase_condition\nopen\to\to_orderstatus\tO\to_custkey > 10 and o_orderpriority <> '5-LOW'\nbig\tb\to_totalprice\t1\t\n#old\tx\ty\t1\t"
 DYNAMIC = "model_name\tmonth_train\tcondition\tn_recent\nopen\t199605\t['o_totalprice > 100000']\t2\nbig\t199612\t[]\t3"
 
 
-@query("""select 'open' as name, 'out/o/model_199605' as path, 2 as n_recent, count(*) as n from orders where o_totalprice > 100000 and strftime(o_orderdate, '%Y%m') between '199604' and '199605'
+@query("""select 'open' as name, 'out/o/model_199605' as path, 2 as n_recent, count(*) as n from orders where o_totalprice > 100000 and o_custkey > 10 and o_orderpriority <> '5-LOW' and strftime(o_orderdate, '%Y%m') between '199604' and '199605'
 union all select 'big', 'out/b/model_199612', 3, count(*) from orders where strftime(o_orderdate, '%Y%m') between '199610' and '199612'""")
 def q69_model_infos(spark, d):
     """Static and dynamic text of two models: their specifications, where their results go, and the rows that each reads."""

@@ -10,9 +10,9 @@ from dataclasses import asdict, dataclass, field, replace
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from minespark.functions.formula import parse
+from minespark.functions.formula import closure, parse
 from minespark.functions.periods import align_months
-from minespark.functions.predicates import without_columns
+from minespark.functions.predicates import referenced_columns, without_columns
 from minespark.operators import model as models
 from minespark.operators.evaluate import evaluation
 from minespark.operators.panel import base_counts, base_table, check_base, day_ready
@@ -82,16 +82,24 @@ def aligned(base: DataFrame, spec: ModelSpec, at: str) -> DataFrame:
     return moved.withColumns({spec.col_month: F.col("a_period").cast(kind), spec.col_id: F.col("a_entity")}).drop("a_period", "a_entity", "user_acct_month", "data_use")
 
 
+def _pruned(panel: DataFrame, spec: ModelSpec, *, numbers: Sequence[str], categories: Mapping, formulas: Mapping[str, str], scores: Sequence[str]) -> DataFrame:
+    """The panel's columns that the job reads: those of the inputs or of what they are derived from, id, period, label, and what the condition mentions."""
+    parsed = {n: parse(n, f) for n, f in formulas.items()}
+    need = {c.lower() for c in (*closure([*numbers, *categories, *scores, *formulas], parsed), spec.col_id, spec.col_month, spec.label, *referenced_columns(spec.condition))}
+    return panel.select(*(F.col(f"`{c}`") for c in panel.columns if c.lower() in need))
+
+
 def train_and_test(panel: DataFrame, spec: ModelSpec, *, numbers: Sequence[str], categories: dict, algorithms: dict | None = None, kinds: Sequence[str] = ("woe",), formulas: Mapping[str, str] | None = None, scores: Sequence[str] = (), retrain_limit: int | None = None, **how) -> TrainResult:
     """Base table, exploration (`how` goes to explore()), wide tables of training, validation and test month, the model cycle, and the choice.
 
     `formulas` derive fields from the panel's (numbers and categories may name them), null `scores` count as 0. The choice is made on the out-of-time month if there is one, else
     on the validation rows; if the best model drops more than retrain_limit columns, it is trained again without them.
     """
+    use = {"numbers": tuple(numbers), "categories": dict(categories), "formulas": dict(formulas or {}), "scores": tuple(scores)}
+    panel = _pruned(panel, spec, **use)
     base = written(base_table(panel, spec, "train"), "base")
     for w in check_base(base_counts(base, spec), spec.n_recent):
         log.warning("%s: %s", spec.name, w)
-    use = {"numbers": tuple(numbers), "categories": dict(categories), "formulas": dict(formulas or {}), "scores": tuple(scores)}
     train, plan = _wide(aligned(base.where("data_use = 'data_train'"), spec, spec.month_train), spec, None, spec.month_train, True, **use, **how)
     timein, _ = _wide(base.where("data_use = 'data_timein'").drop("user_acct_month", "data_use"), spec, plan, spec.month_train, True, **use)
     sets = {"timein": timein}
@@ -151,9 +159,16 @@ def predict(panel: DataFrame, result: TrainResult, *, numbers: Sequence[str] | N
     spec, best = result.spec, result.choice.best
     if best is None:
         raise ValueError(f"{spec.name}: no model was chosen")
-    rows = base_table(panel, spec, "predict").drop("user_acct_month", "data_use")
+    used = {*result.plan.raw, *(c for d in (*result.plan.current, *result.plan.recent) for c in d.inputs)}  # only what reaches the model
+    parsed = {n: parse(n, f) for n, f in result.formulas.items()}
+    derived = [c for c in closure(sorted(used), parsed) if c in parsed]
+    read = {*closure(sorted(used), parsed)}
+    use = {
+        "numbers": [c for c in (result.numbers if numbers is None else numbers) if c in used], "categories": {c: v for c, v in (result.categories if categories is None else categories).items() if c in used},
+        "formulas": {c: result.formulas[c] for c in derived}, "scores": tuple(c for c in result.scores if c in read),
+    }
+    rows = base_table(_pruned(panel, spec, **use), spec, "predict").drop("user_acct_month", "data_use")
     only_value(rows.where(F.col(spec.col_month) == spec.month_predict), spec.col_month)
-    use = {"numbers": result.numbers if numbers is None else numbers, "categories": result.categories if categories is None else categories, "formulas": result.formulas, "scores": result.scores}
     wide, _ = _wide(rows, spec, result.plan, spec.month_predict, False, **use)
     scored = written(best.score(wide), "scored")
     spark = panel.sparkSession

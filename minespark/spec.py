@@ -161,14 +161,22 @@ def read_infos(text: str, *, literal: Sequence[str] = (), typed: Sequence[str] =
 
 
 def model_specs(static: dict[str, dict], dynamic: dict[str, dict]) -> dict[str, ModelSpec]:
-    """Dynamic information joined to the static one; a model without static information is an error, unknown keys go to `extra`."""
+    """Dynamic information joined to the static one; a model without static information is an error, unknown keys go to `extra`.
+
+    A `base_condition` (of the population) is added to the model's own condition.
+    """
+    from minespark.functions.predicates import conjuncts
+
     known = {f.name for f in fields(ModelSpec)}
     out = {}
     for name, info in dynamic.items():
         if name not in static:
             raise ValueError(f"no static information for {name}")
         merged = {k: v for k, v in (static[name] | info).items() if v is not None and k != "model_name"}
+        base = merged.pop("base_condition", None)
         own = {k: tuple(v) if isinstance(v, list) else v for k, v in merged.items() if k in known}
+        if base is not None or "condition" in own:
+            own["condition"] = tuple(conjuncts([x for x in (own.get("condition"), base) if x is not None]))
         out[name] = ModelSpec(**({"name": name, "short_name": name} | own), extra={k: v for k, v in merged.items() if k not in known})
     return out
 

@@ -303,6 +303,8 @@ def test_training_with_cumulated_months_and_formulas(spark, churn, tmp_path, mon
     how = {"numbers": ["x", "q", "old"], "categories": {"c": ["a", "d"]}, "formulas": {"q": "x / z"}, "scores": ["old"]}
     result = train_and_test(rows, spec, algorithms=model.grid("logistic", {"regParam": [0.01]}), retrain_limit=0, **how)
     assert set(result.plan.floors) == {"q"} and result.plan.floors["q"] > 0
+    few_columns = workflow._pruned(rows.withColumn("unused", F.lit(1)), spec.with_condition(["z > 1"]), numbers=["q"], categories={}, formulas={"q": "x / z"}, scores=[])
+    assert sorted(few_columns.columns) == ["acct_month", "label", "user_no", "x", "z"]
     grown = [d for d in result.plan.recent if d.method == "grow"]
     assert all(d.floor is not None for d in grown)
     best = result.choice.best
