@@ -16,8 +16,8 @@ log = logging.getLogger("minespark")
 
 #: Values in one local median; a task with more gives several.
 _CHUNK = 1 << 20
-#: The candidates are rewritten when at most one in so many is left.
-_REWRITE = 4
+#: The candidates are rewritten when at most one in so many is left, if so many rows are spared in each later round.
+_REWRITE, _SPARED = 4, 1 << 20
 
 #: Infinite scores are scores, so open ends are null.
 _INSIDE = "(lo is null or s > lo) and (hi is null or s < hi)"
@@ -39,7 +39,7 @@ def keep_cutoffs(records: DataFrame, targets: DataFrame, *, group: Sequence[str]
     discard a side, and the weighted median of the other side's medians is the next pivot (at least a
     quarter of the candidates goes each round). Only these few numbers are shuffled, by group, once a round. A group
     of any size spreads over the tasks as its records lie. The candidates are rewritten
-    when three quarters are gone, so all rounds together read about twice the table.
+    when three quarters are gone (and a million or more), so all rounds together read about twice a large table.
     """
     own = {c: f"_g{i}" for i, c in enumerate(group)}  # no name of the caller's can clash
     on = [own[c] for c in on or group]
@@ -47,20 +47,25 @@ def keep_cutoffs(records: DataFrame, targets: DataFrame, *, group: Sequence[str]
     wanted = targets.where(F.col(permille).isNotNull()).groupBy(*(F.col(c).alias(x) for c, x in own.items() if x in on)).agg(F.max(permille).alias("permille"))
     valid = records.where(F.col(score).isNotNull() & ~F.isnan(F.col(score).cast("double"))).select(*(F.col(c).alias(x) for c, x in own.items()), F.col(score).cast("double").alias("s"))
     cand, state = _numbered(valid.dropna(subset=group).join(small(wanted.select(*on)), on, "left_semi"), wanted, group, on)
-    held = None
+    held, settled = None, []
     for at in range(1 << 20):
-        n_open, n_left = state.where(~F.col("done")).agg(F.count(F.lit(1)), F.coalesce(F.sum("left"), F.lit(0))).first()
+        settled.append(state.where("done"))
+        state = state.where(~F.col("done"))
+        n_open, n_left = state.agg(F.count(F.lit(1)), F.coalesce(F.sum("left"), F.lit(0))).first()
         if not n_open:
             log.info("cutoffs: %d rounds", at)
             break
-        live = state.where(~F.col("done")).select("g", "lo", "hi", "pivot")
-        inside = cand.join(F.broadcast(live) if n_open <= BROADCAST_ROWS else live, "g").where(_INSIDE)
-        if n_left * _REWRITE <= (held or n_left):
-            cand, held = written(inside.select("g", "s"), "cutoff-candidates"), n_left
-            inside = cand.join(F.broadcast(live) if n_open <= BROADCAST_ROWS else live, "g")
+        live = F.broadcast(state) if n_open <= BROADCAST_ROWS else state
+        inside = cand.join(live.select("g", "lo", "hi", "pivot"), "g").where(_INSIDE)
         held = held or n_left
-        state = written(_narrowed(state, inside.select("g", "s", "pivot").mapInArrow(_sides, _PART)), "cutoff-state")
-    return state.select(*(F.col(x).alias(c) for c, x in zip(names, group)), "cutoff", "n_kept")
+        if n_left * _REWRITE <= held and held - n_left >= _SPARED:
+            cand, held = written(inside.select("g", "s"), "cutoff-candidates"), n_left
+            inside = cand.join(live.select("g", "pivot"), "g")
+        state = written(_narrowed(live, inside.select("g", "s", "pivot").mapInArrow(_sides, _PART)), "cutoff-state")
+    out = settled[0]
+    for x in settled[1:]:
+        out = out.unionByName(x)
+    return out.select(*(F.col(x).alias(c) for c, x in zip(names, group)), "cutoff", "n_kept")
 
 
 def _numbered(kept: DataFrame, wanted: DataFrame, group: list[str], on: list[str]) -> tuple[DataFrame, DataFrame]:
@@ -87,7 +92,7 @@ def _numbered(kept: DataFrame, wanted: DataFrame, group: list[str], on: list[str
 
 
 def _narrowed(state: DataFrame, parts: DataFrame) -> DataFrame:
-    """The state after a round: the side that holds the wanted rank, and the next pivot in it. One shuffle of the parts."""
+    """The state of the open groups after a round: the side that holds the wanted rank, and the next pivot in it. One shuffle of the parts."""
     whole = Window.partitionBy("g")
     upto = lambda n, m: F.sum(n).over(whole.orderBy(m))
     ranked = parts.select(
@@ -95,11 +100,10 @@ def _narrowed(state: DataFrame, parts: DataFrame) -> DataFrame:
     )
     median = lambda x: F.min(F.when((F.col(f"n_{x}") > 0) & (F.col(f"u_{x}") * 2 >= F.col(f"a_{x}")), F.col(f"m_{x}"))).alias(f"p_{x}")
     round_ = ranked.groupBy("g").agg(*(F.sum(f"n_{x}").alias(x) for x in ("gt", "eq", "lt")), median("gt"), median("lt"))
-    s = state.join(round_, "g", "left")
-    live = F.col("gt").isNotNull()
+    s = round_.join(state, "g")  # an open group has candidates, so none is lost
     rank = F.col("need") - F.col("above")
-    up, at = live & (F.col("gt") >= rank), live & (F.col("gt") < rank) & (F.col("gt") + F.col("eq") >= rank)
-    down = live & (F.col("gt") + F.col("eq") < rank)
+    up, at = F.col("gt") >= rank, (F.col("gt") < rank) & (F.col("gt") + F.col("eq") >= rank)
+    down = F.col("gt") + F.col("eq") < rank
     pick = lambda name, *cases: _case(cases, F.col(name)).alias(name)
     return s.select(
         *[c for c in state.columns if c not in ("left", "done", "above", "lo", "hi", "pivot", "cutoff", "n_kept")],
