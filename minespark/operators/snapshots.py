@@ -49,8 +49,9 @@ def snapshot_changes(
     How: the states are range-sorted by key. A key whose hash is 0 modulo `chunk_rows` ends a chunk, so
     the cuts depend on content alone and one insertion moves no other chunk. Each task sums two
     64-bit row hashes over each chunk of each snapshot; a chunk whose digest (count and both sums)
-    equals that of the snapshot before is discarded with all its rows. Only rows of the remaining
-    chunks are shuffled and joined by key: the full outer join is one grouping, old beside new.
+    equals that of the snapshot before is discarded with all its rows. Rows of the remaining
+    chunks are joined by key where they lie: both snapshots' rows of a key stand side by side in the sorted range, so the full
+    outer join needs no further shuffle.
     """
     months = period_order(df, period)
     a = [f"a{i}" for i in range(len(attrs))]
@@ -61,17 +62,12 @@ def snapshot_changes(
         F.xxhash64("k", *values).alias("h1"), F.xxhash64(F.lit(71), *values, "k").alias("h2"), *a,
     )
     n_periods = months.count()
-    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in hashed.schema.fields[5:])
-    sides = hashed.repartitionByRange("k").sortWithinPartitions("k", "i").mapInArrow(lambda it: _unmatched(it, n_periods), f"k string, i int, new boolean, {kinds}")
-    row = F.struct(*a)
-    both = sides.groupBy("i", "k").agg(F.max(F.when(~F.col("new"), row)).alias("old"), F.max(F.when(F.col("new"), row)).alias("now"))
-    kind = F.when(F.col("old").isNull(), "added").when(F.col("now").isNull(), "removed").when(~F.col("old").eqNullSafe(F.col("now")), "changed")
-    found = both.select("i", "k", kind.alias("change_kind")).where("change_kind is not null").join(months.select("m", "i"), "i")
-    return found.select(F.col("m").alias(period), F.col("k").alias(key), "change_kind")
+    found = hashed.repartitionByRange("k").sortWithinPartitions("k", "i").mapInArrow(lambda it: _classified(it, n_periods), "k string, i int, change_kind string")
+    return found.join(months.select("m", "i"), "i").select(F.col("m").alias(period), F.col("k").alias(key), "change_kind")
 
 
-def _unmatched(batches: Iterator[pa.RecordBatch], n_periods: int) -> Iterator[pa.RecordBatch]:
-    """Rows of chunks whose digest differs from the snapshot's before or after, once for each such pair."""
+def _stretches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """The sorted rows in tables that end where a chunk does."""
     held: list[pa.RecordBatch] = []
     for b in batches:
         cuts = np.flatnonzero(b.column("cut").to_numpy(zero_copy_only=False))
@@ -87,17 +83,17 @@ def _unmatched(batches: Iterator[pa.RecordBatch], n_periods: int) -> Iterator[pa
         if end == 0 and held:
             held.append(b)
             continue
-        t = pa.Table.from_batches([*held, b.slice(0, end)])
-        yield from _compare(t, n_periods)
+        yield pa.Table.from_batches([*held, b.slice(0, end)])
         held = [b.slice(end)]
     if held:
-        yield from _compare(pa.Table.from_batches(held), n_periods)
+        yield pa.Table.from_batches(held)
 
 
-def _compare(t: pa.Table, n_periods: int) -> Iterator[pa.RecordBatch]:
+def _wanted(t: pa.Table, n_periods: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(new rows, old rows, periods) of a stretch: rows of chunks whose digest differs from that of the snapshot before, and after."""
     n = t.num_rows
     if not n:
-        return
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
     k = t.column("k")
     new_key = np.ones(n, bool)
     new_key[1:] = pc.not_equal(k.slice(1), k.slice(0, n - 1)).to_numpy()
@@ -116,14 +112,57 @@ def _compare(t: pa.Table, n_periods: int) -> Iterator[pa.RecordBatch]:
         same[1:] &= s[1:] == s[:-1]
     same_next = np.append(same[1:], False)
     place = cells % n_periods
-    for new, wanted in ((True, ~same & (place > 0)), (False, ~same_next & (place < n_periods - 1))):
-        rows = np.flatnonzero(wanted[inverse])
-        if len(rows):
-            part = t.take(pa.array(rows))
-            pair = pa.array((i[rows] + (not new)).astype(np.int32))
-            cols = {"k": part.column("k"), "i": pair, "new": pa.array(np.full(len(rows), new))}
-            cols |= {c: part.column(c) for c in part.column_names[5:]}
-            yield from pa.table(cols).to_batches()
+    new, old = ~same & (place > 0), ~same_next & (place < n_periods - 1)
+    return np.flatnonzero(new[inverse]), np.flatnonzero(old[inverse]), i
+
+
+def _unmatched(batches: Iterator[pa.RecordBatch], n_periods: int) -> Iterator[pa.RecordBatch]:
+    """The rows that are joined, once for each pair of snapshots whose chunks differ: (k, i of the later snapshot, new, attributes)."""
+    for t in _stretches(batches):
+        news, olds, i = _wanted(t, n_periods)
+        for new, rows in ((True, news), (False, olds)):
+            if len(rows):
+                part = t.take(pa.array(rows))
+                cols = {"k": part.column("k"), "i": pa.array((i[rows] + (not new)).astype(np.int32)), "new": pa.array(np.full(len(rows), new))}
+                yield from pa.table(cols | {c: part.column(c) for c in part.column_names[5:]}).to_batches()
+
+
+def _classified(batches: Iterator[pa.RecordBatch], n_periods: int) -> Iterator[pa.RecordBatch]:
+    """(k, i, change_kind) of the keys of unmatched chunks: a key's rows follow each other by period, so a row's partner is its neighbour."""
+    for t in _stretches(batches):
+        news, olds, i = _wanted(t, n_periods)
+        if not len(news) and not len(olds):
+            continue
+        k = t.column("k").combine_chunks()
+        k = k.chunk(0) if isinstance(k, pa.ChunkedArray) else k
+        n = len(k)
+        follows = np.zeros(n + 1, bool)  # whether a row is its key's in the period after that of the row before
+        follows[1:n] = pc.equal(k.slice(1), k.slice(0, n - 1)).to_numpy(zero_copy_only=False) & (i[1:] == i[:-1] + 1)
+        both = news[follows[news]]
+        changed = both[_differ(t, both, both - 1)]
+        added, removed = news[~follows[news]], olds[~follows[olds + 1]]
+        rows = np.concatenate([added, changed, removed])
+        kinds = np.repeat(["added", "changed", "removed"], [len(added), len(changed), len(removed)])
+        at = np.concatenate([i[added], i[changed], i[removed] + 1]).astype(np.int32)
+        yield pa.RecordBatch.from_arrays([k.take(pa.array(rows)), pa.array(at), pa.array(kinds, pa.string())], names=["k", "i", "change_kind"])
+
+
+def _differ(t: pa.Table, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Whether the attributes of rows a and b differ; null equals null, NaN equals NaN. What can't be compared as a value is by its two hashes."""
+    out = np.zeros(len(a), bool)
+    for name in t.column_names[5:]:
+        c = t.column(name)
+        if pa.types.is_nested(c.type):
+            for h in ("h1", "h2"):
+                x = t.column(h).to_numpy()
+                out |= x[a] != x[b]
+            continue
+        x, y = c.take(pa.array(a)), c.take(pa.array(b))
+        other = pc.fill_null(pc.not_equal(x, y), False)
+        if pa.types.is_floating(c.type):
+            other = pc.and_not(other, pc.fill_null(pc.and_(pc.is_nan(x), pc.is_nan(y)), False))
+        out |= pc.or_(other, pc.not_equal(x.is_null(), y.is_null())).to_numpy(zero_copy_only=False) if len(a) else out
+    return out
 
 
 def version_history(

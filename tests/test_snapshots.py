@@ -94,6 +94,16 @@ def test_unchanged_chunks_are_discarded():
     assert out.num_rows == 20 and set(out.column("k").to_pylist()) == {f"{i:03d}" for i in range(50, 60)}
 
 
+def test_attributes_that_are_odd_to_compare(spark, rows):
+    """NaN equals NaN, -0 is not told from 0, a list is compared as a whole."""
+    nan = float("nan")
+    data = [("a", "202401", nan, [1, 2]), ("a", "202402", nan, [1, 2]), ("b", "202401", 0.0, None), ("b", "202402", -0.0, None), ("c", "202401", 1.0, [1]), ("c", "202402", None, [1]), ("d", "202401", 1.0, [1]), ("d", "202402", 1.0, [2]), ("e", "202401", 1.0, None), ("f", "202402", None, None)]
+    df = spark.createDataFrame([(k, m, None, 1, x, y) for k, m, x, y in data], "k string, m string, t timestamp, id long, x double, y array<int>")
+    for chunk in (1, 50):
+        got = snapshot_changes(df, key="k", period="m", known_at="t", row_id="id", attrs=["x", "y"], chunk_rows=chunk)
+        assert rows(got) == [("202402", "c", "changed"), ("202402", "d", "changed"), ("202402", "e", "removed"), ("202402", "f", "added")]
+
+
 def test_empty_and_single_snapshot(spark, rows):
     empty = spark.createDataFrame([], S)
     assert rows(snapshot_changes(empty, **HOW)) == rows(version_history(empty, **HOW)) == []
