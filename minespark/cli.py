@@ -67,7 +67,7 @@ def _jobs(panel, spec, job):
     """(name, frame) of what the job's steps would run: the base tables, and the roll-up and the labels that it describes."""
     for step in ("train", "test", "predict"):
         if getattr(spec, f"month_{step}"):
-            yield step, base_table(panel, spec, step)
+            yield step, base_table(panel, spec, step, narrow=False)
     if "roll_up" in job:
         r = job["roll_up"]
         yield "roll_up", roll_up(panel, period=r["period"], group=r["group"], is_main=F.expr(r["is_main"]), rules=[RollRule(*x) for x in r["rules"]])

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from minespark.functions.periods import add_months, day_of_next_month, month_add, month_list
 from minespark.functions.predicates import where
 from minespark.operators.sampling import hash_key, quota
-from minespark.runtime import small
+from minespark.runtime import small, written
 from minespark.spec import ModelSpec, TableSpec
 
 
@@ -66,13 +66,14 @@ def recent_periods(panel: DataFrame, chosen: DataFrame, *, entity: str, period:
     return panel.where(F.col(period).between(months[0], months[-1])).join(chosen.select(entity).distinct(), entity)
 
 
-def base_table(panel: DataFrame, spec: ModelSpec, step: str, *, seed: int = 0) -> DataFrame:
+def base_table(panel: DataFrame, spec: ModelSpec, step: str, *, seed: int = 0, narrow: bool = True) -> DataFrame:
     """The panel rows a step works on, with user_acct_month and data_use.
 
     train: validation rows first (timein_count of the newest month), then positives up to their limit and negatives up to limit x ratio,
     of the training month and `cumulated_months` before it. test: up to timeout_limit rows. predict: all rows. Choice
     is by a hash of id and month, so it is the same in every run and on every cluster. Each user comes with the n_recent
-    periods up to each of its base months: one scan of the panel and one join, whatever the number of base months.
+    periods up to each of its base months: one scan of the panel and one join, whatever the number of base months. The candidates (id, month, label)
+    are written first, so that the picks of each class read them and not the panel again; with narrow=False nothing runs until the table is read.
     """
     m, e = spec.col_month, spec.col_id
     if step == "predict":
@@ -81,6 +82,7 @@ def base_table(panel: DataFrame, spec: ModelSpec, step: str, *, seed: int = 0) -
         months = month_list(month_add(spec.month_train, -spec.cumulated_months), spec.month_train) if step == "train" else [spec.month_test]
         users = where(panel.where(F.col(m).isin(months)), spec.condition).where(F.col(spec.label).cast("string").isin(spec.positive, spec.negative))
         users = users.select(e, F.col(m).alias("user_acct_month"), F.col(spec.label).cast("string").alias("y"))
+        users = written(users, "users") if narrow else users
         key = hash_key(F.concat_ws("_", F.col(e).cast("string"), "user_acct_month"), seed)
         if step == "test":
             picks = quota(users, {None: spec.timeout_limit}, key=key).withColumn("data_use", F.lit("data_timeout"))

@@ -42,7 +42,7 @@ def q65_partition_overwrite(spark, d):
     io.save_data(o, path, fmt="parquet", partition_by=["year"])
     again = o.where("year = 1996").select("year", (F.col("x") * 2).cast("decimal(18,2)").alias("x")).unionByName(o.where("year = 1997 and x > 100000"))
     io.overwrite_partitions(again, path, ["year"])
-    return io.read_data(spark, path, fmt="parquet").groupBy("year").agg(F.count(F.lit(1)).alias("n"), F.sum("x").cast("double").alias("total"))
+    return io.read_data(spark, path, fmt="parquet").groupBy(F.col("year").cast("long").alias("year")).agg(F.count(F.lit(1)).alias("n"), F.sum("x").cast("double").alias("total"))
 
 
 @query("""with t as (select '199612' as m, * from orders where year(o_orderdate) = 1996 union all select '199712', * from orders where year(o_orderdate) = 1997),

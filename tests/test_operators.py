@@ -406,5 +406,6 @@ def test_base_table_is_reproducible(spark, churn):
     count = lambda df: {(r.data_use, r.user_acct_month): r.n for r in df.groupBy("data_use", "user_acct_month").agg(F.count_distinct("user_no").alias("n")).collect()}
     a, b = (count(panel.base_table(df, spec, "train")) for df in (churn, churn.repartition(9)))
     assert a == b and a["data_timein", "202403"] == 50 and sum(n for (use, _), n in a.items() if use == "data_train") == 120
+    assert count(panel.base_table(churn, spec, "train", narrow=False)) == a
     with pytest.raises(ValueError):
         panel.base_table(churn, spec, "none")
