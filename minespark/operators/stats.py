@@ -241,8 +241,11 @@ def panel_drift(panel: DataFrame, *, period: str, first: str, numbers: Sequence[
 
 def constant_columns(df: DataFrame, columns: Sequence[str]) -> list[str]:
     """Columns with one value (null is none) or none at all; one pass over all columns."""
-    row = df.agg(*(F.coalesce(F.min(F.col(c).cast("string")) == F.max(F.col(c).cast("string")), F.lit(True)).alias(c) for c in columns)).first().asDict()
-    return [c for c in columns if row[c]]
+    if not columns:
+        return []
+    text = [F.col(f"`{c}`").cast("string") for c in columns]
+    row = df.agg(*(F.coalesce(F.min(x) == F.max(x), F.lit(True)).alias(f"_{i}") for i, x in enumerate(text))).first()
+    return [c for c, one in zip(columns, row) if one]
 
 
 def ks_auc(df: DataFrame, score: str, label: str, positive: str, negative: str) -> DataFrame:

@@ -14,7 +14,7 @@ from minespark.functions.formula import DAYS_MONTH, Formula, closure, column
 from minespark.operators import prep
 from minespark.operators.features import FeatureDef, current_features, field_pairs, fitted, recent_defs, recent_features
 from minespark.operators.panel import fill_missing, gate
-from minespark.operators.stats import correlation_matrix, drop_correlated, finite, require
+from minespark.operators.stats import constant_columns, correlation_matrix, drop_correlated, finite, require
 from minespark.runtime import written
 
 
@@ -97,8 +97,9 @@ def explore(panel: DataFrame, *, entity: str, period: str, at: str, label: str,
     wide = written(wide.drop(entity), "explore")
     order = [[*numbers, *cats], *([d.name for d in b] for b in (*blocks, *recents))]
     names = [c for b in order for c in b]
-    screen = prep.fit_prefilter(wide, [c for c in names if c not in cats], list(cats), freq_limit=1.0, unique_limit=unique_limit, valuecount_limit=valuecount_limit)
-    coded = prep.apply_all(screen, wide)
+    flat = constant_columns(wide, [c for c in names if c not in cats])  # numbers: one aggregation, no counting of their values
+    screen = prep.fit_prefilter(wide, [], list(cats), freq_limit=1.0, unique_limit=unique_limit, valuecount_limit=valuecount_limit) if cats else []
+    coded = prep.apply_all([prep.Fitted("drop", tuple(flat)), *screen], wide)
     coded = prep.fit_low_iv(coded, [c for c in cats if c in coded.columns], "_y", positive, negative, iv_limit=iv_limit, limit=unique_limit).apply(coded)
     numeric = [c for c in names if c not in cats and c in coded.columns]
     coded = prep.fit_mdlp(coded, numeric, "_y", positive, negative, drop_unsplit=True).apply(coded) if numeric else coded
