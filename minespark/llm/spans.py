@@ -69,7 +69,7 @@ def shared_spans(df: DataFrame, *, doc_id: str, text: str, min_length: int = 100
     block's anchors. Partial sketches and anchors meet by slice: the partial ones are merged, then each block's anchors are estimated.
     An anchor's estimate is never below the number of texts with it, so only windows that occur in one text are dropped and none is lost.
     The second pass takes each block's texts with its surviving anchors and hashes the windows under them; a text that an
-    earlier block has too (by a digest of 128 bits) is shared as a whole and has its windows hashed there only.
+    earlier block has too (by a digest of 128 bits) is shared as a whole and has its windows hashed there only, for the ids of all.
     These are grouped by two independent hashes (96 bits), first within the task, where windows found in two records
     are settled and only one row of each hash goes on, then exactly over all tasks.
     Whatever the sketch lets through only costs shuffle: the result depends neither on its size (`cells_per_anchor`) nor on that
@@ -88,8 +88,11 @@ def shared_spans(df: DataFrame, *, doc_id: str, text: str, min_length: int = 100
     texts = first.where("kind = 'text'")
     equal = Window.partitionBy("x")  # digests of texts, at most one of each block
     copies = texts.select("block", "x", "lo", "hi", "size", F.min("block").over(equal).alias("in_block"), F.min("lo").over(equal).alias("least"), F.max("hi").over(equal).alias("most"))
-    parts = [kept.select("block", F.lit("keep").alias("kind"), "slice", "x"), copies.where("block <> in_block").select("block", F.lit("copy").alias("kind"), "x"), texts.select("block", "kind", "lo", "hi", "text", "x")]
-    by_block = parts[0].unionByName(parts[1], allowMissingColumns=True).unionByName(parts[2], allowMissingColumns=True)
+    elsewhere = copies.where("block <> in_block").select("block", F.lit("copy").alias("kind"), "x")
+    all_ids = copies.where("block = in_block and (least <> lo or most <> hi)").select("block", F.lit("ends").alias("kind"), F.col("least").alias("lo"), F.col("most").alias("hi"), "x")
+    by_block = texts.select("block", "kind", "lo", "hi", "text", "x")
+    for part in (kept.select("block", F.lit("keep").alias("kind"), "slice", "x"), elsewhere, all_ids):
+        by_block = by_block.unionByName(part, allowMissingColumns=True)
     by_block = by_block.repartition("block").sortWithinPartitions("block", "kind")
     windows = by_block.mapInArrow(lambda it: _candidates(it, plan), "h1 long, h2 int, lo long, hi long, a int, z int")
     group = Window.partitionBy("h1", "h2")
@@ -318,23 +321,27 @@ def _estimate(batches: Iterator[pa.RecordBatch], plan: _Plan) -> Iterator[pa.Rec
 
 
 def _with_kept(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, pa.RecordBatch]]:
-    """(keys of surviving anchors in order, texts) of each block that has such. A block's keys, and the digests of texts to leave out, come before its texts."""
-    now, keys, kept, copies = None, [], None, set()
+    """(keys of surviving anchors in order, texts) of each block that has such. A block's keys, the digests of texts to leave out, and the least and greatest
+    ids of texts that other blocks have too, come before its texts."""
+    now, keys, kept, copies, ends = None, [], None, set(), {}
     for b in batches:
         block, kinds = b.column("block").to_numpy(), b.column("kind").to_numpy(zero_copy_only=False)
         edges = np.flatnonzero(np.append(True, (block[1:] != block[:-1]) | (kinds[1:] != kinds[:-1])))
         for a, z in zip(edges, np.append(edges[1:], len(block))):
             if block[a] != now:
-                now, keys, kept, copies = block[a], [], None, set()
+                now, keys, kept, copies, ends = block[a], [], None, set(), {}
             part = b.slice(a, z - a)
             x = part.column("x").to_pylist()
             if kinds[a] == "keep":
                 keys += [np.frombuffer(low, np.uint32).astype(np.uint64) | np.uint64(s) << np.uint64(32) for s, low in zip(part.column("slice").to_pylist(), x)]
             elif kinds[a] == "copy":
                 copies.update(x)
+            elif kinds[a] == "ends":
+                ends.update(zip(x, zip(part.column("lo").to_pylist(), part.column("hi").to_pylist())))
             elif keys:
                 kept = np.sort(np.concatenate(keys)) if kept is None else kept
-                yield kept, part.filter(pa.array([d not in copies for d in x])) if copies else part
+                rows = [(text, *ends.get(d, own)) for text, d, *own in zip(*(part.column(c).to_pylist() for c in ("text", "x", "lo", "hi"))) if d not in copies]
+                yield kept, pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.string(), pa.int64(), pa.int64()))], names=["text", "lo", "hi"])
 
 
 _WINDOW = ["h1", "h2", "lo", "hi", "a", "z"]

@@ -56,6 +56,30 @@ def test_blocks_change_nothing(spark, block):
     assert found(spark, rows, 20, block=block) == brute(rows, 20)
 
 
+@pytest.mark.parametrize("block", [1, 40, 10_000])
+def test_ids_with_several_texts(spark, block):
+    """A text of id 1 shares a stretch with another text that ids 1 and 9 have in different blocks; without 9 it would be repetition inside a record."""
+    rnd = random.Random(7)
+    common = "".join(rnd.choice("abcdef") for _ in range(30))
+    t, u = "x" * 3 + common + "yy", "z" * 50 + common[:25]  # u's stretch lies behind t's end
+    for few, n in (([(1, t), (1, u), (9, t)], 60), ([(9, t), (1, u), (1, t)], 60), ([(1, t), (1, u)], None)):
+        assert dict(found(spark, few, 20, block=block)).get(1) == n
+    rows = [(1, "x" * 3 + common + "yy"), (1, "zz" + common[:25]), (9, "x" * 3 + common + "yy"), (2, "w" + common[3:24]), (3, "only here " * 4), (3, "there " + "only here " * 3), (4, "here"), (4, "no")]
+    rows += [(rnd.randrange(5, 12), "".join(rnd.choice([common[5:28], "qrst" * 6, word])) + str(i % 3)) for i, word in enumerate("".join(rnd.choice("ghij") for _ in range(24)) for _ in range(30))]
+    for seed in range(3):
+        random.Random(seed).shuffle(rows)
+        where, covered = {}, {}
+        for i, t in rows:
+            for a in range(len(t) - 19):
+                where.setdefault(t[a : a + 20], set()).add(i)
+        # texts of an id are laid over each other
+        for i, t in rows:
+            for a in range(len(t) - 19):
+                if len(where[t[a : a + 20]]) > 1:
+                    covered.setdefault(i, set()).update(range(a, a + 20))
+        assert found(spark, rows, 20, block=block) == sorted((i, len(c)) for i, c in covered.items())
+
+
 def test_few_single_windows_pass(monkeypatch):
     """The share of anchors of one text that the merged sketch counts twice, over slices, blocks and tasks; none of two texts is lost."""
     import numpy as np
