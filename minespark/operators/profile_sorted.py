@@ -198,6 +198,8 @@ def value_distances(p: Profile, pairs: DataFrame) -> DataFrame:
 
 def _count_values(batches: Iterator[pa.RecordBatch], columns: tuple[_Column, ...], bounds: list[tuple[int, bytes | None]]) -> Iterator[pa.RecordBatch]:
     """(range, run): the rows' counts by (column, value, load), aggregated _FLUSH_ROWS rows at a time."""
+    if not columns:
+        return
     held, n = [], 0
     for b in batches:
         held.append(b)

@@ -59,6 +59,8 @@ def test_small_batches_and_empty(spark):
     finally:
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
     assert profile(spark.createDataFrame([], S), RULES, "ld").stats.collect() == []
+    assert profile(spark.createDataFrame(data(1, 9), S), [], "ld").stats.collect() == []
+    assert profile(spark.createDataFrame([(None, "a", None, None, None, 0, "", 1)], S), RULES, "ld").stats.collect() == []
 
 
 def _sorted_as(keys):
