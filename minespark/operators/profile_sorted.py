@@ -18,11 +18,11 @@ from pyspark.sql.types import DataType, DecimalType, FractionalType, IntegralTyp
 from minespark.runtime import small, written
 
 #: Rows that a task aggregates at a time before it hands on (value, load, count).
-_FLUSH_ROWS = 100_000
+_FLUSH_ROWS = 50_000
 #: Values (of all columns) in the sample that the range bounds are taken from; they decide on the tasks' sizes only.
 _SAMPLE = 200_000
 #: Counts in a range, about, and counts of a range that a task gathers before it combines those of equal value and load.
-_RANGE_ROWS, _COMBINE_ROWS = 1_000_000, 2_000_000
+_RANGE_ROWS, _COMBINE_ROWS = 250_000, 1_000_000
 #: Columns that one sort takes: their number and 56 bits of a value make a sort key of 63 bits.
 _COLUMNS, _BITS = 128, 56
 _MASK, _ZERO = (1 << _BITS) - 1, 1 << (_BITS - 1)
